@@ -1 +1,97 @@
+"""Placement, reuse and skew queries."""
 
+import uuid
+
+from pyspark.sql import functions as F
+
+from broadloom.operators import layout as L
+from broadloom.operators import skew as S
+from broadloom.queries.registry import query
+from broadloom.session import checkpointed, shared_path
+from broadloom.sources import files
+
+N = F.count(F.lit(1))
+
+
+@query("repartition_n", "SELECT l_partkey, max(l_extendedprice) AS top FROM lineitem GROUP BY 1")
+def _(t):
+    spread = t.lineitem.select("l_partkey", "l_extendedprice").repartition(16)
+    return spread.groupBy("l_partkey").agg(F.max("l_extendedprice").alias("top"))
+
+
+@query("coalesce_n", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
+def _(t):
+    return t.orders.groupBy("o_custkey").agg(N.alias("n")).coalesce(2)
+
+
+@query("hash_partition", "SELECT l_suppkey, count(*) AS n, true AS one_place FROM lineitem GROUP BY 1")
+def _(t):
+    partial = t.lineitem.groupBy("l_suppkey", (F.col("l_orderkey") % 8).alias("slice")).agg(N.alias("k"))
+    placed = partial.repartition(4, "l_suppkey").withColumn("p", F.spark_partition_id())
+    return placed.groupBy("l_suppkey").agg(F.sum("k").alias("n"), (F.min("p") == F.max("p")).alias("one_place"))
+
+
+@query("letter_range_partition", """
+SELECT conv_id, turn, CASE WHEN lower(text[1]) BETWEEN 'a' AND 'f' THEN 0 WHEN lower(text[1]) BETWEEN 'g' AND 'l' THEN 1
+       WHEN lower(text[1]) BETWEEN 'm' AND 'r' THEN 2 WHEN lower(text[1]) BETWEEN 's' AND 'z' THEN 3 ELSE 4 END AS bucket, true AS placed
+FROM conversations""")
+def _(t):
+    splits = 4
+    placed = L.letter_range_partition(t.conversations, "text", splits=splits)
+    placed = placed.withColumn("at", F.floor(F.spark_partition_id() / splits)).withColumn("bucket", L.letter_bucket("text"))
+    return placed.select("conv_id", "turn", "bucket", (F.col("at") == F.col("bucket")).alias("placed"))
+
+
+@query("partition_profile", "SELECT count(*) AS n FROM lineitem")
+def _(t):
+    return L.partition_profile(t.lineitem.repartition(12)).agg(F.sum("n").alias("n"))
+
+
+@query("cached", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
+def _(t):
+    with L.cached(t.orders.select("o_orderkey", "o_totalprice")) as rows:
+        mean = rows.agg(F.avg("o_totalprice")).first()[0]
+        return rows.filter(F.col("o_totalprice") > mean)
+
+
+@query("checkpointed", "SELECT l_returnflag, count(*) AS n FROM (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem) GROUP BY 1")
+def _(t):
+    pairs = checkpointed(t.lineitem.select("l_returnflag", "l_partkey").distinct())
+    return pairs.groupBy("l_returnflag").agg(N.alias("n"))
+
+
+@query("dpp_join", """
+SELECT year(l_shipdate)::INTEGER AS ship_year, count(*) AS n, sum(l_quantity) AS qty FROM lineitem
+WHERE year(l_shipdate) IN (SELECT year(o_orderdate) FROM orders WHERE o_totalprice > (SELECT max(o_totalprice) * 0.995 FROM orders)) GROUP BY 1""")
+def _(t):
+    path = shared_path(t.spark, "by-year")
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", F.year("l_shipdate").alias("ship_year"))
+    files.sink_partitioned(rows, ["ship_year"], path, spread=8)
+    highest = t.orders.agg(F.max("o_totalprice")).first()[0]
+    years = t.orders.filter(F.col("o_totalprice") > highest * 0.995).select(F.year("o_orderdate").alias("ship_year")).distinct()
+    fact = t.spark.read.parquet(path)
+    return fact.join(years, "ship_year").groupBy("ship_year").agg(N.alias("n"), F.sum("l_quantity").alias("qty"))
+
+
+@query("bucketed_agg", "SELECT l_partkey, sum(l_quantity) AS qty, count(*) AS n FROM lineitem GROUP BY 1")
+def _(t):
+    name = f"bucketed_{uuid.uuid4().hex}"
+    rows = t.lineitem.select("l_partkey", "l_quantity")
+    files.sink_bucketed(rows, name, 8, ["l_partkey"], shared_path(t.spark, "bucketed"))
+    return t.spark.table(name).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"), N.alias("n"))
+
+
+@query("make_skew", "SELECT CASE WHEN substr(p_type, 1, 1) = 'S' THEN p_type ELSE 'HOT' END AS kind, count(*) AS n FROM part GROUP BY 1")
+def _(t):
+    return S.make_skew(t.part, "p_type", F.substring("p_type", 1, 1) == "S", "HOT", "kind").groupBy("kind").agg(N.alias("n"))
+
+
+@query("skew_report", "SELECT event_type, count(*) AS n, count(*) / (SELECT count(*) FROM events)::DOUBLE AS share FROM events GROUP BY 1")
+def _(t):
+    return S.skew_report(t.events, ["event_type"])
+
+
+@query("salt_bounds", "SELECT 0 AS low, 9 AS high, count(*) AS n FROM lineitem")
+def _(t):
+    salted = t.lineitem.select(S.salt_of(t.lineitem.columns, 10).alias("salt"))
+    return salted.agg(F.min("salt").alias("low"), F.max("salt").alias("high"), N.alias("n"))

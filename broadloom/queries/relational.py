@@ -152,11 +152,11 @@ def _(t):
 
 
 @query("row_to_struct", """
-SELECT n_nationkey, r_name || '/' || n_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_custkey, n_name || '/' || c_name AS label FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def _(t):
-    joined = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    pair = joined.select(F.struct("n_nationkey", "n_name").alias("nation"), F.struct("r_regionkey", "r_name").alias("region"))
-    return pair.select("nation.n_nationkey", F.concat_ws("/", "region.r_name", "nation.n_name").alias("label"))
+    joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    pair = joined.select(F.struct("c_custkey", "c_name").alias("customer"), F.struct("n_nationkey", "n_name").alias("nation"))
+    return pair.select("customer.c_custkey", F.concat_ws("/", "nation.n_name", "customer.c_name").alias("label"))
 
 
 @query("null_pad", """
