@@ -32,11 +32,11 @@ def _records(t):
     return _events(t).select(F.col("event_type").alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
 
 
-def _run(t, df, mode, each_batch=None):
+def _run(t, df, mode, each_batch=None, single_batch=False):
     """Run to the end; rows of every batch."""
     out = shared_path(t.spark, "stream-out")
     each = each_batch(out) if each_batch else K.batch_writer(out)
-    K.finish(K.start_stream(df, shared_path(t.spark, "stream-state"), mode, each_batch=each))
+    K.finish(K.start_stream(df, shared_path(t.spark, "stream-state"), mode, each_batch=each, single_batch=single_batch))
     return K.read_batches(t.spark, out)
 
 
@@ -172,20 +172,20 @@ def _running(batches, keys):
 
 @query("stream_sessions_update", _STATE.format(keys="user_id", sums=""))
 def _(t):
-    out = _run(t, S.sessions_update(_events(t), "user_id", "ts", timeout_ms=600_000), "update")
+    out = _run(t, S.sessions_update(_events(t), "user_id", "ts", timeout_ms=600_000), "update", single_batch=True)
     return _running(out, ["user_id"])
 
 
 @query("stream_stock_state", _STATE.format(keys="event_type", sums=_SUMS))
 def _(t):
-    out = _run(t, S.keyed_totals(_stocks(t), ["event_type"], "ts", ["cents", "chg"], timeout_ms=600_000), "update")
+    out = _run(t, S.keyed_totals(_stocks(t), ["event_type"], "ts", ["cents", "chg"], timeout_ms=600_000), "update", single_batch=True)
     return _running(out, ["event_type"])
 
 
 @query("stream_stock_state_multi", _STATE.format(keys="event_type, user_id", sums=_SUMS))
 def _(t):
     keys = ["event_type", "user_id"]
-    out = _run(t, S.keyed_totals(_stocks(t), keys, "ts", ["cents", "chg"], timeout_ms=600_000), "update")
+    out = _run(t, S.keyed_totals(_stocks(t), keys, "ts", ["cents", "chg"], timeout_ms=600_000), "update", single_batch=True)
     return _running(out, keys)
 
 

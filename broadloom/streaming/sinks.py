@@ -27,18 +27,24 @@ def start_stream(
     each_batch: Callable[[DataFrame, int], None] | None = None,
     every: str | None = None,
     name: str | None = None,
+    single_batch: bool = False,
 ) -> StreamingQuery:
     """Start a stream into a sink format or a per-batch function.
 
     ``every`` is a trigger interval such as ``"10 seconds"``; without it all
-    available input is processed and the query stops.
+    available input is processed and the query stops.  State with clock
+    timeouts never runs out of batches, so there ``single_batch`` takes all
+    available input in one batch and stops.
     """
     if mode not in MODES:
         raise ValueError(f"unknown output mode {mode!r}; use one of {MODES}")
     if (format is None) == (each_batch is None):
         raise ValueError("give either a sink format or a per-batch function")
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    if every:
+        writer = writer.trigger(processingTime=every)
+    else:
+        writer = writer.trigger(once=True) if single_batch else writer.trigger(availableNow=True)
     if name:
         writer = writer.queryName(name)
     if each_batch:
@@ -126,12 +132,12 @@ def jdbc_writer(target: JdbcTarget, table: str, columns: Sequence[str]) -> Calla
 
 
 def batch_count_writer(path: str, method: str) -> Callable[[DataFrame, int], None]:
-    """Per batch: all requests, GET requests, and requests by method."""
+    """Per batch: requests by method, and all of them under ``all``."""
     write = batch_writer(path)
 
     def count(rows: DataFrame, batch_id: int) -> None:
-        by_method = rows.groupBy(F.col(method).alias("method")).agg(F.count(F.lit(1)).alias("n"))
-        total = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("method"), "n")
-        write(by_method.unionByName(total), batch_id)
+        counted = rows.rollup(method).agg(F.count(F.lit(1)).alias("n"), F.grouping(method).alias("all"))
+        named = F.when(F.col("all") == 1, F.lit("all")).otherwise(F.col(method))
+        write(counted.select(named.alias("method"), "n"), batch_id)
 
     return count
