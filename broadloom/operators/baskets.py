@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadloom.operators.ordered import group_stats
+from broadloom.session import materialised
+
 BLOCK_ITEMS = 1_000
 _SEED_ITEMS = 64
 
@@ -28,18 +31,25 @@ def _same_item(totals: DataFrame) -> DataFrame:
 def _cross_items(totals: DataFrame, block_items: int) -> DataFrame:
     """Weights of pairs of different items.
 
-    A basket with many items is cut into blocks; the pair (block i, block j) is
-    its own join key, so no task meets more than ``block_items`` squared pairs
-    of one basket at a time.
+    If a basket has more than ``block_items`` items, baskets are cut into blocks
+    of that size and each pair (block i, block j) is a join key of its own, so
+    no task meets more than ``block_items`` squared pairs of one basket at once.
     """
-    sizes = totals.groupBy("basket").agg(F.count(F.lit(1)).alias("__items")).filter(F.col("__items") > 1)
-    rows = totals.join(sizes, "basket").withColumn("__blocks", F.ceil(F.col("__items") / block_items).cast("int"))
-    rows = rows.withColumn("__block", F.pmod(F.xxhash64("item"), F.col("__blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
-    a = rows.select("basket", F.col("item").alias("item_a"), F.col("q").alias("q_a"), F.col("__block").alias("i"), others.alias("j"))
-    b = rows.select("basket", F.col("item").alias("item_b"), F.col("q").alias("q_b"), F.col("__block").alias("j"), others.alias("i"))
-    pairs = a.join(b, ["basket", "i", "j"]).filter(F.col("item_a") < F.col("item_b"))
-    return pairs.groupBy("item_a", "item_b").agg(F.sum(F.col("q_a") * F.col("q_b")).alias("weight"))
+    rows = totals.select("basket", "item", "q")
+    if group_stats(rows, ["basket"], block_items).largest <= block_items:
+        a, b = rows.alias("a"), rows.alias("b")
+        pairs = a.join(b, (F.col("a.basket") == F.col("b.basket")) & (F.col("a.item") < F.col("b.item")))
+        pairs = pairs.select(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), (F.col("a.q") * F.col("b.q")).alias("w"))
+    else:
+        sizes = rows.groupBy("basket").agg(F.count(F.lit(1)).alias("__items")).filter(F.col("__items") > 1)
+        rows = rows.join(sizes, "basket").withColumn("__blocks", F.ceil(F.col("__items") / block_items).cast("int"))
+        rows = rows.withColumn("__block", F.pmod(F.xxhash64("item"), F.col("__blocks")).cast("int"))
+        others = F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))
+        a = rows.select("basket", F.col("item").alias("item_a"), F.col("q").alias("q_a"), F.col("__block").alias("i"), others.alias("j"))
+        b = rows.select("basket", F.col("item").alias("item_b"), F.col("q").alias("q_b"), F.col("__block").alias("j"), others.alias("i"))
+        pairs = a.join(b, ["basket", "i", "j"]).filter(F.col("item_a") < F.col("item_b"))
+        pairs = pairs.select("item_a", "item_b", (F.col("q_a") * F.col("q_b")).alias("w"))
+    return pairs.groupBy("item_a", "item_b").agg(F.sum("w").alias("weight"))
 
 
 def pair_weights(totals: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -56,21 +66,20 @@ def pair_cooccurrence(
     pair weighs at most sqrt(E_a * E_b), E being an item's sum of squared basket
     quantities.  A first look at the few items of largest E gives a weight the
     n-th pair certainly has, and items that cannot reach it with any partner
-    are dropped before pairs are formed.
+    are dropped before pairs are formed.  The per-basket totals are written to
+    the shared folder once, since every step reads them.
     """
-    totals = item_totals(lines, basket, item, quantity)
-    energy = totals.groupBy("item").agg(F.sum(F.col("q") * F.col("q")).alias("e"))
-    seed = energy.orderBy(F.desc("e"), "item").limit(_SEED_ITEMS)
+    totals = materialised(item_totals(lines, basket, item, quantity), "basket-totals")
     same = _same_item(totals)
-    first = _cross_items(totals.join(F.broadcast(seed.select("item")), "item", "left_semi"), block_items)
-    reached = first.unionByName(same).orderBy(F.desc("weight")).limit(n).agg(
-        F.min("weight").alias("w"), F.count(F.lit(1)).alias("found")
-    )
-    largest = energy.agg(F.max("e").alias("e"))
-    (w, found), (top,) = reached.first(), largest.first()
+    energy = totals.groupBy("item").agg(F.sum(F.col("q") * F.col("q")).alias("e"))
+    seed = energy.orderBy(F.desc("e"), "item").limit(_SEED_ITEMS + 1).collect()
     kept = totals
-    if found == n and w > 0:
-        floor = (w * w / top) * (1 - 1e-9)
-        kept = totals.join(energy.filter(F.col("e") >= floor).select("item"), "item", "left_semi")
+    if len(seed) > _SEED_ITEMS:
+        chosen = totals.filter(F.col("item").isin([row["item"] for row in seed[:_SEED_ITEMS]]))
+        reached = _cross_items(chosen, block_items).unionByName(same).orderBy(F.desc("weight")).limit(n)
+        w, found = reached.agg(F.min("weight"), F.count(F.lit(1))).first()
+        if found == n and w > 0:
+            floor = (w * w / seed[0]["e"]) * (1 - 1e-9)
+            kept = totals.join(energy.filter(F.col("e") >= floor).select("item"), "item", "left_semi")
     weights = _cross_items(kept, block_items).unionByName(same)
     return weights.orderBy(F.desc("weight"), "item_a", "item_b").limit(n)

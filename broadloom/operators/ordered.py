@@ -31,6 +31,7 @@ GROUP_LIMIT = 4_000_000
 MAX_CHUNKS = 4096
 BLOCK_ROWS = 500_000
 _SAMPLES_PER_CHUNK = 32
+_CASE_CUTS = 16
 
 
 @dataclass(frozen=True)
@@ -72,18 +73,18 @@ class GroupStats:
     largest: int
 
 
-def group_stats(df: DataFrame, part: Sequence[str]) -> GroupStats:
-    """Row total and largest group: partial counts, one row to the driver."""
-    if not part:
-        n = df.count()
-        return GroupStats(n, n)
-    row = (
-        df.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
-        .first()
-    )
-    return GroupStats(row["total"], row["largest"])
+def group_stats(df: DataFrame, part: Sequence[str], group_limit: int = 0) -> GroupStats:
+    """Row total and largest group: counts only, one row to the driver.
+
+    A plain count comes first (parquet footers answer it); grouping follows only
+    if the total leaves room for a group beyond a positive ``group_limit``.
+    Otherwise the total stands in as the bound of the largest group.
+    """
+    total = df.count()
+    if not part or group_limit <= 0 or total <= group_limit:
+        return GroupStats(total, total)
+    counts = df.groupBy(*part).agg(F.count(F.lit(1)).alias("n"))
+    return GroupStats(total, counts.agg(F.max("n")).first()[0])
 
 
 def chunk_count(df: DataFrame, stats: GroupStats, group_limit: int) -> int:
@@ -156,16 +157,18 @@ def _at_or_after(keys: list[OrderKey], cut: Sequence[str]) -> str:
 def chunk_column(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> Column:
     """Number of cuts at or before the row, found by binary search.
 
-    The cuts travel as one folded array literal per order key, so the size of
-    the generated code does not grow with their number.
+    A few cuts become a balanced CASE.  Many travel as one folded array literal
+    per order key, so the generated code does not grow with their number.
     """
     keys = order_keys(order)
     if not cuts:
         return F.lit(0)
-    arrays = []
-    for i, key in enumerate(keys):
-        dtype = df.schema[key.name].dataType
-        arrays.append(f"'k{i}', array({', '.join(_literal(cut[i], dtype) for cut in cuts)})")
+    literals = [
+        [_literal(cut[i], df.schema[key.name].dataType) for i, key in enumerate(keys)] for cut in cuts
+    ]
+    if len(cuts) <= _CASE_CUTS:
+        return F.expr(_case(keys, literals, 0, len(cuts)))
+    arrays = [f"'k{i}', array({', '.join(cut[i] for cut in literals)})" for i in range(len(keys))]
     terms = [f"get(c.k{i}, p + s - 1)" for i in range(len(keys))]
     steps = [str(1 << bit) for bit in reversed(range(len(cuts).bit_length()))]
     search = (
@@ -175,7 +178,15 @@ def chunk_column(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> Colu
     return F.expr(f"get(transform(array(named_struct({', '.join(arrays)})), c -> {search}), 0)")
 
 
-def _join_back(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _case(keys: list[OrderKey], literals: list[list[str]], low: int, high: int) -> str:
+    if low == high:
+        return str(low)
+    middle = (low + high + 1) // 2
+    test = _at_or_after(keys, literals[middle - 1])
+    return f"CASE WHEN {test} THEN {_case(keys, literals, middle, high)} ELSE {_case(keys, literals, low, middle - 1)} END"
+
+
+def join_back(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on null-safe keys, keeping ``df``'s key columns."""
     if not keys:
         raise ValueError("a join back needs keys")
@@ -241,17 +252,24 @@ def with_tie_functions(
     Runs one counting job up front, and a sampling job when a group exceeds
     ``group_limit``.
     """
-    stats = group_stats(df, part)
+    stats = group_stats(df, part, group_limit)
     if stats.largest <= group_limit:
         window = ordered_window(part, order)
         return df.select("*", *[fn.plain(window).alias(name) for name, fn in outputs.items()])
-    totals = _tie_totals(df, part, order, outputs, stats, chunks or chunk_count(df, stats, group_limit))
+    totals = tie_totals(df, part, order, outputs, stats, chunks or chunk_count(df, stats, group_limit))
     names = [key.name for key in order_keys(order)]
-    return _join_back(df, totals, [*part, *names])
+    return join_back(df, totals, [*part, *names])
 
 
-def _tie_totals(df, part, order, outputs, stats, chunks) -> DataFrame:
-    """One row per (group, order value) with the requested outputs."""
+def tie_totals(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Sequence[str],
+    outputs: dict[str, TieFunction],
+    stats: GroupStats,
+    chunks: int,
+) -> DataFrame:
+    """One row per (group, order value) with the requested outputs, in chunks."""
     names = [key.name for key in order_keys(order)]
     sums = {name: fn.measure for name, fn in outputs.items() if fn.kind == "running_sum"}
     cuts = cut_points(df, order, stats.total, chunks)
@@ -284,7 +302,7 @@ def _tie_totals(df, part, order, outputs, stats, chunks) -> DataFrame:
         F.sum("__cn").over(group).alias("__n_all"),
         *[F.sum(f"__c_{name}").over(earlier).alias(f"__off_{name}") for name in sums],
     )
-    joined = _join_back(values, carried, [*part, "__chunk"])
+    joined = join_back(values, carried, [*part, "__chunk"])
 
     through = F.col("__n_upto") + F.col("__n_off")
     first = through - F.col("__n") + 1
@@ -321,7 +339,7 @@ def with_position(
 
     ``total`` names an optional column with the size of the row's group.
     """
-    stats = group_stats(df, part)
+    stats = group_stats(df, part, group_limit)
     if stats.largest <= group_limit:
         window = ordered_window(part, order)
         extra = [F.count(F.lit(1)).over(Window.partitionBy(*part)).alias(total)] if total else []
@@ -339,7 +357,7 @@ def with_position(
         F.sum("__cn").over(group).alias("__all"),
     )
     numbered = rows.withColumn("__rn", F.row_number().over(ordered_window([*part, "__chunk"], order)))
-    joined = _join_back(numbered, carried, [*part, "__chunk"])
+    joined = join_back(numbered, carried, [*part, "__chunk"])
     extra = [F.col("__all").alias(total)] if total else []
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col("__rn") + F.col("__off")).cast("long").alias(name), *extra
@@ -387,7 +405,7 @@ def with_row_frames(
     ``outputs`` maps a name to a function of the ordered window, for instance
     ``lambda w: F.avg("close").over(w.rowsBetween(-5, 0))``.
     """
-    stats = group_stats(df, part)
+    stats = group_stats(df, part, group_limit)
     if stats.largest <= group_limit:
         window = ordered_window(part, order)
         return df.select("*", *[make(window).alias(name) for name, make in outputs.items()])
@@ -418,4 +436,4 @@ def with_group_value(df: DataFrame, part: Sequence[str], outputs: dict[str, Colu
     back can be split by adaptive execution; a window could not.
     """
     totals = df.groupBy(*part).agg(*[agg.alias(name) for name, agg in outputs.items()])
-    return _join_back(df, totals, list(part))
+    return join_back(df, totals, list(part))

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadloom.operators.ordered import (
     GROUP_LIMIT,
+    chunk_count,
+    group_stats,
+    join_back,
+    ordered_window,
     percent_rank,
     running_sum,
-    with_group_value,
+    tie_totals,
     with_row_frames,
     with_tie_functions,
 )
@@ -45,15 +49,24 @@ def pl_settlement(
 ) -> DataFrame:
     """Final profit and loss status on the settlement rows.
 
-    Running values are taken over all rows first; ``settlement`` then keeps
-    its rows (default: the last day of each group).  ``final_status`` above zero
+    Running values count all rows; ``settlement``, a condition on the input
+    columns, then keeps its rows (default: the last day of each group).  ``final_status`` above zero
     means the sellers won, below zero the buyers.
     """
-    rows = running_positions(df, part, [day], change, price, group_limit)
-    if settlement is None:
-        rows = with_group_value(rows, part, {"__last": F.max(day)})
-        settlement = F.col(day) == F.col("__last")
-    kept = rows.filter(settlement).drop("__last")
+    outputs = {"open_interest": running_sum(change), "outlay": running_sum(change * price)}
+    stats = group_stats(df, part, group_limit)
+    if stats.largest <= group_limit:
+        window, whole = ordered_window(part, [day]), Window.partitionBy(*part)
+        last = F.max(day).over(whole).alias("__last")
+        rows = df.select("*", last, *[fn.plain(window).alias(name) for name, fn in outputs.items()])
+        kept = rows.filter(F.col(day) == F.col("__last") if settlement is None else settlement).drop("__last")
+    else:
+        totals = tie_totals(df, part, [day], outputs, stats, chunk_count(df, stats, group_limit))
+        if settlement is None:
+            settled = join_back(df, df.groupBy(*part).agg(F.max(day).alias(day)), [*part, day])
+        else:
+            settled = df.filter(settlement)
+        kept = join_back(settled, totals, [*part, day])
     return kept.withColumn("final_status", F.col("outlay") - price * F.col("open_interest"))
 
 

@@ -221,10 +221,18 @@ def _(t):
     return pair_cooccurrence(lines, "l_orderkey", "p_name", "l_quantity", 10)
 
 
-@query("pair_cooccurrence_parts", """
+_PART_PAIRS = """
 WITH x AS (SELECT l_orderkey AS o, l_partkey AS k, l_quantity AS q, row_number() OVER () AS id FROM lineitem)
 SELECT least(a.k, b.k) AS item_a, greatest(a.k, b.k) AS item_b, sum(a.q * b.q) AS weight
-FROM x a JOIN x b ON a.o = b.o AND a.id < b.id GROUP BY 1, 2 ORDER BY weight DESC, item_a, item_b LIMIT 10""")
+FROM x a JOIN x b ON a.o = b.o AND a.id < b.id GROUP BY 1, 2 ORDER BY weight DESC, item_a, item_b LIMIT 10"""
+
+
+@query("pair_cooccurrence_parts", _PART_PAIRS)
+def _(t):
+    return pair_cooccurrence(t.lineitem, "l_orderkey", "l_partkey", "l_quantity", 10)
+
+
+@query("pair_cooccurrence_blocks", _PART_PAIRS)
 def _(t):
     return pair_cooccurrence(t.lineitem, "l_orderkey", "l_partkey", "l_quantity", 10, block_items=4)
 

@@ -68,3 +68,14 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager)
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and continue from the files.
+
+    For intermediate results several later steps read; the files outlive lost
+    executors and keep column pruning.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
