@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -46,26 +47,22 @@ def sum_product(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str) -
     return df.groupBy(*keys).agg(F.sum(F.col(a) * F.col(b)).alias(name))
 
 
-def make_sum_product():
-    """Grouped user aggregate with the same answer as ``sum_product``.
+def sum_product_user(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str) -> DataFrame:
+    """``sum_product`` as a user aggregate: update, merge, evaluate.
 
-    It receives a whole group at once, so use it on groups of bounded size, such
-    as the first level of ``sum_product_user``.
+    The Python update step sees one Arrow batch at a time and leaves one buffer
+    row per key in it; Spark merges the buffers, so no group has to fit a task.
     """
+    keys = list(keys)
+    rows = df.select(*keys, F.col(a).cast("double").alias("__a"), F.col(b).cast("double").alias("__b"))
+    buffer = T.StructType([*[rows.schema[k] for k in keys], T.StructField("__sum", T.DoubleType())])
 
-    def total(a: pd.Series, b: pd.Series) -> float:
-        return float((a * b).sum())
-
-    return F.pandas_udf(total, "double")
-
+    def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            products = batch.assign(__sum=batch["__a"] * batch["__b"])
+            yield products.groupby(keys, as_index=False, dropna=False)["__sum"].sum()
 
-def sum_product_user(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str, salts: int) -> DataFrame:
-    """``sum_product`` through the user aggregate, salted so groups stay small."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    first = df.groupBy(*keys, salt.alias("__salt")).agg(
-        make_sum_product()(F.col(a).cast("double"), F.col(b).cast("double")).alias("__part")
-    )
-    return first.groupBy(*keys).agg(F.sum("__part").alias(name))
+    return rows.mapInPandas(update, buffer).groupBy(*keys).agg(F.sum("__sum").alias(name))
 
 
 def agg_mapside(df: DataFrame, key: str, value: str, name: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadloom.operators.skew import salt_of
+
 # Upper letters of the four first-letter ranges; anything that is
 # not a letter goes to a fifth bucket.
 LETTER_BOUNDS = ("f", "l", "r", "z")
@@ -31,12 +33,17 @@ def letter_range_partition(
 ) -> DataFrame:
     """Place rows by letter range: bucket b fills partitions b*splits..b*splits+splits-1.
 
-    ``splits`` above 1 divides each range by row hash, so that a letter holding
+    ``splits`` above 1 divides each range by salt, so that a letter holding
     much of the data does not end in one task.
     """
-    share = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(splits))
-    target = (letter_bucket(column, bounds) * splits + share).cast("int")
-    return df.repartitionById((len(bounds) + 1) * splits, target)
+    target = (letter_bucket(column, bounds) * splits + salt_of(df.columns, splits)).cast("int")
+    placed = df.withColumn("__target", target).repartitionById((len(bounds) + 1) * splits, F.col("__target"))
+    return placed.drop("__target")
+
+
+def coalesce_share(df: DataFrame, share: float) -> DataFrame:
+    """Fewer partitions without a shuffle: ``share`` of the present number."""
+    return df.coalesce(max(1, int(df.rdd.getNumPartitions() * share)))
 
 
 def partition_profile(df: DataFrame) -> DataFrame:

@@ -13,8 +13,13 @@ SALT = "__salt"
 
 
 def salt_of(columns: Sequence[str], n: int) -> Column:
-    """Salt 0..n-1 computed from the row itself, stable under task retry."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(n)).cast("int")
+    """Salt 0..n-1 from the row and the partition it lies in.
+
+    Both stay the same when a lost task runs again, unlike ``rand``; the
+    partition keeps identical copies of a row from sharing one salt.
+    """
+    mixed = F.xxhash64(*[F.col(c) for c in columns], F.spark_partition_id())
+    return F.pmod(mixed, F.lit(n)).cast("int")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
@@ -49,7 +54,10 @@ def join_salted(
         fact = fact.join(flags, keys, "left")
         dim = dim.join(flags, keys, "left")
         hot = F.coalesce(F.col("__hot"), F.lit(False))
-        salt = F.when(hot, salt).otherwise(F.lit(0))
+        unmatched = F.lit(False)
+        for key in keys:
+            unmatched = unmatched | F.col(key).isNull()
+        salt = F.when(hot | unmatched, salt).otherwise(F.lit(0))
         copies = F.when(hot, copies).otherwise(F.array(F.lit(0)))
     salted = fact.withColumn(SALT, salt)
     copied = dim.withColumn(SALT, F.explode(copies))

@@ -189,7 +189,7 @@ def _(t):
 
 @query("agg_sum_product_user", _PRODUCT)
 def _(t):
-    out = A.sum_product_user(t.part, ["p_brand"], "p_retailprice", "p_size", "stock_value", salts=8)
+    out = A.sum_product_user(t.part, ["p_brand"], "p_retailprice", "p_size", "stock_value")
     return out.withColumn("stock_value", F.round("stock_value", 2))
 
 

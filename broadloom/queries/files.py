@@ -17,7 +17,7 @@ def _(t):
 @query("sink_parquet", "SELECT * FROM orders")
 def _(t):
     path = shared_path(t.spark, "parquet")
-    files.sink_parquet(t.orders, path, files=4)
+    files.sink_parquet(t.orders, path)
     return t.spark.read.parquet(path)
 
 
@@ -110,7 +110,7 @@ def _(t):
 @query("sink_bucketed", "SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey = 17")
 def _(t):
     name = f"bucketed_{uuid.uuid4().hex}"
-    files.sink_bucketed(t.orders.select("o_custkey", "o_orderkey"), name, 8, ["o_custkey"], shared_path(t.spark, "bucketed"))
+    files.sink_bucketed(t.orders.select("o_custkey", "o_orderkey"), name, int(t.spark.conf.get("spark.sql.shuffle.partitions")), ["o_custkey"], shared_path(t.spark, "bucketed"))
     return t.spark.table(name).filter(F.col("o_custkey") == 17)
 
 

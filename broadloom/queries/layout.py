@@ -13,21 +13,25 @@ from broadloom.sources import files
 N = F.count(F.lit(1))
 
 
+def _parallelism(t):
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("repartition_n", "SELECT l_partkey, max(l_extendedprice) AS top FROM lineitem GROUP BY 1")
 def _(t):
-    spread = t.lineitem.select("l_partkey", "l_extendedprice").repartition(16)
+    spread = t.lineitem.select("l_partkey", "l_extendedprice").repartition(_parallelism(t))
     return spread.groupBy("l_partkey").agg(F.max("l_extendedprice").alias("top"))
 
 
 @query("coalesce_n", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
-    return t.orders.groupBy("o_custkey").agg(N.alias("n")).coalesce(2)
+    return L.coalesce_share(t.orders.select("o_custkey"), 0.5).groupBy("o_custkey").agg(N.alias("n"))
 
 
 @query("hash_partition", "SELECT l_suppkey, count(*) AS n, true AS one_place FROM lineitem GROUP BY 1")
 def _(t):
     partial = t.lineitem.groupBy("l_suppkey", (F.col("l_orderkey") % 8).alias("slice")).agg(N.alias("k"))
-    placed = partial.repartition(4, "l_suppkey").withColumn("p", F.spark_partition_id())
+    placed = partial.repartition("l_suppkey").withColumn("p", F.spark_partition_id())
     return placed.groupBy("l_suppkey").agg(F.sum("k").alias("n"), (F.min("p") == F.max("p")).alias("one_place"))
 
 
@@ -44,7 +48,7 @@ def _(t):
 
 @query("partition_profile", "SELECT count(*) AS n FROM lineitem")
 def _(t):
-    return L.partition_profile(t.lineitem.repartition(12)).agg(F.sum("n").alias("n"))
+    return L.partition_profile(t.lineitem.select("l_orderkey").repartition(_parallelism(t))).agg(F.sum("n").alias("n"))
 
 
 @query("cached", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
@@ -77,7 +81,7 @@ def _(t):
 def _(t):
     name = f"bucketed_{uuid.uuid4().hex}"
     rows = t.lineitem.select("l_partkey", "l_quantity")
-    files.sink_bucketed(rows, name, 8, ["l_partkey"], shared_path(t.spark, "bucketed"))
+    files.sink_bucketed(rows, name, _parallelism(t), ["l_partkey"], shared_path(t.spark, "bucketed"))
     return t.spark.table(name).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"), N.alias("n"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadloom.operators.skew import SALT, salt_of
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -64,8 +66,7 @@ def sink_partitioned(df: DataFrame, columns: Sequence[str], path: str, mode: str
     files; ``spread`` splits every value over that many tasks so that a hot
     value does not end in one.
     """
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    clustered = df.repartition(*[F.col(c) for c in columns], slot)
+    clustered = df.withColumn(SALT, salt_of(df.columns, spread)).repartition(*columns, SALT).drop(SALT)
     clustered.write.mode(mode).partitionBy(*columns).parquet(path)
 
 
