@@ -10,7 +10,9 @@ from broadloom.queries.registry import query
 from broadloom.session import checkpointed, shared_path
 from broadloom.sources import files
 
-N = F.count(F.lit(1))
+
+def N():
+    return F.count(F.lit(1))
 
 
 def _parallelism(t):
@@ -25,12 +27,12 @@ def _(t):
 
 @query("coalesce_n", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")
 def _(t):
-    return L.coalesce_share(t.orders.select("o_custkey"), 0.5).groupBy("o_custkey").agg(N.alias("n"))
+    return L.coalesce_share(t.orders.select("o_custkey"), 0.5).groupBy("o_custkey").agg(N().alias("n"))
 
 
 @query("hash_partition", "SELECT l_suppkey, count(*) AS n, true AS one_place FROM lineitem GROUP BY 1")
 def _(t):
-    partial = t.lineitem.groupBy("l_suppkey", (F.col("l_orderkey") % 8).alias("slice")).agg(N.alias("k"))
+    partial = t.lineitem.groupBy("l_suppkey", (F.col("l_orderkey") % 8).alias("slice")).agg(N().alias("k"))
     placed = partial.repartition("l_suppkey").withColumn("p", F.spark_partition_id())
     return placed.groupBy("l_suppkey").agg(F.sum("k").alias("n"), (F.min("p") == F.max("p")).alias("one_place"))
 
@@ -61,7 +63,7 @@ def _(t):
 @query("checkpointed", "SELECT l_returnflag, count(*) AS n FROM (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem) GROUP BY 1")
 def _(t):
     pairs = checkpointed(t.lineitem.select("l_returnflag", "l_partkey").distinct())
-    return pairs.groupBy("l_returnflag").agg(N.alias("n"))
+    return pairs.groupBy("l_returnflag").agg(N().alias("n"))
 
 
 @query("dpp_join", """
@@ -74,7 +76,7 @@ def _(t):
     highest = t.orders.agg(F.max("o_totalprice")).first()[0]
     years = t.orders.filter(F.col("o_totalprice") == highest).select(F.year("o_orderdate").alias("ship_year")).distinct()
     fact = t.spark.read.parquet(path)
-    return fact.join(years, "ship_year").groupBy("ship_year").agg(N.alias("n"), F.sum("l_quantity").alias("qty"))
+    return fact.join(years, "ship_year").groupBy("ship_year").agg(N().alias("n"), F.sum("l_quantity").alias("qty"))
 
 
 @query("bucketed_agg", "SELECT l_partkey, sum(l_quantity) AS qty, count(*) AS n FROM lineitem GROUP BY 1")
@@ -82,12 +84,12 @@ def _(t):
     name = f"bucketed_{uuid.uuid4().hex}"
     rows = t.lineitem.select("l_partkey", "l_quantity")
     files.sink_bucketed(rows, name, _parallelism(t), ["l_partkey"], shared_path(t.spark, "bucketed"))
-    return t.spark.table(name).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"), N.alias("n"))
+    return t.spark.table(name).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"), N().alias("n"))
 
 
 @query("make_skew", "SELECT CASE WHEN substr(p_type, 1, 1) = 'S' THEN p_type ELSE 'HOT' END AS kind, count(*) AS n FROM part GROUP BY 1")
 def _(t):
-    return S.make_skew(t.part, "p_type", F.substring("p_type", 1, 1) == "S", "HOT", "kind").groupBy("kind").agg(N.alias("n"))
+    return S.make_skew(t.part, "p_type", F.substring("p_type", 1, 1) == "S", "HOT", "kind").groupBy("kind").agg(N().alias("n"))
 
 
 @query("skew_report", "SELECT event_type, count(*) AS n, count(*) / (SELECT count(*) FROM events)::DOUBLE AS share FROM events GROUP BY 1")
@@ -98,4 +100,4 @@ def _(t):
 @query("salt_bounds", "SELECT 0 AS low, 9 AS high, count(*) AS n FROM lineitem")
 def _(t):
     salted = t.lineitem.select(S.salt_of(t.lineitem.columns, 10).alias("salt"))
-    return salted.agg(F.min("salt").alias("low"), F.max("salt").alias("high"), N.alias("n"))
+    return salted.agg(F.min("salt").alias("low"), F.max("salt").alias("high"), N().alias("n"))

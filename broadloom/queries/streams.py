@@ -13,7 +13,9 @@ from broadloom.streaming import sinks as K
 from broadloom.streaming import state as S
 from broadloom.streaming.sources import exact_glob, stream_files, stream_lines, stream_record_files
 
-N = F.count(F.lit(1))
+
+def N():
+    return F.count(F.lit(1))
 
 
 def _stream(t, name="events"):
@@ -62,7 +64,7 @@ def _(t):
     path = shared_path(t.spark, "records")
     rows = t.events.select(F.col("event_type").alias("key"), "props", F.col("ts").cast("timestamp").alias("timestamp"))
     rows.withColumnRenamed("props", "value").write.parquet(path)
-    counted = stream_record_files(t.spark, path).groupBy("key").agg(N.alias("n"))
+    counted = stream_record_files(t.spark, path).groupBy("key").agg(N().alias("n"))
     return K.last_batch(_run(t, counted, "complete"))
 
 
@@ -70,7 +72,7 @@ def _(t):
 def _(t):
     path = shared_path(t.spark, "lines")
     t.events.select("event_type").write.text(path)
-    counted = stream_lines(t.spark, path, arrival_time=True).groupBy(F.lower("value").alias("value")).agg(N.alias("n"))
+    counted = stream_lines(t.spark, path, arrival_time=True).groupBy(F.lower("value").alias("value")).agg(N().alias("n"))
     return K.last_batch(_run(t, counted, "complete"))
 
 
@@ -86,7 +88,7 @@ def _(t):
 SELECT user_id, sum(round(value * 100)::BIGINT)::BIGINT AS cents, count(*) AS n FROM events WHERE user_id % 2 = 0 GROUP BY 1""")
 def _(t):
     rows = _events(t).withWatermark("ts", "30 seconds").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    stats = rows.groupBy("user_id").agg(F.sum("cents").alias("cents"), N.alias("n")).filter(F.col("user_id") % 2 == 0)
+    stats = rows.groupBy("user_id").agg(F.sum("cents").alias("cents"), N().alias("n")).filter(F.col("user_id") % 2 == 0)
     return K.latest_per_key(_run(t, stats, "update"), ["user_id"])
 
 
@@ -217,7 +219,7 @@ FROM events, range(2) r(i) WHERE event_id % 97 <> 0 GROUP BY 1, 2""")
 def _(t):
     stamp = F.to_timestamp(F.substring("stamp", 1, 20), "dd/MMM/yyyy:HH:mm:ss")
     rows = access_stream(t).withColumn("ts", stamp)
-    counted = A.windowed(rows, "ts", "40 seconds", ["status"], {"n": N}, slide="20 seconds")
+    counted = A.windowed(rows, "ts", "40 seconds", ["status"], {"n": N()}, slide="20 seconds")
     out = K.latest_per_key(_run(t, counted, "update"), ["window_start", "window_end", "status"])
     return _plain_times(out, "window_start").drop("window_end")
 
@@ -256,7 +258,7 @@ def _(t):
 
 @query("sink_records", "SELECT event_type AS key, event_type || ',' || count(*) || ',' || max(value) AS value FROM events GROUP BY event_type")
 def _(t):
-    stats = _events(t).groupBy("event_type").agg(N.alias("n"), F.max("value").alias("top"))
+    stats = _events(t).groupBy("event_type").agg(N().alias("n"), F.max("value").alias("top"))
     batches = _run(t, stats, "update", lambda path: K.record_writer(path, "event_type", ["event_type", "n", "top"]))
     return K.latest_per_key(batches, ["key"])
 
@@ -283,7 +285,7 @@ def _(t):
     out = shared_path(t.spark, "stream-table")
     K.finish(K.start_stream(_stream(t), shared_path(t.spark, "stream-state"), "append", format="parquet", path=out))
     schema = t.spark.read.parquet(out).schema
-    again = stream_files(t.spark, out, schema).groupBy("event_type").agg(N.alias("n"))
+    again = stream_files(t.spark, out, schema).groupBy("event_type").agg(N().alias("n"))
     return K.last_batch(_run(t, again, "complete"))
 
 

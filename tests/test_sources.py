@@ -74,3 +74,13 @@ def test_jdbc_options_and_modes(spark):
     }
     with pytest.raises(ValueError):
         jdbc.sink_jdbc(spark.range(1), target, "t", mode="truncate")
+
+
+def test_registry_loads_without_a_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 200"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
