@@ -38,6 +38,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.getConf().contains("spark.sql.shuffle.partitions"):
+        # One machine: Spark's cluster default would open 200 state stores per stream.
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 
