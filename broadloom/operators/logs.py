@@ -22,7 +22,9 @@ def _parts(column: str) -> Column:
 
 
 def _split(df: DataFrame, column: str) -> DataFrame:
-    parsed = df.withColumn("__parts", _parts(column))
+    # The one-element explode keeps the filter and the fields below from each
+    # evaluating the regex again when projections are collapsed.
+    parsed = df.select("*", F.explode(F.array(_parts(column))).alias("__parts"))
     size = F.get("__parts", F.lit(8))
     parsed = parsed.withColumn("__size", F.when(size == "-", F.lit(0).cast("long")).otherwise(size.try_cast("long")))
     return parsed.withColumn("__good", (F.size("__parts") == 9) & F.col("__size").isNotNull())
