@@ -7,17 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import idstore, packing, sharding
+from broadloom.llm import idstore, language, packing, quality, sharding, toxicity
 from broadloom.llm.common import documents
 from broadloom.llm.tokens import vocabulary_path
 
 SHARDS = 24
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train(docs))
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary_path())
 
 
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op6_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+
+
 def op9_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = idstore.new_store(spark)
     idstore.write_store(documents(spark, sf_dir), path, vocabulary_path())

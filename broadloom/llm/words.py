@@ -19,6 +19,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Also ASCII marks, so that "word," and "word" are one term.
+MARKS = _SPACE.copy()
+MARKS[:0x30] = MARKS[0x3A:0x41] = MARKS[0x5B:0x61] = MARKS[0x7B:0x80] = True
 _KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -49,9 +52,10 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
 class Words:
     """Word hashes of consecutive texts: ``hashes[first[i]:first[i + 1]]`` belong to text ``i``."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE):
+        """``apart``: for each byte, whether it stands between words."""
         low = _LOWER[data]
-        inside = ~_SPACE[low]
+        inside = ~apart[low]
         begins, ends = inside.copy(), inside.copy()
         begins[1:] &= ~inside[:-1]
         ends[:-1] &= ~inside[1:]
