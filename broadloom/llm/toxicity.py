@@ -19,7 +19,7 @@ from broadloom.llm.words import MARKS, Words
 
 BUCKETS = 1 << 18
 #: The fit takes at most so many labelled documents, chosen by a hash of their id.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 16_000
 FOLDS, LEFT_OUT = 5, 0
 CUT = 0.5
 #: Terms in fewer documents of the sample say nothing and have no weight.
@@ -72,8 +72,8 @@ def contrast(ones: np.ndarray, counts: np.ndarray, marked: int, total: int) -> n
     return np.abs(ones / max(marked, 1) - (counts - ones) / max(total - marked, 1)) / np.maximum(error, 1e-12)
 
 
-def fit(examples: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps: int = 2_500, batch: int = 64,
-        rate: float = 0.3, sparsity: float = 1e-4, decay: float = 1e-4, seed: int = 3) -> FactorizationMachine:
+def fit(examples: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps: int = 4_000, batch: int = 64,
+        rate: float = 0.5, sparsity: float = 1e-5, decay: float = 1e-4, seed: int = 3) -> FactorizationMachine:
     """Fit on distinct buckets per document (AdaGrad; soft threshold on the weights, decay on the factors).
 
     Without examples every score is 0.5; with one class, its smoothed share.
