@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import idstore, language, packing, quality, sharding, toxicity
+from broadloom.llm import idstore, language, ngram_join, packing, quality, sharding, toxicity
 from broadloom.llm.common import documents
 from broadloom.llm.tokens import vocabulary_path
 
 SHARDS = 24
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language.identify(docs, language.train(docs))
