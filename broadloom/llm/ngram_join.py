@@ -25,16 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadloom.llm import ranges
 from broadloom.llm.common import stored
 from broadloom.llm.graph import components
 from broadloom.llm.words import SHINGLE, mix, shingle_sets
 
 #: Levels go up to this share of a document's shingles.
 LEVEL_SHARE = 0.10
-#: Prefix shingles sorted in one group.
-GROUP_ENTRIES = 400_000
-#: A shingle in so many documents of one batch is known to be shared and skips its hash range.
-LOCAL_HOT = 8
 #: Cost of verifying a candidate, in postings read.
 VERIFY_COST = 20.0
 
@@ -67,83 +64,27 @@ def _members(size: int):
     return run
 
 
-def _prefixes(size: int, percent: int, groups: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            tokens, nodes, layers, seen = [], [], [], set()
-            for shingles in shingle_sets(batch.column(0), size):
-                n = len(shingles)
-                if not n or (node := signature(shingles)) in seen:
-                    continue
-                seen.add(node)
-                spare = n - int(least_overlap(np.int64(n), percent))
-                upto = min(n, spare + int(top_level(np.int64(n))))
-                tokens.append(shingles[:upto])
-                nodes.append(np.full(upto, node, np.int64))
-                layers.append(np.maximum(1, np.arange(1, upto + 1) - spare).astype(np.uint32))
-            if not tokens:
+def _prefixes(size: int, percent: int):
+    """Postings (shingle, set, layer) of the prefixes of a batch; equal sets once."""
+    def run(batch: pa.RecordBatch) -> ranges.Postings | None:
+        tokens, nodes, layers, seen = [], [], [], set()
+        for shingles in shingle_sets(batch.column(0), size):
+            n = len(shingles)
+            if not n or (node := signature(shingles)) in seen:
                 continue
-            token, node, layer = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(layers)
-            order = np.argsort(token, kind="stable")
-            token, node, layer = token[order], node[order], layer[order]
-            at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            count = np.diff(np.concatenate([at, [len(token)]]))
-            often = np.repeat(count, count)
-            # Ranges of the hash, and within them its low 32 bits.
-            group = ((token >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
-            low = token.astype(np.uint32)
-            rare = often < LOCAL_HOT
-            hot = at[count >= LOCAL_HOT]
-            one = np.zeros(len(hot), np.int64)
-            rows = [
-                (group[rare], group[rare], low[rare], node[rare], layer[rare], np.ones(int(rare.sum()), np.uint32)),
-                # One marker instead of the documents, which pass by beside it.
-                (group[hot], group[hot], low[hot], one, one.astype(np.uint32), count[count >= LOCAL_HOT].astype(np.uint32)),
-                (np.full(int((~rare).sum()), -1 - number), group[~rare], low[~rare], node[~rare], layer[~rare], often[~rare].astype(np.uint32)),
-            ]
-            out = {n: [] for n in ("part", "salt", "home", "token", "node", "layer", "weight")}
-            for part, home, t, d, y, w in rows:
-                if not len(part):
-                    continue
-                cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])).tolist() + [len(part)]
-                for a, b in zip(cut[:-1], cut[1:]):
-                    passing = part[a] < 0
-                    out["part"].append(int(part[a]))
-                    out["salt"].append(int(node[0]) if passing else 0)
-                    out["home"].append(home[a:b].astype("<u4").tobytes() if passing else b"")
-                    for name, value in (("token", t), ("node", d), ("layer", y), ("weight", w)):
-                        out[name].append(value[a:b].tobytes())
-            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+            seen.add(node)
+            spare = n - int(least_overlap(np.int64(n), percent))
+            upto = min(n, spare + int(top_level(np.int64(n))))
+            tokens.append(shingles[:upto])
+            nodes.append(np.full(upto, node, np.int64))
+            layers.append(np.maximum(1, np.arange(1, upto + 1) - spare))
+        if not tokens:
+            return None
+        return np.concatenate(tokens), np.concatenate(nodes), {"layer": np.concatenate(layers)}
 
     return run
 
 
-def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in table.column(name)), kind)
-
-
-def _shared(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """The entries of one hash range whose shingle two documents have."""
-    part = key[0].as_py()
-    token, node = _joined(table, "token", np.uint32).astype(np.int64), _joined(table, "node", np.int64)
-    layer, weight = _joined(table, "layer", np.uint32), _joined(table, "weight", np.uint32)
-    if part < 0:
-        token = (_joined(table, "home", np.uint32).astype(np.int64) << 32) | token
-        often = weight
-    else:
-        order = np.lexsort((node, token))
-        token, node, layer, weight = token[order], node[order], layer[order], weight[order]
-        # A copy of a document in another batch is no second document.
-        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1]) | (weight[1:] > 1)])
-        token, node, layer, weight = token[fresh], node[fresh], layer[fresh], weight[fresh]
-        at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        often = np.repeat(np.add.reduceat(weight, at), np.diff(np.concatenate([at, [len(token)]])))
-        kept = (often > 1) & (weight == 1)
-        token, node, layer, often = (part << 32) | token[kept], node[kept], layer[kept], often[kept]
-    return pa.table({"node": node, "token": token, "layer": layer.astype(np.int32), "often": often.astype(np.int64)})
-
-
 def choose_level(layer: np.ndarray, often: np.ndarray, top: int) -> int:
     """The cheapest level of one document, 0 if some level rules it out.
 
@@ -240,13 +181,12 @@ def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared
         .groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "nodes")
     spare = 1 - percent / 100 + LEVEL_SHARE
     entries = nodes.agg(F.coalesce(F.sum(F.col("n") * spare + 2), F.lit(0.0))).first()[0]
-    groups = max(1, int(entries // GROUP_ENTRIES))
-    packed = rows.where("doc_id IS NOT NULL").select("text").mapInArrow(
-        _prefixes(size, percent, groups),
-        "part long, salt long, home binary, token binary, node binary, layer binary, weight binary")
     shared = stored(
-        packed.groupBy("part", "salt").applyInArrow(_shared, "node long, token long, layer int, often long"), "shared")
-    lists = shared.groupBy("node").agg(F.collect_list(F.struct("token", "layer", "often")).alias("found"))
+        ranges.shared_postings(
+            rows.where("doc_id IS NOT NULL").select("text"), _prefixes(size, percent), {"layer": "<u4"},
+            ranges.group_count(entries)), "shared")
+    lists = shared.groupBy(F.col("owner").alias("node")).agg(
+        F.collect_list(F.struct("token", F.col("layer").cast("int").alias("layer"), "often")).alias("found"))
     postings = stored(
         nodes.join(lists, "node").select("rep", "n", "found")
         .mapInArrow(_levels, "node long, token long, layer int, level int, n long"), "postings")
