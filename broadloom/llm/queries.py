@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import idstore, language, ngram_join, packing, quality, sharding, toxicity
+from broadloom.llm import idstore, language, ngram_join, packing, quality, sharding, substring, toxicity
 from broadloom.llm.common import documents
 from broadloom.llm.tokens import vocabulary_path
 
@@ -23,6 +23,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(documents(spark, sf_dir))
+
+
 def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary_path())
 
