@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.llm import idstore, language, ngram_join, packing, quality, sharding, substring, toxicity
+from broadloom.llm import (
+    decontaminate, idstore, language, neighbours, ngram_join, packing, quality, sharding, substring, toxicity,
+)
 from broadloom.llm.common import documents
 from broadloom.llm.tokens import vocabulary_path
 
@@ -40,6 +42,14 @@ def op6_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
 
 
+def op7_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(documents(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0)
+
+
 def op9_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = idstore.new_store(spark)
     idstore.write_store(documents(spark, sf_dir), path, vocabulary_path())
