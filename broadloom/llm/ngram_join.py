@@ -1,18 +1,20 @@
 """Similarity join of documents on their word shingles, by adaptive multi-match prefixes.
 
-Shingles are ordered by their hash.  Two sets of Jaccard similarity t or more
-share at least ``l`` shingles among the first ``n - ceil(t n) + l`` of each, for
-every level ``l``: a longer prefix asks for more shared shingles.  Each document
-takes the level at which its estimated candidates cost least, and is out of the
-join as soon as some level finds fewer than ``l`` of its prefix in any other
-document.  Candidates are verified on the whole sets.
-
-The work on postings happens in three steps.  Prefix shingles travel to hash
-ranges as packed arrays and only those that two documents share come back as
-rows.  Documents are then tied to one hub per shingle, which settles groups of
-near copies with one comparison a document.  Last, what is still apart and
-shares enough is compared pair by pair, so that no link between two components
-is lost and no group is expanded into all its pairs.
+In any common order of the shingles, two sets of Jaccard similarity t or more
+share at least ``l`` among the first ``n - ceil(t n) + l`` of each, for every
+level ``l``: a longer prefix asks for more shared shingles.  A document is out of
+the join as soon as some level finds fewer than ``l`` of its prefix in any other
+document; each of the others takes the level at which its estimated candidates
+cost least.  Candidates are verified on the whole sets.
+
+First, prefixes in the order of the hashes rule out most documents: their
+shingles travel to hash ranges as packed arrays, and only those that two
+documents share come back.  Of the documents left all shingles are counted, so
+that their prefixes can take the rarest first; passages that many documents
+share then hardly enter one.  Documents are tied to one hub per shingle, which
+settles groups of near copies with one comparison a document.  Last, what is
+still apart and shares enough is compared pair by pair, so that no link between
+two components is lost and no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -86,7 +88,7 @@ def _prefixes(size: int, percent: int):
 
 
 def choose_level(layer: np.ndarray, often: np.ndarray, top: int) -> int:
-    """The cheapest level of one document, 0 if some level rules it out.
+    """The cheapest level of one document, 0 if some level up to ``top`` rules it out.
 
     ``layer``: ascending, for each shared shingle the first level whose prefix
     holds it; ``often``: in how many documents it is."""
@@ -98,29 +100,60 @@ def choose_level(layer: np.ndarray, often: np.ndarray, top: int) -> int:
     return int(levels[np.argmin(read + VERIFY_COST * read / levels)])
 
 
-def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents that no level rules out: rep, number of shingles, list of (token, layer, often)."""
     for batch in batches:
-        rep, n = (np.asarray(batch.column(k)) for k in (0, 1))
-        top = top_level(n)
-        lists = batch.column(2)
-        offsets = np.asarray(lists.offsets)
+        n = np.asarray(batch.column(1))
+        top, lists = top_level(n), batch.column(2)
+        edges = np.asarray(lists.offsets)
         token, layer, often = (np.asarray(lists.values.field(k)) for k in range(3))
-        out = []
+        keep = []
         for k in range(batch.num_rows):
-            part = slice(offsets[k], offsets[k + 1])
-            t, first = np.unique(token[part], return_index=True)
-            y, f = layer[part][first], often[part][first]
-            order = np.argsort(y, kind="stable")
-            t, y, f = t[order], y[order], f[order]
-            level = choose_level(y, f, int(top[k]))
-            if level:
-                upto = int(np.searchsorted(y, level, side="right"))
-                out.append((np.full(upto, rep[k]), t[:upto], y[:upto], np.full(upto, level), np.full(upto, n[k])))
-        if out:
-            columns = [np.concatenate(c) for c in zip(*out)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                ["node", "token", "layer", "level", "n"])
+            part = slice(edges[k], edges[k + 1])
+            _, first = np.unique(token[part], return_index=True)
+            order = np.argsort(layer[part][first], kind="stable")
+            if choose_level(layer[part][first][order], often[part][first][order], int(top[k])):
+                keep.append(k)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64()))], ["rep"])
+
+
+def _whole_sets(batch: pa.RecordBatch) -> ranges.Postings | None:
+    """Postings (shingle, document) of whole sets."""
+    tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+    if not tokens:
+        return None
+    owner = np.repeat(np.asarray(batch.column(0)), [len(t) for t in tokens])
+    return np.concatenate(tokens), owner, {}
+
+
+def _levels(percent: int):
+    """Postings of each document's prefix: its rarest shingles first, as long as its level asks for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, n = (np.asarray(batch.column(k)) for k in (0, 1))
+            top, lists = top_level(n), batch.column(2)
+            edges = np.asarray(lists.offsets)
+            token, often = (np.asarray(lists.values.field(k)) for k in range(2))
+            out = []
+            for k in range(batch.num_rows):
+                part = slice(edges[k], edges[k + 1])
+                t, f = token[part], often[part]
+                order = np.lexsort((t, f))
+                t, f = t[order], f[order]
+                # Shingles that no other document has come before all of these.
+                place = n[k] - len(t) + np.arange(1, len(t) + 1)
+                layer = np.maximum(1, place - (n[k] - least_overlap(n[k], percent)))
+                level = choose_level(layer, f, int(top[k]))
+                upto = int(np.searchsorted(layer, level, side="right")) if level else 0
+                if upto:
+                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], np.full(upto, level), np.full(upto, n[k])))
+            if out:
+                columns = [np.concatenate(c) for c in zip(*out)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
+                    ["node", "token", "layer", "level", "n"])
+
+    return run
 
 
 def _sets(size: int):
@@ -187,13 +220,21 @@ def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared
             ranges.group_count(entries)), "shared")
     lists = shared.groupBy(F.col("owner").alias("node")).agg(
         F.collect_list(F.struct("token", F.col("layer").cast("int").alias("layer"), "often")).alias("found"))
-    postings = stored(
-        nodes.join(lists, "node").select("rep", "n", "found")
-        .mapInArrow(_levels, "node long, token long, layer int, level int, n long"), "postings")
-    wanted = postings.select(F.col("node").alias("rep")).distinct().join(nodes.select("rep", "node"), "rep")
+    wanted = nodes.join(lists, "node").select("rep", "n", "found").mapInArrow(_survivors, "rep long")
+    wanted = stored(wanted.join(nodes.select("rep", "node", "n"), "rep"), "survivors")
     sets = stored(
-        rows.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "node", "text")
+        rows.join(wanted.select("rep", "node"), F.col("doc_id") == F.col("rep")).select("rep", "node", "text")
         .mapInArrow(_sets(size), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    # Of the documents left all shingles are counted, and the rarest make the prefixes.
+    left = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = stored(
+        ranges.shared_postings(sets.select("node", "shingles"), _whole_sets, {}, ranges.group_count(left)).select(
+            "token", F.col("owner").alias("node")), "common")
+    counted = common.join(common.groupBy("token").agg(F.count("*").alias("often")), "token")
+    lists = counted.groupBy("node").agg(F.collect_list(F.struct("token", "often")).alias("found"))
+    postings = stored(
+        wanted.select(F.col("rep").alias("node"), "n").join(lists, "node").select("node", "n", "found")
+        .mapInArrow(_levels(percent), "node long, token long, layer int, level int, n long"), "postings")
     return Prepared(members, nodes, postings, sets, percent)
 
 

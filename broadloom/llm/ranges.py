@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 
 #: Postings sorted in one group, about.
 GROUP_ENTRIES = 400_000
+#: Rows of a batch packed at a time.
+SLICE_ROWS = 2_500
 #: A token with so many postings in one batch passes beside its range.
 LOCAL_HOT = 8
 
@@ -108,10 +110,13 @@ def shared_postings(rows: DataFrame, postings: Callable[[pa.RecordBatch], Postin
     kind = ", ".join(["part long", "salt long", *(f"{n} binary" for n in ("home", "token", "owner", "weight", *fields))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            found = postings(batch)
-            if found is not None and len(found[0]):
-                yield _pack(number, found, groups, fields)
+        number = 0
+        for batch in batches:
+            for low in range(0, batch.num_rows, SLICE_ROWS):
+                found = postings(batch.slice(low, SLICE_ROWS))
+                if found is not None and len(found[0]):
+                    yield _pack(number, found, groups, fields)
+                number += 1
 
     out = ", ".join(["token long", "owner long", "often long", *(f"{k} long" for k in fields)])
     return rows.mapInArrow(run, kind).groupBy("part", "salt").applyInArrow(_grouped(fields), out)
