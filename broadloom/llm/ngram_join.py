@@ -29,14 +29,9 @@ from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
 from broadloom.llm.common import stored
-from broadloom.llm.graph import components
+from broadloom.llm.prefixes import LEVEL_SHARE, PrefixJoin, choose_level, least_overlap, linked_components, top_level
 from broadloom.llm.words import SHINGLE, mix, shingle_sets
 
-#: Levels go up to this share of a document's shingles.
-LEVEL_SHARE = 0.10
-#: Cost of verifying a candidate, in postings read.
-VERIFY_COST = 20.0
-
 
 def signature(shingles: np.ndarray) -> int:
     """64-bit hash of a set; equal sets have equal signatures."""
@@ -44,15 +39,6 @@ def signature(shingles: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
-    """Shingles that a set of ``n`` shares at least with any set it links with."""
-    return -(-percent * n // 100)
-
-
-def top_level(n: np.ndarray) -> np.ndarray:
-    return np.maximum(1, np.ceil(LEVEL_SHARE * n)).astype(np.int64)
-
-
 def _members(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,19 +73,6 @@ def _prefixes(size: int, percent: int):
     return run
 
 
-def choose_level(layer: np.ndarray, often: np.ndarray, top: int) -> int:
-    """The cheapest level of one document, 0 if some level up to ``top`` rules it out.
-
-    ``layer``: ascending, for each shared shingle the first level whose prefix
-    holds it; ``often``: in how many documents it is."""
-    levels = np.arange(1, top + 1)
-    within = np.searchsorted(layer, levels, side="right")
-    if (within < levels).any():
-        return 0
-    read = np.concatenate([[0], np.cumsum(often)])[within].astype(float)
-    return int(levels[np.argmin(read + VERIFY_COST * read / levels)])
-
-
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents that no level rules out: rep, number of shingles, list of (token, layer, often)."""
     for batch in batches:
@@ -117,45 +90,6 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64()))], ["rep"])
 
 
-def _whole_sets(batch: pa.RecordBatch) -> ranges.Postings | None:
-    """Postings (shingle, document) of whole sets."""
-    tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
-    if not tokens:
-        return None
-    owner = np.repeat(np.asarray(batch.column(0)), [len(t) for t in tokens])
-    return np.concatenate(tokens), owner, {}
-
-
-def _levels(percent: int):
-    """Postings of each document's prefix: its rarest shingles first, as long as its level asks for."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rep, n = (np.asarray(batch.column(k)) for k in (0, 1))
-            top, lists = top_level(n), batch.column(2)
-            edges = np.asarray(lists.offsets)
-            token, often = (np.asarray(lists.values.field(k)) for k in range(2))
-            out = []
-            for k in range(batch.num_rows):
-                part = slice(edges[k], edges[k + 1])
-                t, f = token[part], often[part]
-                order = np.lexsort((t, f))
-                t, f = t[order], f[order]
-                # Shingles that no other document has come before all of these.
-                place = n[k] - len(t) + np.arange(1, len(t) + 1)
-                layer = np.maximum(1, place - (n[k] - least_overlap(n[k], percent)))
-                level = choose_level(layer, f, int(top[k]))
-                upto = int(np.searchsorted(layer, level, side="right")) if level else 0
-                if upto:
-                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], np.full(upto, level), np.full(upto, n[k])))
-            if out:
-                columns = [np.concatenate(c) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                    ["node", "token", "layer", "level", "n"])
-
-    return run
-
-
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,40 +104,14 @@ def _sets(size: int):
     return run
 
 
-def _verified(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, shared = [], []
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    keep.append(k)
-                    shared.append(both)
-            kept = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(kept), batch.column(1).take(kept), pa.array(shared, pa.int64())], ["a", "b", "shared"])
-
-    return run
-
-
 @dataclass
 class Prepared:
     """``members``: doc_id, n_shingles, node (set signature); ``nodes``: node, representative and size of each
-    distinct set; ``postings``: the chosen prefixes; ``sets``: whole sets of the documents still in the join."""
+    distinct set; ``join``: the sets of the documents still in the join, by representative."""
 
     members: DataFrame
     nodes: DataFrame
-    postings: DataFrame
-    sets: DataFrame
-    percent: int
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough, with their number of shared shingles."""
-        left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        found = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(found.mapInArrow(_verified(self.percent), "a long, b long, shared long"), "links")
+    join: PrefixJoin
 
 
 def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared:
@@ -225,72 +133,7 @@ def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared
     sets = stored(
         rows.join(wanted.select("rep", "node"), F.col("doc_id") == F.col("rep")).select("rep", "node", "text")
         .mapInArrow(_sets(size), "node long, shingles binary").dropDuplicates(["node"]), "sets")
-    # Of the documents left all shingles are counted, and the rarest make the prefixes.
-    left = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    common = stored(
-        ranges.shared_postings(sets.select("node", "shingles"), _whole_sets, {}, ranges.group_count(left)).select(
-            "token", F.col("owner").alias("node")), "common")
-    counted = common.join(common.groupBy("token").agg(F.count("*").alias("often")), "token")
-    lists = counted.groupBy("node").agg(F.collect_list(F.struct("token", "often")).alias("found"))
-    postings = stored(
-        wanted.select(F.col("rep").alias("node"), "n").join(lists, "node").select("node", "n", "found")
-        .mapInArrow(_levels(percent), "node long, token long, layer int, level int, n long"), "postings")
-    return Prepared(members, nodes, postings, sets, percent)
-
-
-def _fitting(percent: int) -> F.Column:
-    """Sizes of two sets that could be similar enough."""
-    return (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
-
-
-def _level() -> F.Column:
-    return F.least("p.level", "q.level")
-
-
-def candidates(left: DataFrame, right: DataFrame, apart: F.Column, percent: int) -> DataFrame:
-    """Pairs (a, b) that share as many prefix shingles as the smaller of their levels asks for."""
-    near = F.greatest("p.layer", "q.layer") <= _level()
-    return (
-        left.alias("p").join(right.alias("q"), (F.col("p.token") == F.col("q.token")) & apart & _fitting(percent) & near)
-        .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-        .agg(F.count("*").alias("found"), F.first(_level()).alias("asked"))
-        .where("found >= asked").select("a", "b")
-    )
-
-
-def _to_hubs(postings: DataFrame, hub: F.Column, percent: int) -> DataFrame:
-    """(document, hub) for the hub each document shares most shingles with."""
-    hubs = postings.groupBy("token").agg(hub.alias("h")).select(
-        "token", "h.node", "h.component", "h.n")
-    return (
-        postings.alias("p").join(
-            hubs.alias("q"),
-            (F.col("p.token") == F.col("q.token")) & (F.col("p.component") != F.col("q.component")) & _fitting(percent))
-        .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).count()
-        .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-    )
-
-
-def linked_components(ready: Prepared) -> DataFrame:
-    """(node, component) of the representatives with a link."""
-    links = None
-    postings = ready.postings.withColumn("component", F.col("node"))
-    whole = F.struct("node", "component", "n")
-    for hub in (F.min(whole), F.max_by(whole, F.xxhash64("node"))):
-        found = ready.verify(_to_hubs(postings, hub, ready.percent)).select("a", "b")
-        links = found if links is None else links.union(found)
-        known = stored(components(links), "components")
-        links = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        postings = ready.postings.join(known, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        # Shingles within one component can tell nothing new.
-        open_tokens = postings.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        postings = stored(
-            postings.join(open_tokens.where("x <> y").select("token"), "token", "left_semi")
-            .select("node", "token", "layer", "level", "n", "component"), "open")
-    apart = F.col("p.component") < F.col("q.component")
-    last = ready.verify(candidates(postings, postings, apart, ready.percent)).select("a", "b")
-    return components(links.union(last))
+    return Prepared(members, nodes, PrefixJoin.of(sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:
@@ -303,7 +146,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     Other columns are ignored.  An empty table gives no rows.
     """
     ready = prepare(docs, percent, size)
-    known = linked_components(ready)
+    known = linked_components(ready.join)
     named = ready.nodes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
         "node", F.coalesce("component", "rep").alias("component"))
     return ready.members.join(named, "node", "left").select(
@@ -315,10 +158,8 @@ def similar_pairs(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> tu
     """The whole join: (a, b, shared) for every two different sets that link, by their representatives,
     and the membership (doc_id, n_shingles, representative).  Copies are not expanded into pairs."""
     ready = prepare(docs, percent, size)
-    apart = F.col("p.node") < F.col("q.node")
-    pairs = ready.verify(candidates(ready.postings, ready.postings, apart, percent))
     members = ready.members.join(ready.nodes.select("node", F.col("rep").alias("representative")), "node", "left")
-    return pairs, members.select("doc_id", "n_shingles", "representative")
+    return ready.join.pairs(), members.select("doc_id", "n_shingles", "representative")
 
 
 def one_of_each(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:

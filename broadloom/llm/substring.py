@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
 from broadloom.llm.common import stored, text_parts
-from broadloom.llm.graph import components
+from broadloom.llm.prefixes import PrefixJoin, linked_components
 from broadloom.llm.words import SHINGLE, Words, mix, shingle_hashes
 
 #: A paragraph ends where a hash is smallest among so many words before and after.
@@ -122,7 +122,7 @@ def _postings(bands: int):
 
 
 def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(signature, shingles) of the wanted paragraphs: text and a list of first words."""
+    """(class, shingles) of the wanted paragraphs: text and a list of first words."""
     for batch in batches:
         wanted = batch.column(1)
         edges, firsts = np.asarray(wanted.offsets), np.asarray(wanted.values)
@@ -138,56 +138,24 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if p < len(starts) and bound[p + 1] > bound[p]:
                         names.append(int(signature[p:p + 1].view(np.int64)[0]))
                         sets.append(s[bound[p]:bound[p + 1]].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["signature", "shingles"])
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both >= SIMILARITY * (len(x) + len(y) - both):
-                keep.append(k)
-        kept = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
 def _class_links(shared: DataFrame, rows: DataFrame) -> DataFrame | None:
     """(node, component) of the paragraph classes that are similar to a different one; None if no band holds two.
 
-    First every class of a band is compared with one hub, which settles groups of
-    variants at a comparison each; then the classes that are still in different
-    components of a band, pair by pair."""
+    Classes that meet another in a band are compared exactly, by the prefixes of
+    their shingle sets: common shingles that many of them share cost nothing."""
     held = stored(shared.groupBy("token", "signature").agg(F.min(F.struct("owner", "first")).alias("at")), "bands")
     mixed = held.groupBy("token").agg(F.min("signature").alias("x"), F.max("signature").alias("y")).where("x < y")
-    held = stored(held.join(mixed.select("token", F.col("x").alias("hub")), "token"), "mixed")
-    if held.isEmpty():
-        return None
-    places = held.groupBy("signature").agg(F.min("at").alias("at"))
+    places = held.join(mixed.select("token"), "token", "left_semi").groupBy("signature").agg(F.min("at").alias("at"))
     wanted = places.groupBy(F.col("at.owner").alias("owner")).agg(F.sort_array(F.collect_set("at.first")).alias("firsts"))
     sets = stored(
         rows.join(wanted, rows["doc_id"] == wanted["owner"]).select("text", "firsts")
-        .mapInArrow(_class_sets, "signature long, shingles binary").dropDuplicates(["signature"]), "paragraphs")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("signature").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("signature").alias("b"), F.col("shingles").alias("y"))
-        return stored(
-            pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_similar, "a long, b long"), "links")
-
-    links = verified(held.where("signature <> hub").select(F.col("hub").alias("a"), F.col("signature").alias("b")).distinct())
-    known = stored(components(links), "components")
-    labelled = held.select("token", "signature").join(known, held["signature"] == known["node"], "left").select(
-        "token", "signature", F.coalesce("component", "signature").alias("component"))
-    apart = labelled.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    labelled = stored(labelled.join(apart.select("token"), "token", "left_semi"), "apart")
-    pairs = labelled.alias("p").join(
-        labelled.alias("q"), (F.col("p.token") == F.col("q.token")) & (F.col("p.component") < F.col("q.component")))
-    pairs = pairs.select(F.col("p.signature").alias("a"), F.col("q.signature").alias("b")).distinct()
-    more = verified(pairs)
-    edges = known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
-    return components(edges)
+        .mapInArrow(_class_sets, "node long, shingles binary").dropDuplicates(["node"]), "paragraphs")
+    if sets.isEmpty():
+        return None
+    return linked_components(PrefixJoin.of(sets, round(100 * SIMILARITY)))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
