@@ -35,7 +35,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, so a lost executor costs one job and not the chain; the
     shuffle files of the job go when it ends, as nothing reads them again.
     """
-    spark = df.sparkSession
+    spark = prepare(df.sparkSession)
     path = shared_path(spark, label)
     with _setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
