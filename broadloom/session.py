@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of long texts or sets: a batch for Python is bounded by bytes, not by rows alone.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 
 
@@ -35,13 +38,17 @@ def build_session(app: str = "broadloom", master: str | None = None, conf: dict
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
-    for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+    """Apply the runtime settings to a session somebody else created, where it has none of its own."""
     context = spark.sparkContext
-    if context.master.startswith("local") and not context.getConf().contains("spark.sql.shuffle.partitions"):
+    chosen = spark.conf.getAll
+    for key, value in RUNTIME_CONF.items():
+        if key not in chosen:
+            spark.conf.set(key, value)
+    if context.master.startswith("local") and "spark.sql.shuffle.partitions" not in chosen:
         # One machine: Spark's cluster default would open 200 state stores per stream.
         spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
+    # Python workers find this package wherever the driver found it.
+    context.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     return spark
 
 
