@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -51,25 +52,39 @@ def variant_symbol(column: str, seed_by: Sequence[str]) -> Column:
     )
 
 
-def primes_up_to(spark: SparkSession, limit: int) -> DataFrame:
-    """Primes not above ``limit``: the numbers no smaller factor divides.
-
-    Multiples are generated per factor and removed by an anti join.
-    """
-    numbers = spark.range(2, limit + 1).withColumnRenamed("id", "n")
-    factors = spark.range(2, int(limit**0.5) + 1).withColumnRenamed("id", "f")
-    multiples = factors.select(
-        F.explode(F.sequence(F.col("f") * F.col("f"), F.lit(limit).cast("long"), F.col("f"))).alias("n")
-    )
-    return numbers.join(multiples, "n", "left_anti")
+#: Bases for which the strong-pseudoprime test is exact on all 64-bit numbers.
+_PRIME_BASES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+
+
+def _prime(n: int | None) -> bool | None:
+    if n is None or n < 2:
+        return None if n is None else False
+    for p in _PRIME_BASES:
+        if n % p == 0:
+            return n == p
+    odd, twos = n - 1, 0
+    while odd % 2 == 0:
+        odd, twos = odd // 2, twos + 1
+    for base in _PRIME_BASES:
+        x = pow(base, odd, n)
+        if x in (1, n - 1):
+            continue
+        for _ in range(twos - 1):
+            x = x * x % n
+            if x == n - 1:
+                break
+        else:
+            return False
+    return True
 
 
 def is_prime(column: str) -> Column:
-    """Trial division by every candidate up to the square root."""
-    n = F.col(column)
-    root = F.floor(F.sqrt(n.cast("double"))).cast("long")
-    divisors = F.when(root >= 2, F.sequence(F.lit(2).cast("long"), root)).otherwise(F.array().cast("array<bigint>"))
-    return (n > 1) & ~F.exists(divisors, lambda d: n % d == 0)
+    """Whether a whole number is prime, by strong-pseudoprime tests; NULL for NULL."""
+    @F.arrow_udf("boolean")
+    def test(numbers: pa.Array) -> pa.Array:
+        return pa.array([_prime(n) for n in numbers.to_pylist()], pa.bool_())
+
+    return test(F.col(column).cast("long"))
 
 
 def hot_index(columns: Sequence[str]) -> Column:

@@ -32,13 +32,13 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def argmax(df: DataFrame, keys: Sequence[str], measure: str, ties: Sequence[str]) -> DataFrame:
-    """Per key, the row with the largest measure; ties go to the smallest ``ties``.
+    """Per key, the row with the largest numeric measure; ties go to the smallest ``ties``.
 
-    ``ties`` must be numeric or the row set must not tie beyond ``measure``.
+    ``ties`` may be of any type that sorts; rows without a measure come last.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(measure), *[(-F.col(t)).alias(t) for t in ties])
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
+    order = F.struct(F.col(measure).isNull().alias("none"), (-F.col(measure)).alias("least"), *ties)
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__row"))
     return best.select(*keys, "__row.*")
 
 
@@ -66,19 +66,11 @@ def sum_product_user(df: DataFrame, keys: Sequence[str], a: str, b: str, name: s
 
 
 def agg_mapside(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Explicit combiner: sum inside each Arrow batch, then merge by key.
+    """Sum per key, combined in every task before the shuffle.
 
-    Equal to ``groupBy(key).sum(value)``, whose partial aggregation does the
-    same inside the JVM and is the form to prefer.
+    Partial aggregation is the combiner; the plan shows a partial and a final sum.
     """
-    fields = df.select(key, F.col(value).cast("double").alias(value)).schema
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby(key, as_index=False, dropna=False)[value].sum()
-
-    partial = df.select(key, F.col(value).cast("double").alias(value)).mapInPandas(combine, fields)
-    return partial.groupBy(key).agg(F.sum(value).alias(name))
+    return df.groupBy(key).agg(F.sum(F.col(value).cast("double")).alias(name))
 
 
 def words(df: DataFrame, column: str, lower: bool = False) -> DataFrame:

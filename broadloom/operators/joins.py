@@ -58,8 +58,12 @@ def join_broadcast_manual(big: DataFrame, small: DataFrame, keys: Sequence[str])
 
 
 def lookup_enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, default=0) -> DataFrame:
-    """Add ``value`` from a lookup table, ``default`` where the key is absent."""
-    joined = df.join(broadcast_checked(lookup.select(key, value)), key, "left")
+    """Add ``value`` from a lookup table, ``default`` where the key is absent.
+
+    A key that the lookup has twice gives its largest value: rows of ``df`` are never multiplied.
+    """
+    one = lookup.groupBy(key).agg(F.max(value).alias(value))
+    joined = df.join(broadcast_checked(one), key, "left")
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 

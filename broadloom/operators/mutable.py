@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +31,17 @@ def table_merge(
 
     Expressions name source columns as ``s_<column>`` and target columns as they
     are; the defaults copy every column from the source.  A key that occurs
-    twice in the source raises, since the outcome would be ambiguous.
+    twice in the source raises, since the outcome would be ambiguous.  A key with
+    a NULL matches nothing: each such source row is inserted.
     """
     keys = list(keys)
     rest = [c for c in target.columns if c not in keys]
     update = update if update is not None else {c: F.col(f"s_{c}") for c in rest}
     insert = insert if insert is not None else {c: F.col(f"s_{c}") for c in rest}
     others = [c for c in source.columns if c not in keys]
-    single = source.groupBy(*keys).agg(
+    blank = reduce(or_, [F.col(k).isNull() for k in keys])
+    nameless = source.filter(blank).select(*keys, *[F.col(c).alias(f"s_{c}") for c in others])
+    single = source.filter(~blank).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__k"), F.max(F.struct(F.lit(1).alias("__one"), *others)).alias("__s")
     )
     unique = F.when(F.col("__k") > 1, F.raise_error(F.lit("table_merge: a source key occurs twice")).cast("boolean"))
@@ -52,7 +57,8 @@ def table_merge(
             for c in target.columns
         ]
     )
-    fresh = single.join(target.select(*keys).distinct(), keys, "left_anti").select(
+    unmatched = single.join(target.select(*keys).distinct(), keys, "left_anti").drop("__in_s").unionByName(nameless)
+    fresh = unmatched.select(
         *[F.col(c) if c in keys else insert.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns]
     )
     return matched.unionByName(fresh)

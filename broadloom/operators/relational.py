@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadloom.plans.sizing import broadcast_checked
+
 
 def add_cols(df: DataFrame, base: str, n: int, prefix: str = "col") -> DataFrame:
     """Add ``prefix1..prefixN`` holding ``base * i``, in one projection."""
@@ -83,22 +85,12 @@ def classify_transactions(
     }
 
 
-def expand_by_list(df: DataFrame, dimension: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every row of ``df`` with every row of a short reference list.
+def expand_by_list(df: DataFrame, dimension: DataFrame) -> DataFrame:
+    """Every row of ``df`` with every row of a reference list.
 
-    The list is measured first and refused beyond ``max_rows``; it becomes an
-    array literal, so the expansion is a map over ``df`` without a shuffle.
+    The list is measured and broadcast if it is small, so the expansion is a map over ``df``.
     """
-    rows = dimension.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"the list has more than {max_rows} rows; join on a key instead")
     clash = set(df.columns) & set(dimension.columns)
     if clash:
         raise ValueError(f"rename shared columns first: {sorted(clash)}")
-    entries = F.array(
-        *[
-            F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in dimension.schema.fields])
-            for row in rows
-        ]
-    )
-    return df.withColumn("__entry", F.explode(entries)).select(*df.columns, "__entry.*")
+    return df.crossJoin(broadcast_checked(dimension))

@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# A side whose files alone are this many times the limit is refused unread.
-_CLEARLY_TOO_BIG = 16
 
 
 @dataclass(frozen=True)
@@ -43,12 +41,9 @@ def broadcast_checked(
     """``df`` with a broadcast hint if its measured size is within the limits.
 
     Beyond them ``df`` comes back without a hint, so Spark plans a shuffled
-    join (which adaptive execution splits on skewed keys).
+    join (which adaptive execution splits on skewed keys).  The measuring pass
+    runs the side once more: write a costly side first.
     """
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    scans = df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
-    if scans and estimate > max_bytes * _CLEARLY_TOO_BIG:
-        return df
     size = measure_side(df)
     if size.rows <= max_rows and size.bytes <= max_bytes:
         return F.broadcast(df)

@@ -166,9 +166,10 @@ def _(t):
 
 @query("agg_pivot", """
 SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error,
-       count(*) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY 1""")
+       count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'signup') AS signup,
+       count(*) FILTER (event_type = 'view') AS "view" FROM events GROUP BY 1""")
 def _(t):
-    return A.count_matrix(t.events, "user_id", "event_type", ["click", "error", "purchase"])
+    return A.count_matrix(t.events, "user_id", "event_type", ["click", "error", "purchase", "signup", "view"])
 
 
 @query("agg_argmax", """

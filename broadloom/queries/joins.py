@@ -268,17 +268,20 @@ def _(t):
 
 
 @query("cogroup_three", """
-WITH k AS (SELECT DISTINCT user_id FROM events WHERE event_type IN ('click', 'view', 'error') AND value > 90),
-     a AS (SELECT user_id, count(*) AS n, max(value) AS m FROM events WHERE event_type = 'click' AND value > 90 GROUP BY 1),
-     b AS (SELECT user_id, count(*) AS n, max(value) AS m FROM events WHERE event_type = 'view' AND value > 90 GROUP BY 1),
-     c AS (SELECT user_id, count(*) AS n, max(value) AS m FROM events WHERE event_type = 'error' AND value > 90 GROUP BY 1)
-SELECT k.user_id, coalesce(a.n, 0) AS click_n, a.m AS click_max, coalesce(b.n, 0) AS view_n, b.m AS view_max,
-       coalesce(c.n, 0) AS error_n, c.m AS error_max
-FROM k LEFT JOIN a USING (user_id) LEFT JOIN b USING (user_id) LEFT JOIN c USING (user_id)""")
-def _(t):
-    high = t.events.filter(F.col("value") > 90)
-    sides = [(kind, high.filter(F.col("event_type") == kind), "value") for kind in ("click", "view", "error")]
-    return J.cogroup_three(sides, ["user_id"])
+WITH e AS (SELECT user_id AS k, count(*) AS n, max(value) AS m FROM events GROUP BY 1),
+     o AS (SELECT o_custkey AS k, count(*) AS n, max(o_totalprice) AS m FROM orders GROUP BY 1),
+     d AS (SELECT doc_id AS k, count(*) AS n, max(n_chars) AS m FROM documents GROUP BY 1),
+     k AS (SELECT k FROM e UNION SELECT k FROM o UNION SELECT k FROM d)
+SELECT k.k, coalesce(e.n, 0) AS event_n, e.m AS event_max, coalesce(o.n, 0) AS order_n, o.m AS order_max,
+       coalesce(d.n, 0) AS doc_n, d.m AS doc_max
+FROM k LEFT JOIN e USING (k) LEFT JOIN o USING (k) LEFT JOIN d USING (k)""")
+def _(t):
+    sides = [
+        ("event", t.events.select(F.col("user_id").alias("k"), "value"), "value"),
+        ("order", t.orders.select(F.col("o_custkey").alias("k"), "o_totalprice"), "o_totalprice"),
+        ("doc", t.documents.select(F.col("doc_id").alias("k"), "n_chars"), "n_chars"),
+    ]
+    return J.cogroup_three(sides, ["k"])
 
 
 _SALTED = """

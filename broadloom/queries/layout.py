@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from broadloom.operators import layout as L
 from broadloom.operators import skew as S
 from broadloom.queries.registry import query
-from broadloom.session import checkpointed, shared_path
+from broadloom.session import checkpointed, materialised, shared_path
 from broadloom.sources import files
 
 
@@ -48,16 +48,18 @@ def _(t):
     return placed.select("conv_id", "turn", "bucket", (F.col("at") == F.col("bucket")).alias("placed"))
 
 
-@query("partition_profile", "SELECT count(*) AS n FROM lineitem")
+@query("partition_profile", "SELECT count(*) AS n, 8 AS parts, true AS even FROM lineitem")
 def _(t):
-    return L.partition_profile(t.lineitem.select("l_orderkey").repartition(_parallelism(t))).agg(F.sum("n").alias("n"))
+    profile = L.partition_profile(t.lineitem.select("l_orderkey").repartition(8))
+    return profile.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).cast("int").alias("parts"), (F.max("n") - F.min("n") <= 8 * _parallelism(t)).alias("even"))
 
 
 @query("cached", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)")
 def _(t):
     with L.cached(t.orders.select("o_orderkey", "o_totalprice")) as rows:
         mean = rows.agg(F.avg("o_totalprice")).first()[0]
-        return rows.filter(F.col("o_totalprice") > mean)
+        return materialised(rows.filter(F.col("o_totalprice") > mean), "above-mean")  # both reads inside the block
 
 
 @query("checkpointed", "SELECT l_returnflag, count(*) AS n FROM (SELECT DISTINCT l_returnflag, l_partkey FROM lineitem) GROUP BY 1")

@@ -56,14 +56,14 @@ def _(t):
 @query("fit_forest")
 def _(t):
     train, test = _vectors(t)
-    _, predicted = M.fit_predict(M.forest("label", depth=6, bins=32, trees=5), train, test)
+    _, predicted = M.fit_predict(M.forest("label"), train, test)
     return M.eval_classifier(predicted, "label", "prediction")
 
 
 @query("fit_linear")
 def _(t):
     train, test = _lines(t)
-    _, predicted = M.fit_predict(M.linear("l_extendedprice", iterations=20), train, test)
+    _, predicted = M.fit_predict(M.linear("l_extendedprice"), train, test)
     return M.eval_regression(predicted, "l_extendedprice", "prediction")
 
 
@@ -85,7 +85,7 @@ def _(t):
 def _(t):
     train, _ = _lines(t)
     judge = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse")
-    return M.grid_search(M.linear("l_extendedprice", iterations=10), {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 1.0]}, judge, train)[1]
+    return M.grid_search(M.linear("l_extendedprice"), {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 1.0]}, judge, train)[1]
 
 
 @query("feature_importance")

@@ -237,9 +237,10 @@ def _(t):
 
 
 @query("topk_two_phase", """
-SELECT DISTINCT l_partkey, l_quantity FROM lineitem ORDER BY l_quantity DESC, l_partkey LIMIT 100""")
+SELECT DISTINCT l_partkey, p_rank FROM (SELECT l_partkey, percent_rank() OVER (ORDER BY l_extendedprice) AS p_rank FROM lineitem)
+ORDER BY p_rank DESC, l_partkey LIMIT 100""")
 def _(t):
-    return W.topk_two_phase(t.lineitem, ["l_partkey", "l_quantity"], [F.desc("l_quantity"), F.asc("l_partkey")], 100)
+    return W.topk_percent_ranks(t.lineitem.select("l_partkey", "l_extendedprice"), "l_partkey", ["l_extendedprice"], 100)
 
 
 @query("monotonic_id")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType, _parse_datatype_string
 
 from broadloom.functions.scalars import joined_message
 from broadloom.sources.jdbc import JdbcTarget, sink_jdbc
@@ -58,25 +59,56 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _committed(spark: SparkSession, folder: str) -> bool:
+    files, place = _files(spark, f"{folder}/_SUCCESS")
+    return files.exists(place)
+
+
 def batch_writer(path: str, format: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """Write every batch to ``path/batch=<id>``; a replay overwrites it."""
+    """Write every batch to ``path/batch=<id>``.
+
+    A replayed batch has the same rows, so one that is committed stays as it is;
+    one that was cut short is written anew.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").format(format).save(f"{path}/batch={batch_id}")
+        folder = f"{path}/batch={batch_id}"
+        if not _committed(rows.sparkSession, folder):
+            rows.write.mode("overwrite").format(format).save(folder)
 
     return write
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batch rows with their ``batch`` number."""
-    return spark.read.option("basePath", path).parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
+    """All rows of committed batches with their ``batch`` number.
+
+    Safe beside a running stream.  ``schema`` (without ``batch``) is needed
+    where no batch may be committed yet: the result is then empty.
+    """
+    files, place = _files(spark, path)
+    found = files.listStatus(place) if files.exists(place) else []
+    folders = [s.getPath().toString() for s in found if s.getPath().getName().startswith("batch=")]
+    folders = [f for f in folders if _committed(spark, f)]
+    if not folders:
+        if schema is None:
+            raise ValueError(f"no committed batch below {path}; give a schema to read it as empty")
+        kind = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+        return spark.createDataFrame([], StructType([*kind.fields, StructField("batch", IntegerType())]))
+    return spark.read.option("basePath", path).parquet(*folders)
 
 
 def latest_per_key(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Current result of an update-mode stream: each key's newest row."""
     rest = [c for c in batches.columns if c not in keys and c != "batch"]
-    newest = batches.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
-    return newest.select(*keys, "__row.*")
+    # Two rows of one key in a batch: the one that sorts last wins, whatever the order of arrival.
+    newest = batches.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("__row")).select(*keys, "__row.*").drop("batch")
+    return newest.select(*keys, *rest)
 
 
 def last_batch(batches: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from broadloom.operators import mutable as M
 from broadloom.operators import relational as R
 from broadloom.operators import skew as K
 from broadloom.operators.baskets import item_totals, pair_cooccurrence, pair_weights
+from broadloom.session import prepare
 from broadloom.streaming.progress import resolve_start_offsets
 
 TEST_YEARS = [(1, 2000), (1, 2001), (1, 2002), (1, 2010), (2, 2011), (2, 2012), (2, 2016), (2, 2017)]
@@ -55,9 +56,9 @@ def test_join_as_union_refuses_duplicate_keys(spark):
         J.join_as_union(a, b, ["k"]).collect()
 
 
-def test_expand_refuses_a_long_list(spark):
-    with pytest.raises(ValueError):
-        R.expand_by_list(spark.range(3).toDF("a"), spark.range(11).toDF("b"), max_rows=10)
+def test_expand_takes_a_list_of_any_length(spark):
+    out = R.expand_by_list(spark.range(3).toDF("a"), spark.range(11_000).toDF("b"))
+    assert out.distinct().count() == 33_000
 
 
 def test_lookup_and_manual_broadcast(spark):
@@ -207,10 +208,10 @@ def test_month_names_and_primes(spark):
     df = spark.createDataFrame([("31-OCT-2019",), ("2019-10-31",), ("05-Jan-2020",), ("rubbish",)], "s string")
     days = [str(r[0]) for r in df.select(S.parse_month_name("s")).collect()]
     assert days == ["2019-10-31", "2019-10-31", "2020-01-05", "None"]
-    primes = sorted(r.n for r in S.primes_up_to(spark, 30).collect())
-    assert primes == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29]
-    tested = spark.range(31).filter(S.is_prime("id"))
-    assert sorted(r.id for r in tested.collect()) == primes
+    tested = spark.range(-2, 31).filter(S.is_prime("id"))
+    assert sorted(r.id for r in tested.collect()) == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29]
+    large = spark.createDataFrame([(9_223_372_036_854_775_783,), (9_223_372_036_854_775_781,), (3_215_031_751,), (None,)], "n bigint")
+    assert [r[0] for r in large.select(S.is_prime("n")).collect()] == [True, False, False, None]
 
 
 def test_variant_symbol_only_changes_case(spark):
@@ -232,3 +233,34 @@ def test_start_offsets(spark):
 def test_user_function(spark):
     df = spark.createDataFrame([("aBC",), (None,)], "s string")
     assert [r[0] for r in df.select(make_capitalise()("s")).collect()] == ["Abc", None]
+
+
+def test_lookup_takes_one_value_per_key(spark):
+    fact = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    out = J.lookup_enrich(fact, spark.createDataFrame([(1, 5), (1, 7)], "k int, w int"), "k", "w")
+    assert sorted(map(tuple, out.select("k", "v", "w").collect())) == [(1, "x", 7), (2, "y", 0)]
+
+
+def test_merge_inserts_every_null_key(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "t")], "k int, v string")
+    source = spark.createDataFrame([(1, "b"), (None, "c"), (None, "d")], "k int, v string")
+    out = M.table_merge(target, source, ["k"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "b"), (None, "t"), (None, "c"), (None, "d")], key=str)
+
+
+def test_argmax_breaks_ties_by_any_type(spark):
+    df = spark.createDataFrame([(1, 3.0, "b"), (1, 3.0, "a"), (1, None, "0"), (2, None, "z")], "k int, m double, name string")
+    assert sorted(map(tuple, A.argmax(df, ["k"], "m", ["name"]).collect()), key=str) == [(1, 3.0, "a"), (2, None, "z")]
+
+
+def test_prepare_keeps_what_the_caller_set(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        prepare(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -121,8 +121,7 @@ def test_clock_timeout_expires(spark, folder):
         done = []
         while not done and time.time() < deadline:
             time.sleep(1)
-            if os.path.exists(out):
-                done = K.read_batches(spark, out).filter("expired").collect()
+            done = K.read_batches(spark, out, state.schema).filter("expired").collect()
     finally:
         q.stop()
     assert [(r.k, r.events, r.duration_us) for r in done] == [("a", 2, 9_000_000)]
@@ -166,3 +165,15 @@ def test_options_are_checked(spark, folder):
         R.start_position("beginning")
     with pytest.raises(ValueError):
         K.start_stream(spark.readStream.format("rate").load(), "x", "upsert", format="noop")
+
+
+def test_read_batches_takes_committed_ones_only(spark, folder):
+    out = shared_path(spark, "batches")
+    write = K.batch_writer(out)
+    assert K.read_batches(spark, out, "v int").count() == 0
+    os.makedirs(f"{out}/batch=0/_temporary")  # a first batch that is being written
+    assert K.read_batches(spark, out, "v int").count() == 0
+    write(spark.createDataFrame([(1,)], "v int"), 0)
+    os.makedirs(f"{out}/batch=1/_temporary")
+    write(spark.createDataFrame([(1,)], "v int"), 0)  # a replay
+    assert [tuple(r) for r in K.read_batches(spark, out).collect()] == [(1, 0)]
