@@ -32,6 +32,7 @@ MAX_CHUNKS = 4096
 BLOCK_ROWS = 500_000
 _SAMPLES_PER_CHUNK = 32
 _CASE_CUTS = 16
+_CUT_CHARS = 48
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,12 @@ def _portable(name: str, dtype: T.DataType) -> Column:
     return column
 
 
+def _short(name: str, dtype: T.DataType) -> Column:
+    """A cut need not be a value of the table: the start of a long text cuts as well."""
+    column = F.col(f"`{name}`")
+    return F.substring(column, 1, _CUT_CHARS).alias(name) if isinstance(dtype, T.StringType) else column
+
+
 def cut_points(df: DataFrame, order: Sequence[str], total: int, chunks: int) -> list[tuple]:
     """At most ``chunks - 1`` increasing order tuples from a bounded sample.
 
@@ -123,7 +130,7 @@ def cut_points(df: DataFrame, order: Sequence[str], total: int, chunks: int) ->
     """
     keys = order_keys(order)
     wanted = chunks * _SAMPLES_PER_CHUNK
-    columns = df.select(*[F.col(f"`{key.name}`") for key in keys])
+    columns = df.select(*[_short(key.name, df.schema[key.name].dataType) for key in keys])
     if total > wanted:
         columns = columns.sample(fraction=wanted / total, seed=17)
     sample = (
@@ -186,6 +193,15 @@ def _case(keys: list[OrderKey], literals: list[list[str]], low: int, high: int)
     return f"CASE WHEN {test} THEN {_case(keys, literals, middle, high)} ELSE {_case(keys, literals, low, middle - 1)} END"
 
 
+def with_key(df: DataFrame, columns: Sequence[str], name: str = "__key") -> DataFrame:
+    """The columns as one struct, in which a NULL equals a NULL.
+
+    Grouping, windows and joins on it share one partitioning: a null-safe join
+    condition on the columns would shuffle all rows again after a window.
+    """
+    return df.withColumn(name, F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(0))
+
+
 def join_back(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on null-safe keys, keeping ``df``'s key columns."""
     if not keys:
@@ -235,7 +251,12 @@ def cume_dist() -> TieFunction:
 
 
 def running_sum(measure: Column | str) -> TieFunction:
-    """Sum of ``measure`` from the group's start through the row's ties."""
+    """Sum of ``measure`` from the group's start through the row's ties.
+
+    Whole numbers and decimals add exactly, with the same type for groups of any
+    size.  Sums of doubles depend on the order of addition in their last digits,
+    in a plain window as in a chunked one: cast to a decimal where that matters.
+    """
     return TieFunction("running_sum", F.col(measure) if isinstance(measure, str) else measure)
 
 
@@ -258,7 +279,8 @@ def with_tie_functions(
         return df.select("*", *[fn.plain(window).alias(name) for name, fn in outputs.items()])
     totals = tie_totals(df, part, order, outputs, stats, chunks or chunk_count(df, stats, group_limit))
     names = [key.name for key in order_keys(order)]
-    return join_back(df, totals, [*part, *names])
+    tied = with_key(totals, [*part, *names], "__tie").select("__tie", *outputs)
+    return with_key(df, [*part, *names], "__tie").join(tied, "__tie").select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
 
 
 def tie_totals(
@@ -276,9 +298,9 @@ def tie_totals(
     values = df.groupBy(*part, *names).agg(
         F.count(F.lit(1)).alias("__n"), *[F.sum(m).alias(f"__m_{name}") for name, m in sums.items()]
     )
-    values = values.withColumn("__chunk", chunk_column(df, order, cuts))
+    values = with_key(values.withColumn("__chunk", chunk_column(df, order, cuts)), part)
 
-    local = ordered_window([*part, "__chunk"], order)
+    local = ordered_window(["__key", "__chunk"], order)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     values = values.select(
         "*",
@@ -287,22 +309,22 @@ def tie_totals(
         *[F.sum(f"__m_{name}").over(upto).alias(f"__upto_{name}") for name in sums],
     )
 
-    per_chunk = values.groupBy(*part, "__chunk").agg(
+    per_chunk = values.groupBy("__key", "__chunk").agg(
         F.sum("__n").alias("__cn"),
         F.count(F.lit(1)).alias("__cd"),
         *[F.sum(f"__m_{name}").alias(f"__c_{name}") for name in sums],
     )
-    group = Window.partitionBy(*part)
+    group = Window.partitionBy("__key")
     earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
-        *part,
+        "__key",
         "__chunk",
         F.coalesce(F.sum("__cn").over(earlier), F.lit(0)).alias("__n_off"),
         F.coalesce(F.sum("__cd").over(earlier), F.lit(0)).alias("__d_off"),
         F.sum("__cn").over(group).alias("__n_all"),
         *[F.sum(f"__c_{name}").over(earlier).alias(f"__off_{name}") for name in sums],
     )
-    joined = join_back(values, carried, [*part, "__chunk"])
+    joined = values.join(carried, ["__key", "__chunk"])
 
     through = F.col("__n_upto") + F.col("__n_off")
     first = through - F.col("__n") + 1
@@ -313,11 +335,14 @@ def tie_totals(
         "cume_dist": through / F.col("__n_all"),
     }
 
+    kinds = {name: df.select(F.sum(m).alias("s")).schema["s"].dataType for name, m in sums.items()}
+
     def formula(name: str, fn: TieFunction) -> Column:
         if fn.kind != "running_sum":
             return formulas[fn.kind]
         here, before = F.col(f"__upto_{name}"), F.col(f"__off_{name}")
-        return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
+        total = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
+        return total.cast(kinds[name])  # the type of the plain window
 
     return joined.select(*part, *names, *[formula(n, fn).alias(n) for n, fn in outputs.items()])
 
@@ -346,18 +371,18 @@ def with_position(
         return df.select("*", F.row_number().over(window).cast("long").alias(name), *extra)
 
     cuts = cut_points(df, order, stats.total, chunks or chunk_count(df, stats, group_limit))
-    rows = df.withColumn("__chunk", chunk_column(df, order, cuts))
-    group = Window.partitionBy(*part)
+    rows = with_key(df.withColumn("__chunk", chunk_column(df, order, cuts)), part)
+    group = Window.partitionBy("__key")
     earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = rows.groupBy(*part, "__chunk").agg(F.count(F.lit(1)).alias("__cn"))
+    per_chunk = rows.groupBy("__key", "__chunk").agg(F.count(F.lit(1)).alias("__cn"))
     carried = per_chunk.select(
-        *part,
+        "__key",
         "__chunk",
         F.coalesce(F.sum("__cn").over(earlier), F.lit(0)).alias("__off"),
         F.sum("__cn").over(group).alias("__all"),
     )
-    numbered = rows.withColumn("__rn", F.row_number().over(ordered_window([*part, "__chunk"], order)))
-    joined = join_back(numbered, carried, [*part, "__chunk"])
+    numbered = rows.withColumn("__rn", F.row_number().over(ordered_window(["__key", "__chunk"], order)))
+    joined = numbered.join(carried, ["__key", "__chunk"])
     extra = [F.col("__all").alias(total)] if total else []
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns], (F.col("__rn") + F.col("__off")).cast("long").alias(name), *extra

@@ -16,6 +16,7 @@ from broadloom.operators.ordered import (
     percent_rank,
     running_sum,
     tie_totals,
+    with_key,
     with_row_frames,
     with_tie_functions,
 )
@@ -66,7 +67,8 @@ def pl_settlement(
             settled = join_back(df, df.groupBy(*part).agg(F.max(day).alias(day)), [*part, day])
         else:
             settled = df.filter(settlement)
-        kept = join_back(settled, totals, [*part, day])
+        tied = with_key(totals, [*part, day], "__tie").select("__tie", *outputs)
+        kept = with_key(settled, [*part, day], "__tie").join(tied, "__tie").drop("__tie")
     return kept.withColumn("final_status", F.col("outlay") - price * F.col("open_interest"))
 
 

@@ -164,9 +164,9 @@ def _(t):
     return out.select(*ROW, F.round("p_rank", 9).alias("p_rank"))
 
 
-@query("percent_rank_distributed", _GLOBAL.format(order="l_quantity"))
+@query("percent_rank_distributed", _GLOBAL.format(order="l_extendedprice"))
 def _(t):
-    return W.percent_rank_distributed(t.lineitem, ["l_quantity"]).select(*ROW, F.round("p_rank", 9).alias("p_rank"))
+    return W.percent_rank_distributed(t.lineitem, ["l_extendedprice"]).select(*ROW, F.round("p_rank", 9).alias("p_rank"))
 
 
 @query("percent_rank_skewed", """

@@ -108,3 +108,25 @@ def test_settlement_examples(spark, last_price, close, running, final):
         assert got == {1: (100, 2000), 2: (150, 3500), 3: (50, running)}
         last = moves.filter("day = 3").select(F.col("outlay") - F.col("close") * F.col("open_interest")).first()[0]
         assert last == final
+
+
+@pytest.mark.parametrize("kind", ["decimal(15,2)", "double", "int", "decimal(38,6)"])
+def test_running_sums_keep_type_and_value_beyond_the_limit(spark, kind):
+    rows = [(k % 3 if k % 7 else None, k % 11, str((k * 37 % 1000) / 4)) for k in range(400)]
+    df = spark.createDataFrame(rows, "g int, o int, v string").withColumn("v", F.col("v").cast("double").cast(kind))
+    outputs = {"s": O.running_sum("v")}
+    plain = O.with_tie_functions(df, ["g"], ["o"], outputs)
+    cut = O.with_tie_functions(df, ["g"], ["o"], outputs, group_limit=0, chunks=5)
+    assert cut.schema == plain.schema or cut.dtypes == plain.dtypes
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_positions_shuffle_whole_rows_once(spark, static_plans):
+    df = spark.range(1000).select((F.col("id") % 5).alias("g"), "id", F.lit("payload").alias("load"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = O.with_position(df, ["g"], ["id"], group_limit=0, chunks=4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    full = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(full) == 4  # the rows once; the counts per chunk, by group, and to the rows
