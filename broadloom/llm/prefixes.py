@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 from broadloom.llm import ranges
 from broadloom.llm.common import stored
 from broadloom.llm.graph import components
+from broadloom.llm.words import mix
 
+#: 64-bit words of a set's parity bitmap.
+BITMAP_WORDS = 8
+BITMAP = [f"bits{k}" for k in range(BITMAP_WORDS)]
+POSTINGS = ["node", "token", "layer", "level", "n", *BITMAP]
 #: Levels go up to this share of a set's shingles.
 LEVEL_SHARE = 0.10
 #: Cost of verifying a candidate, in postings read.
@@ -58,11 +63,28 @@ def _whole_sets(batch: pa.RecordBatch) -> ranges.Postings | None:
     return np.concatenate(tokens), owner, {}
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Each shingle flips one bit.  Two sets differ in at least as many shingles as their bitmaps in bits."""
+    flips = np.bincount((mix(shingles) >> np.uint64(55)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(flips.astype(bool), bitorder="little").view("<i8")
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, size and bitmap of each set."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+        bits = np.stack([parity_bitmap(s) for s in sets]) if sets else np.zeros((0, BITMAP_WORDS), np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(bits[:, k]) for k in range(BITMAP_WORDS)]],
+            ["node", "n", *BITMAP])
+
+
 def _levels(percent: int):
     """Postings of each document's prefix: its rarest shingles first, as long as its level asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, n = (np.asarray(batch.column(k)) for k in (0, 1))
+            bits = [np.asarray(batch.column(name)) for name in BITMAP]
             top, lists = top_level(n), batch.column(2)
             edges = np.asarray(lists.offsets)
             token, often = (np.asarray(lists.values.field(k)) for k in range(2))
@@ -78,12 +100,12 @@ def _levels(percent: int):
                 level = choose_level(layer, f, int(top[k]))
                 upto = int(np.searchsorted(layer, level, side="right")) if level else 0
                 if upto:
-                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], np.full(upto, level), np.full(upto, n[k])))
+                    same = [np.full(upto, v) for v in (level, n[k], *(b[k] for b in bits))]
+                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], *same))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                    ["node", "token", "layer", "level", "n"])
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * (1 + BITMAP_WORDS)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], POSTINGS)
 
     return run
 
@@ -106,8 +128,13 @@ def _verified(percent: int):
 
 
 def _fitting(percent: int) -> F.Column:
-    """Sizes of two sets that could be similar enough."""
-    return (F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent)
+    """Whether two sets could be similar enough, by their sizes and by what their bitmaps differ in at least."""
+    sizes = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * percent
+    apart = sum((F.bit_count(F.col(f"p.{b}").bitwiseXOR(F.col(f"q.{b}"))) for b in BITMAP[1:]),
+                F.bit_count(F.col(f"p.{BITMAP[0]}").bitwiseXOR(F.col(f"q.{BITMAP[0]}"))))
+    # Shared s, together m: s / (m - s) >= t with m - 2 s >= apart.
+    both = F.col("p.n") + F.col("q.n")
+    return sizes & ((both - apart) * 100 >= (both + apart) * percent)
 
 
 def _level() -> F.Column:
@@ -128,7 +155,7 @@ def candidates(left: DataFrame, right: DataFrame, apart: F.Column, percent: int)
 def _to_hubs(postings: DataFrame, hub: F.Column, percent: int) -> DataFrame:
     """(document, hub) for the hub each document shares most shingles with."""
     hubs = postings.groupBy("token").agg(hub.alias("h")).select(
-        "token", "h.node", "h.component", "h.n")
+        "token", "h.*")
     return (
         postings.alias("p").join(
             hubs.alias("q"),
@@ -146,7 +173,7 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
     share enough of their prefixes are compared pair by pair."""
     links = None
     postings = ready.postings.withColumn("component", F.col("node"))
-    whole = F.struct("node", "component", "n")
+    whole = F.struct("node", "component", "n", *BITMAP)
     for hub in (F.min(whole), F.max_by(whole, F.xxhash64("node"))):
         found = ready.verify(_to_hubs(postings, hub, ready.percent)).select("a", "b")
         links = found if links is None else links.union(found)
@@ -158,7 +185,7 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
         open_tokens = postings.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         postings = stored(
             postings.join(open_tokens.where("x <> y").select("token"), "token", "left_semi")
-            .select("node", "token", "layer", "level", "n", "component"), "open")
+            .select(*POSTINGS, "component"), "open")
     apart = F.col("p.component") < F.col("q.component")
     last = ready.verify(candidates(postings, postings, apart, ready.percent)).select("a", "b")
     return components(links.union(last))
@@ -175,16 +202,17 @@ class PrefixJoin:
     @classmethod
     def of(cls, sets: DataFrame, percent: int) -> PrefixJoin:
         """Prefixes of written ``sets``; a set that no other can be similar to gets none."""
-        size = (F.length("shingles") / 8).cast("long")
-        total = sets.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+        total = sets.agg(F.coalesce(F.sum(F.length("shingles") / 8), F.lit(0.0))).first()[0]
         common = stored(
             ranges.shared_postings(sets.select("node", "shingles"), _whole_sets, {}, ranges.group_count(total)).select(
                 "token", F.col("owner").alias("node")), "common")
+        bits = ", ".join(f"{b} long" for b in BITMAP)
         counted = common.join(common.groupBy("token").agg(F.count("*").alias("often")), "token")
         lists = counted.groupBy("node").agg(F.collect_list(F.struct("token", "often")).alias("found"))
         postings = stored(
-            sets.select("node", size.alias("n")).join(lists, "node").select("node", "n", "found")
-            .mapInArrow(_levels(percent), "node long, token long, layer int, level int, n long"), "postings")
+            sets.select("node", "shingles").mapInArrow(_bitmaps, f"node long, n long, {bits}").join(lists, "node")
+            .select("node", "n", "found", *BITMAP)
+            .mapInArrow(_levels(percent), f"node long, token long, layer int, level int, n long, {bits}"), "postings")
         return cls(sets, postings, percent)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
