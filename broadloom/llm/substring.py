@@ -30,8 +30,8 @@ SIMILARITY = 0.75
 RECALL = 0.95
 #: Shortest passage to remove, in words.
 LEAST_WORDS = 40
-#: Words compared on either side of a paragraph that two documents share, at a time.
-CONTEXT = 96
+#: Words compared on either side of a run of paragraphs that two documents share.
+CONTEXT = 48
 
 _SEEDS = np.array([0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                    0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
@@ -159,42 +159,35 @@ def _class_links(shared: DataFrame, rows: DataFrame) -> DataFrame | None:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each (doc_id, first word) asked for, the word hashes around it."""
+    """For each run (first word, words) asked for, 16-bit hashes of the words before and after it."""
     for batch in batches:
-        key, wanted = np.asarray(batch.column(0)), batch.column(2)
-        edges, firsts = np.asarray(wanted.offsets), np.asarray(wanted.values)
+        key, firsts, sizes = np.asarray(batch.column(0)), batch.column(2), batch.column(3)
+        edges, firsts, sizes = np.asarray(firsts.offsets), np.asarray(firsts.values), np.asarray(sizes.values)
         out = []
         for row, last, data, offsets in text_parts(batch.column(1)):
             words = Words(data, offsets)
-            low32 = words.hashes.astype(np.uint32)
+            short = words.hashes.astype(np.uint16)
             for k in range(row, last):
                 a, b = words.first[k - row], words.first[k - row + 1]
-                for first in firsts[edges[k]:edges[k + 1]].tolist():
-                    begin, end = max(a, a + first - CONTEXT), min(b, a + first + 2 * CONTEXT)
-                    if a + first < b:
-                        out.append((int(key[k]), first, a + first - begin, low32[begin:end].tobytes()))
-        names = ("doc_id", "first", "before", "words")
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        columns = list(zip(*out)) or [[]] * 4
+                for first, size in zip(firsts[edges[k]:edges[k + 1]].tolist(), sizes[edges[k]:edges[k + 1]].tolist()):
+                    if a + first + size <= b:
+                        out.append((int(key[k]), first, size, short[max(a, a + first - CONTEXT):a + first].tobytes(),
+                                    short[a + first + size:min(b, a + first + size + CONTEXT)].tobytes()))
+        names = ("doc_id", "first", "size", "before", "after")
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        columns = list(zip(*out)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], list(names))
 
 
-def extent(x: np.ndarray, y: np.ndarray, anchor_x: int, anchor_y: int) -> tuple[int, int]:
-    """Words before and from the anchor on that agree between x and y, single substitutions bridged.
-
-    A match counts 1, a difference -3; the stretch of the best sum is taken on either side."""
-    def best(same: np.ndarray) -> int:
-        total = np.cumsum(np.where(same, 1, -3))
-        if not len(total) or total.max() <= 0:
-            return 0
-        stop = np.flatnonzero(total < np.maximum.accumulate(np.maximum(total, 0)) - 8)
-        total = total[:stop[0]] if len(stop) else total
-        return int(np.argmax(total)) + 1 if len(total) and total.max() > 0 else 0
+def agreement(x: np.ndarray, y: np.ndarray) -> int:
+    """Words from the start on that agree, single substitutions bridged.
 
-    after = min(len(x) - anchor_x, len(y) - anchor_y)
-    back = min(anchor_x, anchor_y)
-    return (best((x[anchor_x - back:anchor_x] == y[anchor_y - back:anchor_y])[::-1]),
-            best(x[anchor_x:anchor_x + after] == y[anchor_y:anchor_y + after]))
+    A match counts 1, a difference -3; the stretch of the best sum is taken."""
+    size = min(len(x), len(y))
+    total = np.cumsum(np.where(x[:size] == y[:size], 1, -3))
+    stop = np.flatnonzero(total < np.maximum.accumulate(np.maximum(total, 0)) - 8)
+    total = total[:stop[0]] if len(stop) else total
+    return int(np.argmax(total)) + 1 if len(total) and total.max() > 0 else 0
 
 
 def _extents(least: int):
@@ -203,11 +196,11 @@ def _extents(least: int):
             r = {n: batch.column(n) for n in batch.schema.names}
             out = []
             for k in range(batch.num_rows):
-                x, y = (np.frombuffer(r[n][k].as_buffer(), np.uint32) for n in ("words", "hub_words"))
-                a, b = extent(x, y, r["before"][k].as_py(), r["hub_before"][k].as_py())
-                if a + b >= least:
-                    first = r["first"][k].as_py()
-                    out.append((r["doc_id"][k].as_py(), first - a, a + b, r["hub_doc"][k].as_py(), r["hub_first"][k].as_py() - a, r["cluster"][k].as_py()))
+                x, hub_x, y, hub_y = (np.frombuffer(r[n][k].as_buffer(), np.uint16) for n in ("before", "hub_before", "after", "hub_after"))
+                a, b = agreement(x[::-1], hub_x[::-1]), agreement(y, hub_y)
+                size = a + r["size"][k].as_py() + b
+                if size >= least:
+                    out.append((r["doc_id"][k].as_py(), r["first"][k].as_py() - a, size, r["hub_doc"][k].as_py(), r["hub_first"][k].as_py() - a, r["cluster"][k].as_py()))
             names = ("doc_id", "first_word", "n_words", "kept_doc_id", "kept_first_word", "cluster")
             columns = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], list(names))
@@ -242,27 +235,29 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     hubs = hubs.where(F.col("hub.doc_id") < F.col("most")).select("cluster", F.col("hub.doc_id").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
     again = stored(
         found.join(hubs, "cluster").where("doc_id <> hub_doc").select("doc_id", "first", "size", "cluster", "hub_doc", "hub_first"), "again")
-    # Paragraphs that follow each other in both documents are one run; its first paragraph is the anchor of a comparison.
+    # Paragraphs that follow each other in both documents are one run; its ends are then sought word by word.
     order = Window.partitionBy("doc_id").orderBy("first", "hub_doc", "hub_first")
     shift = F.col("first") - F.col("hub_first")
-    runs = (
-        again.withColumn("new", (
-            (F.lag("hub_doc").over(order) != F.col("hub_doc"))
-            | (F.lag(shift).over(order) != shift)
-            | (F.lag(F.col("first") + F.col("size")).over(order) != F.col("first"))
-            | (F.floor(F.lag("first").over(order) / CONTEXT) != F.floor(F.col("first") / CONTEXT))
-        ))
-        .where(F.coalesce("new", F.lit(True))).drop("new", "size")
+    new = (
+        (F.lag("hub_doc").over(order) != F.col("hub_doc"))
+        | (F.lag(shift).over(order) != shift)
+        | (F.lag(F.col("first") + F.col("size")).over(order) != F.col("first"))
     )
-    anchors = stored(runs, "anchors")
-    places = anchors.select("doc_id", "first").union(anchors.select(F.col("hub_doc"), F.col("hub_first"))).distinct()
-    wanted = places.groupBy(F.col("doc_id").alias("owner")).agg(F.sort_array(F.collect_list("first")).alias("firsts"))
+    numbered = again.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(order))
+    runs = stored(
+        numbered.groupBy("doc_id", "run").agg(
+            F.min("first").alias("first"), F.sum("size").alias("size"), F.min("hub_doc").alias("hub_doc"),
+            F.min("hub_first").alias("hub_first"), F.min("cluster").alias("cluster")).drop("run"), "runs")
+    places = runs.select("doc_id", "first", "size").union(runs.select("hub_doc", "hub_first", "size")).distinct()
+    wanted = places.groupBy(F.col("doc_id").alias("owner")).agg(F.collect_list(F.struct("first", "size")).alias("runs"))
     around = stored(
-        rows.join(wanted, rows["doc_id"] == wanted["owner"]).select("doc_id", "text", "firsts")
-        .mapInArrow(_contexts, "doc_id long, first long, before int, words binary").dropDuplicates(["doc_id", "first"]), "contexts")
+        rows.join(wanted, rows["doc_id"] == wanted["owner"]).select("doc_id", "text", "runs.first", "runs.size")
+        .mapInArrow(_contexts, "doc_id long, first long, size long, before binary, after binary")
+        .dropDuplicates(["doc_id", "first", "size"]), "contexts")
     hub = around.select(
-        F.col("doc_id").alias("hub_doc"), F.col("first").alias("hub_first"), F.col("before").alias("hub_before"), F.col("words").alias("hub_words"))
-    pairs = anchors.join(around, ["doc_id", "first"]).join(hub, ["hub_doc", "hub_first"])
+        F.col("doc_id").alias("hub_doc"), F.col("first").alias("hub_first"), "size",
+        F.col("before").alias("hub_before"), F.col("after").alias("hub_after"))
+    pairs = runs.join(around, ["doc_id", "first", "size"]).join(hub, ["hub_doc", "hub_first", "size"])
     kind = "doc_id long, first_word long, n_words long, kept_doc_id long, kept_first_word long, cluster long"
     return pairs.mapInArrow(_extents(least_words), kind).dropDuplicates(
         ["doc_id", "first_word", "n_words", "kept_doc_id", "kept_first_word"])
