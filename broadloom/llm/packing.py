@@ -107,12 +107,22 @@ def fit_counts(found: np.ndarray, histogram: np.ndarray, rounds: int = 400) -> n
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such sequences), together holding the histogram exactly."""
+    """(lengths of a sequence, how many such sequences), together holding the histogram exactly.
+
+    Small counts can be rounded in several ways: down to the pattern counts of
+    at least ``least``.  The way that needs the fewest sequences is taken.
+    """
     left = np.zeros(capacity + 1, np.int64)
     for length, count in histogram.items():
         left[length] = count
     found = patterns(np.flatnonzero(left), capacity)
     wanted = fit_counts(found, left)
+    plans = [rounded(found, wanted, left.copy(), capacity, least) for least in (1.0, 2.0, 4.0, 16.0, 64.0)]
+    return min(plans, key=lambda made: sum(count for _, count in made))
+
+
+def rounded(found: np.ndarray, wanted: np.ndarray, left: np.ndarray, capacity: int, least: float) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns with a fitted count of ``least`` or more, rounded down to what is there, and best fit for the rest."""
     made: list[tuple[tuple[int, ...], int]] = []
 
     def use(row: np.ndarray, most: int) -> None:
@@ -123,13 +133,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
             made.append((tuple(int(v) for v in row[row > 0]), count))
 
     for k in np.argsort(-wanted, kind="stable"):
-        if wanted[k] < 1:
+        if wanted[k] < least:
             break
         use(found[k], int(wanted[k]))
-    for k in np.argsort(-wanted, kind="stable"):  # the rounded-off rest, patterns with a large long part first
-        if wanted[k] <= 1e-6:
-            break
-        use(found[k], 1)
     return made + best_fit(left, capacity)
 
 
