@@ -297,11 +297,28 @@ def _(t):
     return t.spark.read.text(out)
 
 
-@query("stream_progress_log", "SELECT 'progress' AS event, count(*)::BIGINT AS rows FROM events")
+@query("stream_progress_log", "SELECT 0::BIGINT AS batch, count(*)::BIGINT AS rows, true AS has_offsets FROM events")
 def _(t):
     out = shared_path(t.spark, "stream-out")
     done = K.finish(K.start_stream(_stream(t), shared_path(t.spark, "stream-state"), "append", format="parquet", path=out))
-    return P.stream_progress_log(t.spark, done).groupBy("event").agg(F.sum("rows").alias("rows"))
+    has = F.col("end_offset").isNotNull() & F.col("source").isNotNull()
+    return P.recent_progress(t.spark, done).filter("rows > 0").select("batch", "rows", has.alias("has_offsets"))
+
+
+@query("stream_resume", "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
+def _(t):
+    source, state, out = (shared_path(t.spark, label) for label in ("resume-in", "resume-state", "resume-out"))
+    first = F.pmod("event_id", F.lit(2)) == 0
+
+    def run():
+        counted = stream_files(t.spark, source, t.events.schema).groupBy("event_type").agg(N().alias("n"), F.sum("event_id").alias("ids"))
+        K.finish(K.start_stream(counted, state, "complete", each_batch=K.batch_writer(out)))
+
+    t.events.filter(first).write.parquet(source)
+    run()
+    t.events.filter(~first).write.mode("append").parquet(source)
+    run()  # a new query on the same checkpoint goes on from the stored totals
+    return K.last_batch(K.read_batches(t.spark, out))
 
 
 @query("resolve_start_offsets", """

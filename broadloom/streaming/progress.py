@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,44 +10,67 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-PROGRESS_SCHEMA = "query string, event string, batch bigint, rows bigint, start_offset string, end_offset string"
+PROGRESS_SCHEMA = "query string, event string, batch bigint, rows bigint, source string, start_offset string, end_offset string"
 
 
-def _row(query_id, progress) -> tuple:
-    source = progress["sources"][0] if progress["sources"] else {}
-    text = lambda value: None if value is None else str(value)
-    return (str(query_id), "progress", progress["batchId"], progress["numInputRows"], text(source.get("startOffset")), text(source.get("endOffset")))
+def _text(value) -> str | None:
+    return None if value is None else str(value)
 
 
-def stream_progress_log(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent batches of a query with their start and end offsets."""
-    rows = [_row(query.id, progress) for progress in query.recentProgress]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+def _rows(query_id, batch: int, rows: int, sources) -> list[tuple]:
+    """One row per source of a batch; rows are those of the source."""
+    return [
+        (str(query_id), "progress", batch, s["numInputRows"], s["description"], _text(s["startOffset"]), _text(s["endOffset"]))
+        for s in sources
+    ] or [(str(query_id), "progress", batch, rows, None, None, None)]
 
 
-class ProgressListener(StreamingQueryListener):
-    """Keeps the latest started / progress / terminated events of a session."""
+def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """The batches Spark still remembers of a query (its last 100), by source; ``ProgressListener`` has them all."""
+    rows = [row for p in query.recentProgress for row in _rows(query.id, p["batchId"], p["numInputRows"], p["sources"])]
+    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
-    def __init__(self, keep: int = 1_000):
-        self.keep = keep
-        self.rows: list[tuple] = []
 
-    def _add(self, row: tuple) -> None:
-        self.rows = [*self.rows, row][-self.keep :]
+class ProgressListener(StreamingQueryListener):
+    """Appends every started / progress / terminated event of a session to a table in ``path``.
+
+    Events are written in groups of ``flush_every`` and when the table is read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, flush_every: int = 500):
+        self.spark, self.path, self.flush_every = spark, path, flush_every
+        self.pending: list[tuple] = []
+        self.lock = threading.Lock()
+        self.written = False
+
+    def _add(self, rows: list[tuple]) -> None:
+        with self.lock:
+            self.pending += rows
+            if len(self.pending) >= self.flush_every:
+                self._flush()
+
+    def _flush(self) -> None:
+        if not self.pending and self.written:
+            return
+        self.written = True
+        rows, self.pending = self.pending, []
+        self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event):
-        self._add((str(event.id), "started", None, None, None, None))
+        self._add([(str(event.id), "started", None, None, None, None, None)])
 
     def onQueryProgress(self, event):
         p = event.progress
-        source = p.sources[0] if p.sources else None
-        self._add((str(p.id), "progress", p.batchId, p.numInputRows, source and str(source.startOffset), source and str(source.endOffset)))
+        sources = [{n: getattr(s, n) for n in ("numInputRows", "description", "startOffset", "endOffset")} for s in p.sources]
+        self._add(_rows(p.id, p.batchId, p.numInputRows, sources))
 
     def onQueryTerminated(self, event):
-        self._add((str(event.id), "terminated", None, None, None, None))
+        self._add([(str(event.id), "terminated", None, None, None, None, None)])
 
-    def as_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, PROGRESS_SCHEMA)
+    def as_table(self) -> DataFrame:
+        with self.lock:
+            self._flush()
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
 
 
 def resolve_start_offsets(partitions: DataFrame, ledger: DataFrame, keys: Sequence[str] = ("topic", "part")) -> DataFrame:

@@ -143,17 +143,20 @@ def test_memory_sink_and_rate(spark, folder):
 
 def test_progress_rows_and_listener(spark, folder):
     put(spark, folder, "f0", slices()[0], 1_700_000_000)
-    listener = P.ProgressListener()
+    listener = P.ProgressListener(spark, shared_path(spark, "events"), flush_every=400)
     spark.streams.addListener(listener)
     try:
         q = K.finish(K.start_stream(R.stream_files(spark, folder, SCHEMA), shared_path(spark, "prog"), format="noop"))
         deadline = time.time() + 20
-        while len(listener.rows) < 3 and time.time() < deadline:
+        while listener.as_table().count() < 3 and time.time() < deadline:
             time.sleep(0.2)
     finally:
         spark.streams.removeListener(listener)
-    assert P.stream_progress_log(spark, q).agg(F.sum("rows")).first()[0] == 30
-    assert {r.event for r in listener.as_table(spark).collect()} == {"started", "progress", "terminated"}
+    assert P.recent_progress(spark, q).agg(F.sum("rows")).first()[0] == 30
+    assert {r.event for r in listener.as_table().collect()} == {"started", "progress", "terminated"}
+    for k in range(1_500):  # nothing is thrown away
+        listener._add([(str(k), "progress", k, 1, "s", None, None)])
+    assert listener.as_table().filter("source = 's'").count() == 1_500
 
 
 def test_options_are_checked(spark, folder):
