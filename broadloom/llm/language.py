@@ -72,8 +72,10 @@ def _counts(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: documents with each bucket, as one array."""
     total, documents = np.zeros(BUCKETS, np.int64), 0
-    for batch in batches:
-        for _, rows, orders in _grams(batch.column(0), 1 << 19):
+    # A flag for each text and bucket: the texts taken at a time are few, however short they are.
+    slices = (batch.column(0).slice(low, 128) for batch in batches for low in range(0, batch.num_rows, 128))
+    for column in slices:
+        for _, rows, orders in _grams(column, 1 << 19):
             there = np.zeros(rows * BUCKETS, bool)
             for order, (bucket, begins) in enumerate(orders, 1):
                 low, high = _inside(begins, order)
