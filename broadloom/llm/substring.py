@@ -170,9 +170,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(row, last):
                 a, b = words.first[k - row], words.first[k - row + 1]
                 for first, size in zip(firsts[edges[k]:edges[k + 1]].tolist(), sizes[edges[k]:edges[k + 1]].tolist()):
-                    if a + first + size <= b:
-                        out.append((int(key[k]), first, size, short[max(a, a + first - CONTEXT):a + first].tobytes(),
-                                    short[a + first + size:min(b, a + first + size + CONTEXT)].tobytes()))
+                    # A kept text may end before a run of similar, longer paragraphs does: its place is clipped, not left out.
+                    low, high = min(b, a + first), min(b, a + first + size)
+                    out.append((int(key[k]), first, size, short[max(a, low - CONTEXT):low].tobytes(),
+                                short[high:min(b, high + CONTEXT)].tobytes()))
         names = ("doc_id", "first", "size", "before", "after")
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         columns = list(zip(*out)) or [[]] * 5

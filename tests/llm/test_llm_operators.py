@@ -158,6 +158,25 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert out[6].text is None and out[None].text == passage
 
 
+def covered(found):
+    """Words that the passages of each document cover."""
+    out = {}
+    for r in found.collect():
+        out.setdefault(r.doc_id, set()).update(range(r.first_word, r.first_word + r.n_words))
+    return out
+
+
+def test_copy_with_one_more_word_on_its_last_line(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(12):
+        text = prose(rng, 300)
+        rows += [(2 * k, text), (2 * k + 1, f"{text} tail")]
+    found = covered(substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert set(found) == {2 * k + 1 for k in range(12)}
+    assert all(found[2 * k + 1] >= set(range(300)) for k in range(12))
+
+
 def test_passages_on_odd_input(spark):
     df = awkward(spark)
     assert substring.repeated_passages(df).count() == 0
