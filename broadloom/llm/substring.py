@@ -1,7 +1,7 @@
 """Repeated passages across documents, by MinHash bands over content-defined paragraphs.
 
-Paragraphs end at line breaks and where a hash of the words is smallest among
-its neighbours, so a passage falls into the same paragraphs wherever it stands.
+Paragraphs end where a hash of the words is smallest among its neighbours, so a
+passage falls into the same paragraphs wherever it stands and however it is wrapped.
 Paragraphs that agree in a MinHash band meet; equal shingle sets are one class,
 and different ones are compared exactly.  Classes that link form components; a
 component's first occurrence is kept.  Around each repeated run the words of
@@ -42,26 +42,26 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows)))
 
 
-def paragraph_starts(words: Words, data: np.ndarray) -> np.ndarray:
-    """Ascending first words of the paragraphs of all texts."""
+def paragraph_starts(words: Words) -> np.ndarray:
+    """Ascending first words of the paragraphs of all texts.
+
+    Only the words count, so a passage wrapped at other places or in short lines has the same paragraphs."""
     n = len(words.hashes)
     if not n:
         return np.zeros(0, np.int64)
     start = np.zeros(n, bool)
     first = words.first[:-1]
     start[first[first < n]] = True
-    lines = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    start[1:] |= lines[words.starts[1:]] > lines[words.ends[:-1]]
     pair = mix(words.hashes[:-1] * np.uint64(3) + words.hashes[1:]) if n > 1 else np.zeros(0, np.uint64)
     pair = np.concatenate([pair, np.full(1, 2**64 - 1, np.uint64)])
-    # No word pair crosses a line or a text.
+    # No word pair crosses a text.
     pair[:-1][start[1:]] = 2**64 - 1
     full = np.full(REACH, 2**64 - 1, np.uint64)
     padded = np.concatenate([full, pair, full])
     least = pair < 2**64 - 1
     for k in range(1, REACH + 1):
         least &= (pair < padded[REACH - k:REACH - k + n]) & (pair < padded[REACH + k:REACH + k + n])
-    # Not right after a line's beginning: the pieces would say too little.
+    # Not right after a text's beginning: the pieces would say too little.
     young = start.copy()
     for k in range(1, REACH):
         young[k:] |= start[:-k]
@@ -71,7 +71,7 @@ def paragraph_starts(words: Words, data: np.ndarray) -> np.ndarray:
 def _paragraph_sets(words: Words, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shingles of all paragraphs in a row, the paragraph of each, and the paragraphs' lengths.
 
-    Paragraphs shorter than a shingle count as one, their whole sequence."""
+    Only a text's last paragraph, or a whole text, can be shorter than a shingle; it has none."""
     ends = np.concatenate([starts[1:], [len(words.hashes)]]) if len(starts) else starts
     size = ends - starts
     every = shingle_hashes(words.hashes)
@@ -98,7 +98,7 @@ def _postings(bands: int):
         tokens, owners, signatures, firsts, sizes = [], [], [], [], []
         for row, last, data, offsets in text_parts(batch.column(1)):
             words = Words(data, offsets)
-            starts = paragraph_starts(words, data)
+            starts = paragraph_starts(words)
             shingles, which, size = _paragraph_sets(words, starts)
             signature, (s, w) = _signatures(shingles, which, len(starts))
             text = np.searchsorted(words.first, starts, side="right") - 1
@@ -129,7 +129,7 @@ def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, sets = [], []
         for row, last, data, offsets in text_parts(batch.column(0)):
             words = Words(data, offsets)
-            starts = paragraph_starts(words, data)
+            starts = paragraph_starts(words)
             shingles, which, _ = _paragraph_sets(words, starts)
             signature, (s, w) = _signatures(shingles, which, len(starts))
             bound = np.searchsorted(w, np.arange(len(starts) + 1))

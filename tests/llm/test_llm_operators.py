@@ -177,6 +177,25 @@ def test_copy_with_one_more_word_on_its_last_line(spark):
     assert all(found[2 * k + 1] >= set(range(300)) for k in range(12))
 
 
+def wrapped(text, n):
+    w = text.split(" ")
+    return "\n".join(" ".join(w[k:k + n]) for k in range(0, len(w), n))
+
+
+def test_passages_in_short_lines_and_wrapped_anew(spark):
+    rng = random.Random(22)
+    rows, expected = [], {}
+    for k in range(8):
+        passage = prose(rng, 60)
+        for j, text in enumerate((wrapped(passage, 3), wrapped(passage, 3), wrapped(passage, 7), passage)):
+            head = prose(rng, 30 + j)
+            rows.append((10 * k + j, f"{head}\n{text}\n{prose(rng, 30)}"))
+            if j:
+                expected[10 * k + j] = set(range(30 + j, 90 + j))
+    found = covered(substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert set(found) == set(expected) and all(found[k] >= expected[k] for k in expected)
+
+
 def test_passages_on_odd_input(spark):
     df = awkward(spark)
     assert substring.repeated_passages(df).count() == 0
