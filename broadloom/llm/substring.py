@@ -26,6 +26,8 @@ from broadloom.llm.words import SHINGLE, Words, mix, shingle_hashes
 
 #: A paragraph ends where a hash is smallest among so many words before and after.
 REACH = 5
+#: A longer paragraph is cut after so many words: in one word or a short cycle of words no hash is smallest.
+LONGEST = 20
 SIMILARITY = 0.75
 RECALL = 0.95
 #: Shortest passage to remove, in words.
@@ -65,7 +67,11 @@ def paragraph_starts(words: Words) -> np.ndarray:
     young = start.copy()
     for k in range(1, REACH):
         young[k:] |= start[:-k]
-    return np.flatnonzero(start | (least & ~young))
+    starts = np.flatnonzero(start | (least & ~young))
+    # The last piece keeps a shingle at least.
+    pieces = 1 + np.maximum(np.diff(np.append(starts, n)) - SHINGLE, 0) // LONGEST
+    step = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(starts, pieces) + LONGEST * step
 
 
 def _paragraph_sets(words: Words, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +229,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     words = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] / 6
     shared = stored(
         ranges.shared_postings(
-            rows, _postings(bands), {"signature": "<i8", "first": "<u4", "size": "<u2"},
+            rows, _postings(bands), {"signature": "<i8", "first": "<u4", "size": "<u4"},
             ranges.group_count(words * bands / (2 * REACH + 1))), "shared")
     links = _class_links(shared, rows)
     found = shared.select(F.col("owner").alias("doc_id"), "signature", "first", "size").distinct()

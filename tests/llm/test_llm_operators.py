@@ -196,6 +196,13 @@ def test_passages_in_short_lines_and_wrapped_anew(spark):
     assert set(found) == set(expected) and all(found[k] >= expected[k] for k in expected)
 
 
+def test_long_repetitive_texts_repeat_whole(spark):
+    rows = [(0, "la " * 70_000), (1, "la " * 70_000), (2, "do re mi " * 23_333), (3, "re mi do " * 23_333), (4, "fa " * 300), (5, "fa " * 200)]
+    found = covered(substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert set(found) == {1, 3, 5}
+    assert found[1] == set(range(70_000)) and found[5] == set(range(200)) and len(found[3]) >= 69_900
+
+
 def test_passages_on_odd_input(spark):
     df = awkward(spark)
     assert substring.repeated_passages(df).count() == 0
