@@ -6,7 +6,9 @@ Paragraphs that agree in a MinHash band meet; equal shingle sets are one class,
 and different ones are compared exactly.  Classes that link form components; a
 component's first occurrence is kept.  Around each repeated run the words of
 both documents are compared one by one, which gives the exact passage; those of
-``least_words`` or more are removals.
+``least_words`` or more are removals.  A component's first occurrence need not
+hold the whole passage: windows of ``least_words`` words around shared paragraphs
+are compared as well, each with the first document that has it exactly.
 """
 
 from __future__ import annotations
@@ -44,8 +46,8 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows)))
 
 
-def paragraph_starts(words: Words) -> np.ndarray:
-    """Ascending first words of the paragraphs of all texts.
+def natural_starts(words: Words) -> np.ndarray:
+    """Ascending first words of all texts, and the places where a hash is smallest.
 
     Only the words count, so a passage wrapped at other places or in short lines has the same paragraphs."""
     n = len(words.hashes)
@@ -67,7 +69,12 @@ def paragraph_starts(words: Words) -> np.ndarray:
     young = start.copy()
     for k in range(1, REACH):
         young[k:] |= start[:-k]
-    starts = np.flatnonzero(start | (least & ~young))
+    return np.flatnonzero(start | (least & ~young))
+
+
+def paragraph_starts(words: Words) -> np.ndarray:
+    """Ascending first words of the paragraphs of all texts: the natural ones, and cuts of what is longer than ``LONGEST``."""
+    starts, n = natural_starts(words), len(words.hashes)
     # The last piece keeps a shingle at least.
     pieces = 1 + np.maximum(np.diff(np.append(starts, n)) - SHINGLE, 0) // LONGEST
     step = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -219,8 +226,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     """Passages to remove: doc_id, first_word, n_words, the kept occurrence (kept_doc_id, kept_first_word) and its cluster.
 
     A passage stays in the document of the smallest doc_id among those that have
-    it and goes from the others.  Passages overlap only where they continue each
-    other.  Null texts, empty texts and rows with a null doc_id have none; rows
+    it and goes from the others.  Passages may overlap.  Null texts, empty texts and rows with a null doc_id have none; rows
     that repeat a doc_id are one document.  Other columns are ignored.
     """
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
@@ -240,8 +246,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
             "doc_id", "first", "size", F.coalesce("component", "signature").alias("cluster"))
     hubs = found.groupBy("cluster").agg(F.min(F.struct("doc_id", "first")).alias("hub"), F.max("doc_id").alias("most"))
     hubs = hubs.where(F.col("hub.doc_id") < F.col("most")).select("cluster", F.col("hub.doc_id").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
-    again = stored(
-        found.join(hubs, "cluster").where("doc_id <> hub_doc").select("doc_id", "first", "size", "cluster", "hub_doc", "hub_first"), "again")
+    held = stored(found.join(hubs, "cluster").select("doc_id", "first", "size", "cluster", "hub_doc", "hub_first"), "held")
+    again = held.where("doc_id <> hub_doc")
     # Paragraphs that follow each other in both documents are one run; its ends are then sought word by word.
     order = Window.partitionBy("doc_id").orderBy("first", "hub_doc", "hub_first")
     shift = F.col("first") - F.col("hub_first")
@@ -266,10 +272,86 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
         F.col("before").alias("hub_before"), F.col("after").alias("hub_after"))
     pairs = runs.join(around, ["doc_id", "first", "size"]).join(hub, ["hub_doc", "hub_first", "size"])
     kind = "doc_id long, first_word long, n_words long, kept_doc_id long, kept_first_word long, cluster long"
-    return pairs.mapInArrow(_extents(least_words), kind).dropDuplicates(
+    return pairs.mapInArrow(_extents(least_words), kind).union(_exact_passages(rows, held, least_words)).dropDuplicates(
         ["doc_id", "first_word", "n_words", "kept_doc_id", "kept_first_word"])
 
 
+def _windows(least: int):
+    """Postings (window, document) of the windows of ``least`` words that could repeat exactly.
+
+    A repeated window's paragraphs repeat too, where it holds all the words that
+    their bounds depend on.  Asked for: such windows around a shared paragraph."""
+    def run(batch: pa.RecordBatch) -> ranges.Postings | None:
+        key, lists = np.asarray(batch.column(0)).astype(np.int64), batch.column(2)
+        edges, firsts = np.asarray(lists.offsets), np.asarray(lists.values)
+        tokens, owners, places = [], [], []
+        for row, last, data, offsets in text_parts(batch.column(1)):
+            words = Words(data, offsets)
+            starts, natural = paragraph_starts(words), natural_starts(words)
+            value = shingle_hashes(words.hashes, least)
+            if not len(value):
+                continue
+            ends = np.append(starts[1:], len(words.hashes))
+            shared = np.zeros(len(starts), bool)
+            for k in range(row, last):
+                asked = words.first[k - row] + firsts[edges[k]:edges[k + 1]]
+                p = np.minimum(np.searchsorted(starts, asked), len(starts) - 1)
+                shared[p[starts[p] == asked]] = True
+            alone = ~shared & (ends - starts >= SHINGLE) & np.isin(starts, natural) & np.isin(ends, natural)
+            at = np.arange(len(value))
+
+            def within(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+                """How many of these paragraphs lie from ``low`` to ``high``."""
+                total = np.concatenate([[0], np.cumsum(which)])
+                a, b = np.searchsorted(starts, low), np.searchsorted(ends, high, side="right")
+                return np.where(b > a, total[b] - total[np.minimum(a, b)], 0)
+
+            text = np.searchsorted(words.first, at, side="right") - 1
+            wanted = (at + least <= words.first[text + 1]) & (within(shared, at, at + least) > 0)
+            wanted &= within(alone, at + REACH, at + least - REACH - 2) == 0
+            at, text = at[wanted], text[wanted]
+            tokens.append(value[at])
+            owners.append(key[row + text])
+            places.append(at - words.first[text])
+        if not tokens:
+            return None
+        token = np.concatenate(tokens)
+        return token, np.concatenate(owners), {"high": token >> np.uint64(32), "first": np.concatenate(places)}
+
+    return run
+
+
+def _exact_passages(rows: DataFrame, held: DataFrame, least: int) -> DataFrame:
+    """Runs of windows of ``least`` words that a document of a smaller doc_id has too, in the columns of a passage.
+
+    Each window has its own kept document, the first that holds the whole of it,
+    whatever documents hold its paragraphs one by one.  The cluster of a passage
+    is the hash range of its first window."""
+    lists = held.groupBy(F.col("doc_id").alias("owner")).agg(F.collect_set("first").alias("firsts"))
+    texts = rows.join(lists, rows["doc_id"] == lists["owner"]).select("doc_id", "text", "firsts")
+    entries = 2 * held.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    shared = stored(
+        ranges.shared_postings(texts, _windows(least), {"high": "<u4", "first": "<u4"}, ranges.group_count(entries))
+        .select("token", "high", "owner", "first"), "windows")
+    hubs = shared.groupBy("token", "high").agg(F.min(F.struct("owner", "first")).alias("hub"), F.max("owner").alias("most"))
+    hubs = hubs.where(F.col("hub.owner") < F.col("most")).select(
+        "token", "high", F.col("hub.owner").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
+    again = shared.join(hubs, ["token", "high"]).where("owner <> hub_doc")
+    order = Window.partitionBy("owner").orderBy("first", "hub_doc", "hub_first")
+    # In repetitive text the kept place moves back or stays: still one run.
+    new = (
+        (F.lag("hub_doc").over(order) != F.col("hub_doc"))
+        | (F.lag("first").over(order) + 1 < F.col("first"))
+        | (F.lag("hub_first").over(order) + 1 < F.col("hub_first"))
+    )
+    numbered = again.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(order))
+    found = numbered.groupBy("owner", "run").agg(
+        F.min(F.struct("first", "hub_doc", "hub_first", "token")).alias("at"), F.max("first").alias("last"))
+    return found.select(
+        F.col("owner").alias("doc_id"), F.col("at.first").alias("first_word"), (F.col("last") - F.col("at.first") + least).alias("n_words"),
+        F.col("at.hub_doc").alias("kept_doc_id"), F.col("at.hub_first").alias("kept_first_word"), F.col("at.token").alias("cluster"))
+
+
 def _cut(texts: pa.Array, firsts: pa.Array, sizes: pa.Array) -> pa.Array:
     """Each text without the given runs of words (and the white space after them)."""
     out: list[str | None] = texts.to_pylist()
