@@ -3,8 +3,9 @@
 A seed is a fixed mask over a window of words; words at its open places are
 hashed, the others may differ.  Several masks together find overlaps in which
 words were substituted.  Around each hit the words of item and document are
-compared along the diagonal, which bridges substitutions; an overlap counts
-when it holds enough of the item.
+compared along the diagonal, which bridges substitutions.  Stretches of
+neighbouring diagonals, between which words were inserted or left out, add up.
+An overlap counts when it holds enough of the item or many equal words in a row.
 
 The benchmark is read in blocks of a bounded number of words.  A block's hashes
 go to the executors and meet every window of every document there, so no
@@ -31,6 +32,10 @@ BLOCK_WORDS = 1_000_000
 #: An overlap holds at least this share of the item's words, and so many of them are equal.
 LEAST_SHARE = 0.5
 LEAST_EQUAL = 8
+#: Pieces of so many words add up to an overlap: the weight of a mask.
+LEAST_PIECE = 7
+#: So many equal words in a row are an overlap, whatever share of the item they are.
+LEAST_RUN = 13
 #: Of the words from the first to the last of an overlap, this share is equal.
 SIMILARITY = 0.75
 
@@ -110,20 +115,71 @@ class Block:
         item = self.item[there]
         # One comparison for each diagonal of a text and an item.
         keys = np.unique(np.stack([text, item, here - there], 1), axis=0)
-        best: dict[tuple[int, int], tuple] = {}
-        for t, i, shift in keys.tolist():
-            low = max(self.first[i], words.first[t] - shift)
-            high = min(self.first[i + 1], words.first[t + 1] - shift)
-            same = self.words[low:high] == words.hashes[low + shift:high + shift]
-            a, n, equal = _stretch(same)
+        cut = np.flatnonzero(np.concatenate([[True], (keys[1:, :2] != keys[:-1, :2]).any(1), [True]]))
+        for low, high in zip(cut[:-1], cut[1:]):
+            t, i = keys[low, :2].tolist()
             size = int(self.first[i + 1] - self.first[i])
-            if equal < max(min(LEAST_EQUAL, size), LEAST_SHARE * size) or equal < SIMILARITY * n:
-                continue
-            found = (equal, -(low + shift + a), t, i, int(low + shift + a - words.first[t]), int(low + a - self.first[i]), n, equal, size)
-            if (t, i) not in best or found > best[t, i]:
-                best[t, i] = found
-        for found in best.values():
-            yield found[2:]
+            least = max(min(LEAST_EQUAL, size), LEAST_SHARE * size)
+            pieces, best = [], None
+            for shift in keys[low:high, 2].tolist():
+                a = max(self.first[i], words.first[t] - shift)
+                b = min(self.first[i + 1], words.first[t + 1] - shift)
+                same = self.words[a:b] == words.hashes[a + shift:b + shift]
+                for start, n, equal, run in _stretches(same):
+                    place, item_place = int(a + shift + start - words.first[t]), int(a + start - self.first[i])
+                    pieces.append((place, item_place, n, equal))
+                    if equal >= least or run >= LEAST_RUN:
+                        best = max(best or (0,), (equal, -place, -item_place, n))
+            if best is None:
+                best = _chain(pieces, least, size)
+            if best is not None:
+                equal, place, item_place, n = best
+                yield t, i, -place, -item_place, n, equal, size
+
+
+def _stretches(same: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Start, length, matches and longest run of matches of the stretches of a diagonal that are similar enough.
+
+    The best one first, then those of what lies before and after it."""
+    open_parts = [(0, len(same))]
+    while open_parts:
+        low, high = open_parts.pop()
+        start, n, equal = _stretch(same[low:high])
+        if not n:
+            continue
+        start += low
+        if equal >= SIMILARITY * n:
+            edge = np.flatnonzero(np.concatenate([[True], ~same[start:start + n], [True]]))
+            yield start, n, equal, int(np.diff(edge).max()) - 1
+        # A shorter remainder cannot hold what a mask asks for.
+        open_parts += [(x, y) for x, y in ((low, start), (start + n, high)) if y - x >= LEAST_PIECE]
+
+
+def _chain(pieces: list[tuple[int, int, int, int]], least: float, size: int) -> tuple[int, int, int, int] | None:
+    """The most equal words of pieces that follow each other in document and item, as (equal words, -place, -item place, words).
+
+    The gap in the document is at most the item's words; words that two pieces
+    both hold count once.  None if they are fewer than ``least``."""
+    pieces = sorted({p for p in pieces if p[3] >= min(LEAST_PIECE, size)})
+    if len(pieces) < 2:
+        return None
+    at, item, n, equal = (np.array(c, np.int64) for c in zip(*pieces))
+    total, back = equal.copy(), np.full(len(at), -1)
+    for k in range(1, len(at)):
+        low = np.searchsorted(at[:k], at[k] - 2 * size)
+        twice = np.maximum(0, np.maximum(at[low:k] + n[low:k] - at[k], item[low:k] + n[low:k] - item[k]))
+        fits = (item[low:k] < item[k]) & (at[low:k] < at[k]) & (at[k] - at[low:k] - n[low:k] <= size) & (twice < n[k])
+        if fits.any():
+            gain = np.where(fits, total[low:k] + equal[k] - twice, -1)
+            j = int(np.argmax(gain))
+            if gain[j] > total[k]:
+                total[k], back[k] = gain[j], low + j
+    k = end = int(np.argmax(total))
+    if total[end] < least:
+        return None
+    while back[k] >= 0:
+        k = int(back[k])
+    return int(total[end]), -int(at[k]), -int(item[k]), int(at[end] + n[end] - at[k])
 
 
 def _stretch(same: np.ndarray) -> tuple[int, int, int]:

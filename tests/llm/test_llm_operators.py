@@ -415,6 +415,19 @@ def test_overlaps_with_substitutions(spark):
     assert decontaminate.overlaps(nothing(spark), bench).count() == 0
 
 
+def test_overlaps_in_pieces_and_parts_of_long_items(spark):
+    rng = random.Random(24)
+    pieces, long = prose(rng, 40).split(" "), prose(rng, 200).split(" ")
+    spread = " ".join(" ".join(pieces[a:a + 10]) + f" more{a}" for a in range(0, 40, 10))
+    docs = [(1, f"{prose(rng, 40)} {spread} {prose(rng, 30)}"), (2, f"{prose(rng, 40)} {' '.join(long[60:150])} {prose(rng, 30)}"),
+            (3, f"{prose(rng, 40)} {' '.join(long[:9])} {prose(rng, 30)}"), (4, f"{prose(rng, 40)} {' '.join(pieces[:10])} {prose(rng, 30)}")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(pieces)), (2, " ".join(long))], "item_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.overlaps(df, bench).collect()}
+    assert set(found) == {1, 2} and found[1].equal_words == 40 and found[2].n_words == 90
+    assert {r.doc_id for r in decontaminate.clean_documents(df, bench).collect()} == {3, 4}
+
+
 # ---------------------------------------------------------------- neighbours
 
 
