@@ -17,7 +17,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextlib.contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
+def setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -37,11 +37,49 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = prepare(df.sparkSession)
     path = shared_path(spark, label)
-    with _setting(spark, _CLEANUP, "true"):
+    with setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A value that more than this share of all rows has is looked up in a broadcast.
+HOT_SHARE = 10_000
+
+
+def split_lookup(rows: DataFrame, side: DataFrame, keys: list[str], often: str, salt: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``side``, null where it has no row for the keys; no key is hot.
+
+    ``side`` has unique ``keys`` and, in ``often``, how many of ``rows`` have them at
+    least once.  At most ``HOT_SHARE`` keys can have that share of all occurrences:
+    these are broadcast, and their rows pass the shuffle for the others spread by
+    ``salt``.  Runs one job for the total.
+    """
+    total = side.agg(F.coalesce(F.sum(often), F.lit(0))).first()[0]
+    hot = F.col(often) > total // HOT_SHARE
+    more = [c for c in side.columns if c not in keys]
+    packed = F.struct(*more)
+    first = rows.join(F.broadcast(side.where(hot).select(*keys, packed.alias("hot_row"))), keys, "left")
+    spread = F.when(F.col("hot_row").isNotNull(), F.xxhash64(*salt)).otherwise(F.col(keys[0]))
+    cold = side.where(~hot).select(
+        F.col(keys[0]).alias("cold_key"), *[F.col(k).alias(f"cold_{k}") for k in keys[1:]], packed.alias("cold_row"))
+    match = F.col("spread_key") == F.col("cold_key")
+    for k in keys[1:]:
+        match = match & (F.col(k) == F.col(f"cold_{k}"))
+    both = first.withColumn("spread_key", spread).join(cold, match, "left")
+    return both.select(*rows.columns, *[F.coalesce(f"hot_row.{c}", f"cold_row.{c}").alias(c) for c in more])
+
+
+def file_batches(table: DataFrame, most: int) -> list[DataFrame]:
+    """A table read from files as at most ``most`` frames of whole files; without files, the table itself."""
+    files = sorted(table.inputFiles())
+    if len(files) < 2:
+        return [table]
+    count = min(most, len(files))
+    cuts = [k * len(files) // count for k in range(count + 1)]
+    reader = table.sparkSession.read.schema(table.schema)
+    return [reader.parquet(*files[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def documents(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadloom.llm import (
-    decontaminate, idstore, language, neighbours, ngram_join, packing, quality, sharding, substring, toxicity,
+    decontaminate, idstore, language, lines, neighbours, ngram_join, packing, periodic, quality, sharding, substring, toxicity,
+    trie,
 )
-from broadloom.llm.common import documents
+from broadloom.llm.common import documents, file_batches, stored
+from broadloom.llm.oracles import OP11_SQL, OP12_SQL, OP13_SQL
 from broadloom.llm.tokens import vocabulary_path
 
 SHARDS = 24
+#: A table comes to the line runs as so many batches of files at most.
+LINE_BATCHES = 8
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,10 +67,26 @@ def op10_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.periodic_runs(periodic.with_planted_periods(documents(spark, sf_dir))))
+
+
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    kept = lines.drop_lines(docs, lines.common_lines(file_batches(docs, LINE_BATCHES), size))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(trie.ordered_turns(documents(spark, sf_dir, "conversations")), "turns")
+    return trie.prefix_trie(*trie.with_borrowed_beginnings(turns))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def llm_oracles() -> dict[str, str]:
-    """None of these results can be told by SQL: tests hold them against brute force instead."""
-    return {}
+    """SQL of the operators that SQL can express; tests hold the others against brute force instead."""
+    return {"op11_periodic_runs": OP11_SQL, "op12_line_runs": OP12_SQL, "op13_prefix_trie": OP13_SQL}
