@@ -176,13 +176,13 @@ def chunk_column(df: DataFrame, order: Sequence[str], cuts: list[tuple]) -> Colu
     if len(cuts) <= _CASE_CUTS:
         return F.expr(_case(keys, literals, 0, len(cuts)))
     arrays = [f"'k{i}', array({', '.join(cut[i] for cut in literals)})" for i in range(len(keys))]
-    terms = [f"get(c.k{i}, p + s - 1)" for i in range(len(keys))]
+    terms = [f"get(__c.k{i}, __p + __s - 1)" for i in range(len(keys))]  # no lambda variable may hide a column
     steps = [str(1 << bit) for bit in reversed(range(len(cuts).bit_length()))]
     search = (
-        f"aggregate(array({', '.join(steps)}), 0, (p, s) -> "
-        f"CASE WHEN p + s <= {len(cuts)} AND {_at_or_after(keys, terms)} THEN p + s ELSE p END)"
+        f"aggregate(array({', '.join(steps)}), 0, (__p, __s) -> "
+        f"CASE WHEN __p + __s <= {len(cuts)} AND {_at_or_after(keys, terms)} THEN __p + __s ELSE __p END)"
     )
-    return F.expr(f"get(transform(array(named_struct({', '.join(arrays)})), c -> {search}), 0)")
+    return F.expr(f"get(transform(array(named_struct({', '.join(arrays)})), __c -> {search}), 0)")
 
 
 def _case(keys: list[OrderKey], literals: list[list[str]], low: int, high: int) -> str:

@@ -117,30 +117,3 @@ def percent_rank_skewed(
 ) -> DataFrame:
     """Percent rank per group when a group may be too large for one task."""
     return with_tie_functions(df, part, order, {name: percent_rank()}, group_limit=0, chunks=chunks)
-
-
-def max_percentile_by_key(
-    df: DataFrame, key: str, order: Sequence[str], name: str = "best", chunks: int | None = None
-) -> DataFrame:
-    """Best whole-table percent rank reached by each key."""
-    ranked = percent_rank_distributed(df, order, "__p", chunks)
-    return ranked.groupBy(key).agg(F.max("__p").alias(name))
-
-
-def topk_two_phase(df: DataFrame, columns: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
-    """Top k distinct rows: each task combines its repeated rows, each partition
-    of them keeps k, and the survivors are merged.
-
-    ``order`` must rank all ``columns``.
-    """
-    return df.select(*columns).distinct().orderBy(*order).limit(k)
-
-
-def topk_percent_ranks(df: DataFrame, key: str, order: Sequence[str], k: int, name: str = "p_rank") -> DataFrame:
-    """Top k distinct (key, whole-table percent rank) pairs, best rank and then smallest key first.
-
-    The rank is one of a distributed percent rank; per key and rank one row is
-    left before the final top k, of which every task keeps at most k.
-    """
-    ranked = percent_rank_distributed(df, order, name)
-    return topk_two_phase(ranked, [key, name], [F.desc(name), F.asc(key)], k)

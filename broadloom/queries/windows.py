@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from broadloom.operators import ordered as O
+from broadloom.operators import topk as K
 from broadloom.operators import windows as W
 from broadloom.operators.aggregates import winners_by_symbol
 from broadloom.queries.registry import query
@@ -183,7 +184,7 @@ def _(t):
 SELECT l_suppkey, round(max(p), 9) AS best FROM
  (SELECT l_suppkey, percent_rank() OVER (ORDER BY l_extendedprice) AS p FROM lineitem) GROUP BY 1""")
 def _(t):
-    return W.max_percentile_by_key(t.lineitem, "l_suppkey", ["l_extendedprice"]).withColumn("best", F.round("best", 9))
+    return K.max_percentile_by_key(t.lineitem, "l_suppkey", ["l_extendedprice"]).withColumn("best", F.round("best", 9))
 
 
 _BOUNDS = f"""
@@ -240,7 +241,7 @@ def _(t):
 SELECT DISTINCT l_partkey, p_rank FROM (SELECT l_partkey, percent_rank() OVER (ORDER BY l_extendedprice) AS p_rank FROM lineitem)
 ORDER BY p_rank DESC, l_partkey LIMIT 100""")
 def _(t):
-    return W.topk_percent_ranks(t.lineitem.select("l_partkey", "l_extendedprice"), "l_partkey", ["l_extendedprice"], 100)
+    return K.topk_percent_ranks(t.lineitem.select("l_partkey", "l_extendedprice"), "l_partkey", ["l_extendedprice"], 100)
 
 
 @query("monotonic_id")

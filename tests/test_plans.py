@@ -9,6 +9,7 @@ from broadloom.operators import joins as J
 from broadloom.operators import ordered as O
 from broadloom.operators import skew as K
 from broadloom.operators import windows as W
+from broadloom.operators.topk import topk_distinct
 from broadloom.plans import broadcast_checked, measure_side, plan_facts
 from broadloom.session import shared_path
 from broadloom.sources import files
@@ -93,7 +94,7 @@ def test_merge_hint_and_top_k(spark, static_plans, lineitem):
     orders = files.table(spark, FOLDER, "orders")
     facts = plan_facts(lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")))
     assert facts.count("SortMergeJoin") == 1 and facts.exchanges == 2
-    top = plan_facts(W.topk_two_phase(lineitem, ["l_partkey", "l_quantity"], [F.desc("l_quantity")], 10))
+    top = plan_facts(topk_distinct(lineitem, ["l_partkey", "l_quantity"], ["l_quantity desc", "l_partkey"], 10))
     assert top.count("TakeOrderedAndProject") == 1
 
 
