@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 _MODULES = (
-    "relational", "joins", "aggregates", "windows", "scalars", "logs", "layout", "files", "mutable", "streams", "learning",
+    "relational", "joins", "aggregates", "windows", "scalars", "logs", "layout", "files", "mutable", "streams", "replays", "learning",
 )
 
 

@@ -11,7 +11,7 @@ from broadloom.streaming import aggregates as A
 from broadloom.streaming import progress as P
 from broadloom.streaming import sinks as K
 from broadloom.streaming import state as S
-from broadloom.streaming.sources import exact_glob, stream_files, stream_lines, stream_record_files
+from broadloom.streaming.sources import exact_glob, replay, stream_files, stream_lines, stream_record_files
 
 
 def N():
@@ -34,11 +34,22 @@ def _records(t):
     return _events(t).select(F.col("event_type").alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
 
 
-def _run(t, df, mode, each_batch=None, single_batch=False):
-    """Run to the end; rows of every batch."""
+#: Slices in time order, each one batch of a replayed stream.
+SLICES = 6
+
+
+def replayed(t):
+    """The events as a stream of several batches, in time order."""
+    rows = t.events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return replay(rows, "ts", shared_path(t.spark, "slices"), SLICES)
+
+
+def _run(t, df, mode, each_batch=None, clock=False):
+    """Run to the end; rows of every batch.  ``clock``: state with clock timeouts, whose batches never end by themselves."""
     out = shared_path(t.spark, "stream-out")
     each = each_batch(out) if each_batch else K.batch_writer(out)
-    K.finish(K.start_stream(df, shared_path(t.spark, "stream-state"), mode, each_batch=each, single_batch=single_batch))
+    query = K.start_stream(df, shared_path(t.spark, "stream-state"), mode, each_batch=each, every="0 seconds" if clock else None)
+    (K.finish_idle if clock else K.finish)(query)
     return K.read_batches(t.spark, out)
 
 
@@ -163,8 +174,8 @@ _SUMS = """, sum(round(value * 100)::BIGINT)::DOUBLE AS total_cents, sum(event_i
 sum(round(value * 100)::BIGINT)::DOUBLE / count(*) AS avg_cents, sum(event_id % 100)::DOUBLE / count(*) AS avg_chg"""
 
 
-def _stocks(t):
-    rows = _events(t).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+def stocks(t):
+    rows = replayed(t).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
     return rows.withColumn("chg", F.col("event_id") % 100)
 
 
@@ -174,20 +185,20 @@ def _running(batches, keys):
 
 @query("stream_sessions_update", _STATE.format(keys="user_id", sums=""))
 def _(t):
-    out = _run(t, S.sessions_update(_events(t), "user_id", "ts", timeout_ms=600_000), "update", single_batch=True)
+    out = _run(t, S.sessions_update(replayed(t), "user_id", "ts", timeout_ms=600_000), "update", clock=True)
     return _running(out, ["user_id"])
 
 
 @query("stream_stock_state", _STATE.format(keys="event_type", sums=_SUMS))
 def _(t):
-    out = _run(t, S.keyed_totals(_stocks(t), ["event_type"], "ts", ["cents", "chg"], timeout_ms=600_000), "update", single_batch=True)
+    out = _run(t, S.keyed_totals(stocks(t), ["event_type"], "ts", ["cents", "chg"], timeout_ms=600_000), "update", clock=True)
     return _running(out, ["event_type"])
 
 
 @query("stream_stock_state_multi", _STATE.format(keys="event_type, user_id", sums=_SUMS))
 def _(t):
     keys = ["event_type", "user_id"]
-    out = _run(t, S.keyed_totals(_stocks(t), keys, "ts", ["cents", "chg"], timeout_ms=600_000), "update", single_batch=True)
+    out = _run(t, S.keyed_totals(stocks(t), keys, "ts", ["cents", "chg"], timeout_ms=600_000), "update", clock=True)
     return _running(out, keys)
 
 
@@ -196,7 +207,8 @@ SELECT *, ended + INTERVAL '1 hour' <= top - INTERVAL '10 seconds' AS expired FR
  ({_STATE.format(keys="event_type, user_id", sums=", max(ts) AS ended, (SELECT max(ts) FROM events) AS top")})""")
 def _(t):
     keys = ["event_type", "user_id"]
-    out = _run(t, S.keyed_totals(_stocks(t), keys, "ts", ["cents"], timeout_ms=3_600_000, event_time=True), "update")
+    rows = _events(t).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    out = _run(t, S.keyed_totals(rows, keys, "ts", ["cents"], timeout_ms=3_600_000, event_time=True), "update")
     state = K.latest_per_key(out, keys).select(*keys, "events", "duration_us", "expired")
     last = t.events.groupBy(*keys).agg(F.max("ts").alias("ended"))
     top = t.events.agg(F.max("ts")).first()[0]
@@ -231,8 +243,8 @@ class _Streamed:
         self.events = events
 
 
-def access_stream(t):
-    return L.parse_access_log(access.lines(_Streamed(_stream(t))), "line")
+def access_stream(t, events=None):
+    return L.parse_access_log(access.lines(_Streamed(_stream(t) if events is None else events)), "line")
 
 
 @query("stream_foreach_batch", "SELECT event_id, upper(event_type) AS kind FROM events WHERE value > 50")

@@ -6,6 +6,7 @@ after a failure replaces its rows instead of repeating them.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,14 +29,13 @@ def start_stream(
     each_batch: Callable[[DataFrame, int], None] | None = None,
     every: str | None = None,
     name: str | None = None,
-    single_batch: bool = False,
 ) -> StreamingQuery:
     """Start a stream into a sink format or a per-batch function.
 
     ``every`` is a trigger interval such as ``"10 seconds"``; without it all
     available input is processed and the query stops.  State with clock
-    timeouts never runs out of batches, so there ``single_batch`` takes all
-    available input in one batch and stops.
+    timeouts never runs out of batches: start it with an interval and
+    ``finish_idle``.
     """
     if mode not in MODES:
         raise ValueError(f"unknown output mode {mode!r}; use one of {MODES}")
@@ -45,7 +45,7 @@ def start_stream(
     if every:
         writer = writer.trigger(processingTime=every)
     else:
-        writer = writer.trigger(once=True) if single_batch else writer.trigger(availableNow=True)
+        writer = writer.trigger(availableNow=True)
     if name:
         writer = writer.queryName(name)
     if each_batch:
@@ -59,6 +59,20 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def finish_idle(query: StreamingQuery, poll_seconds: float = 0.05) -> StreamingQuery:
+    """Stop a query on an interval after its first batch that found no new input, and raise what it raised.
+
+    For state with clock timeouts, whose batches go on without input."""
+    while query.isActive:
+        now = query.lastProgress
+        if now and not now["numInputRows"] and all(s["startOffset"] == s["endOffset"] for s in now["sources"]):
+            query.stop()
+            break
+        time.sleep(poll_seconds)
+    query.awaitTermination()
+    return query
+
+
 def _files(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and the path for it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,26 @@ def stream_files(
     return reader.load(path)
 
 
+def slice_number(df: DataFrame, ts: str, slices: int) -> Column:
+    """Which of so many equal parts of the table's time a row falls in; rows without a time are in the first."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    if low is None:
+        return F.lit(0)
+    return F.coalesce(F.call_function("div", (micros - low) * slices, F.lit(high - low + 1)), F.lit(0)).cast("int")
+
+
+def replay(df: DataFrame, ts: str, path: str, slices: int, files: int = 1) -> DataFrame:
+    """A table as a stream of ``slices`` batches in time order, from ``files`` files each, written to ``path``.
+
+    Batch b has the rows of slice b, so what a stream holds after each of its
+    batches can be compared with the table's rows up to that time."""
+    number = slice_number(df, ts, slices)
+    for k in range(slices):
+        df.where(number == k).repartition(files).write.mode("append").parquet(path)
+    return stream_files(df.sparkSession, path, df.schema, files_per_trigger=files)
+
+
 def exact_glob(path: str) -> str:
     """Pattern matching only ``path``; unlike a plain path it may be one file."""
     return f"{path[:-1]}[{path[-1]}]"

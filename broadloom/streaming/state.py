@@ -1,37 +1,66 @@
 """Custom keyed state: running sessions and running position totals.
 
-Rows are combined per key inside each Arrow batch before they are shuffled, so
-a hot key sends a handful of partial rows to its state task and state stays at
-a few numbers per key.
+A key's state is one row of a few numbers and one timer.  Rows reach it as they
+are, so whether a row is late depends on its own time and the watermark alone,
+never on the rows it travels with; batch sizes change nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-
-def _combined(df: DataFrame, keys: Sequence[str], ts: str, sums: Sequence[str]) -> DataFrame:
-    keys, sums = list(keys), list(sums)
-    rows = df.select(*keys, F.col(ts).cast("timestamp").alias("last"), *[F.col(c).cast("double").alias(c) for c in sums])
-    schema = T.StructType(
-        [rows.schema[k] for k in keys]
-        + [T.StructField("first_us", T.LongType()), T.StructField("last", T.TimestampType()), T.StructField("n", T.LongType())]
-        + [T.StructField(c, T.DoubleType()) for c in sums]
-    )
-    rows = rows.withColumn("first_us", F.unix_micros("last"))
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
+
+
+class RunningTotals(StatefulProcessor):
+    """Count, first and last time and sums per key; a timer ends what gets no rows for a while."""
+
+    def __init__(self, sums: Sequence[str], timeout_ms: int, event_time: bool, output: T.StructType):
+        self.sums, self.timeout_ms, self.event_time, self.output = list(sums), timeout_ms, event_time, output
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kinds = ["n bigint", "first_us bigint", "last_us bigint", "due_ms bigint", *[f"`{c}` double" for c in self.sums]]
+        self.handle = handle
+        self.totals = handle.getValueState("totals", ", ".join(kinds))
+
+    def _row(self, key: tuple, state: tuple, expired: bool) -> Row:
+        n, first, last, _, *sums = state
+        averages = [total / n if n else 0.0 for total in sums]
+        return Row(*self.output.names)(*key, n, last - first, *sums, *averages, expired)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        state = tuple(self.totals.get()) if self.totals.exists() else None
+        n, first, last, due, *sums = state or (0, None, None, None, *[0.0] * len(self.sums))
+        for row in rows:
+            n += 1
+            at = row["at_us"]
+            first = at if first is None or at < first else first
+            last = at if last is None or at > last else last
+            for k, name in enumerate(self.sums):
+                sums[k] += row[name] or 0.0
+        if self.event_time:
+            next_due = max(last // 1000 + self.timeout_ms, timerValues.getCurrentWatermarkInMs() + 1)
+        else:
+            next_due = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+        if next_due != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(next_due)
+        state = (n, first, last, next_due, *sums)
+        self.totals.update(state)
+        yield self._row(key, state, False)
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            how = {"first_us": ("first_us", "min"), "last": ("last", "max"), "n": ("last", "size")}
-            yield batch.groupby(keys, as_index=False, dropna=False).agg(**how, **{c: (c, "sum") for c in sums})
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.totals.exists():
+            state = tuple(self.totals.get())
+            self.totals.clear()
+            yield self._row(key, state, True)
 
-    return rows.mapInPandas(combine, schema)
+    def close(self) -> None:
+        pass
 
 
 def keyed_totals(
@@ -47,59 +76,26 @@ def keyed_totals(
 
     Update mode.  Every batch emits the state of the keys it touched; a key
     without events for ``timeout_ms`` emits a last row with ``expired`` set and is
-    forgotten.  Time is the clock's, or the watermark's if ``event_time``.
-    Averages are 0 for a key without events.
+    forgotten.  Time is the clock's, or the watermark's if ``event_time``: then
+    rows older than the watermark that the batch before worked with are late and
+    count nowhere.  Rows without a
+    time are left out; null measures count as 0, and averages are 0 for a key
+    without events.
     """
     keys, sums = list(keys), list(sums)
-    parts = _combined(df, keys, ts, sums)
-    if event_time:
-        parts = parts.withWatermark("last", watermark)
-    state_schema = T.StructType(
-        [T.StructField(c, T.LongType()) for c in ("n", "first_us", "last_us")] + [T.StructField(c, T.DoubleType()) for c in sums]
-    )
+    rows = df.where(F.col(ts).isNotNull()).select(
+        *keys, F.col(ts).cast("timestamp").alias("at"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
+        *[F.col(c).cast("double").alias(c) for c in sums])
+    rows = rows.withWatermark("at", watermark) if event_time else rows.drop("at")
     output = T.StructType(
-        [parts.schema[k] for k in keys]
+        [rows.schema[k] for k in keys]
         + [T.StructField("events", T.LongType()), T.StructField("duration_us", T.LongType())]
         + [T.StructField(f"total_{c}", T.DoubleType()) for c in sums]
         + [T.StructField(f"avg_{c}", T.DoubleType()) for c in sums]
         + [T.StructField("expired", T.BooleanType())]
     )
-
-    def row(key: tuple, values: list, expired: bool) -> pd.DataFrame:
-        n, first, last, *totals = values
-        averages = [total / n if n else 0.0 for total in totals]
-        return pd.DataFrame([[*key, n, last - first, *totals, *averages, expired]], columns=output.names)
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            values = list(state.get)
-            state.remove()
-            yield row(key, values, True)
-            return
-        values = list(state.get) if state.exists else None
-        for batch in batches:
-            last = batch["last"].max()
-            new = [
-                int(batch["n"].sum()), int(batch["first_us"].min()), int(pd.Timestamp(last).value // 1000),
-                *[float(batch[c].sum()) for c in sums],
-            ]
-            if values is None:
-                values = new
-            else:
-                values = [
-                    values[0] + new[0], min(values[1], new[1]), max(values[2], new[2]),
-                    *[a + b for a, b in zip(values[3:], new[3:])],
-                ]
-        state.update(tuple(values))
-        if event_time:
-            due = values[2] // 1000 + timeout_ms
-            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        else:
-            state.setTimeoutDuration(timeout_ms)
-        yield row(key, values, False)
-
-    timeout = GroupStateTimeout.EventTimeTimeout if event_time else GroupStateTimeout.ProcessingTimeTimeout
-    return parts.groupBy(*keys).applyInPandasWithState(update, output, state_schema, "update", timeout)
+    processor = RunningTotals(sums, timeout_ms, event_time, output)
+    return rows.groupBy(*keys).transformWithState(processor, output, "update", "EventTime" if event_time else "ProcessingTime")
 
 
 def sessions_update(df: DataFrame, key: str, ts: str, timeout_ms: int = 10_000, event_time: bool = False, watermark: str = "10 seconds") -> DataFrame:

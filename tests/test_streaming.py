@@ -111,6 +111,60 @@ def test_event_time_expiry(spark, folder):
     assert ("a", 2, 3.0) in running and ("a", 3, 7.0) in running
 
 
+@pytest.mark.parametrize("rows_a_batch", ["1", "10000"])
+def test_late_rows_do_not_depend_on_the_rows_they_travel_with(spark, folder, rows_a_batch):
+    put(spark, folder, "f0", [("a", at(1000), 1)], 1_700_000_000)
+    put(spark, folder, "f1", [("a", at(1001), 2)], 1_700_000_001)
+    # The batch before worked with a watermark of 990 s: of these only two are in time, wherever the late ones stand.
+    put(spark, folder, "f2", [("a", at(5), 100), ("a", at(1001), 10), ("a", at(900), 1000), ("b", at(989), 7), ("a", at(991), 20)], 1_700_000_002)
+    settings = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.transformWithStateInPandas.maxRecordsPerBatch")
+    for name in settings:
+        spark.conf.set(name, rows_a_batch)
+    try:
+        out = shared_path(spark, "late")
+        state = S.keyed_totals(R.stream_files(spark, folder, SCHEMA, files_per_trigger=1), ["k"], "ts", ["v"], timeout_ms=60_000, event_time=True)
+        K.finish(K.start_stream(state, shared_path(spark, "late-state"), "update", each_batch=K.batch_writer(out)))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    rows = {(r.batch, r.k): (r.events, r.duration_us, r.total_v) for r in K.read_batches(spark, out).collect()}
+    assert rows == {(0, "a"): (1, 0, 1.0), (1, "a"): (2, 1_000_000, 3.0), (2, "a"): (4, 10_000_000, 33.0)}
+
+
+def test_state_ends_and_begins_anew(spark, folder):
+    put(spark, folder, "f0", [("a", at(0), 1)], 1_700_000_000)
+    put(spark, folder, "f1", [("z", at(200), 0)], 1_700_000_001)
+    put(spark, folder, "f2", [("z", at(201), 0)], 1_700_000_002)
+    put(spark, folder, "f3", [("a", at(300), 5)], 1_700_000_003)
+    out = shared_path(spark, "anew")
+    state = S.keyed_totals(R.stream_files(spark, folder, SCHEMA, files_per_trigger=1), ["k"], "ts", ["v"], timeout_ms=60_000, event_time=True)
+    K.finish(K.start_stream(state, shared_path(spark, "anew-state"), "update", each_batch=K.batch_writer(out)))
+    rows = sorted((r.batch, r.expired, r.events, r.total_v) for r in K.read_batches(spark, out).filter("k = 'a'").collect())
+    assert rows == [(0, False, 1, 1.0), (2, True, 1, 1.0), (3, False, 1, 5.0)]
+
+
+def test_a_stream_on_the_clock_takes_every_batch_and_stops(spark, folder):
+    for i, part in enumerate(slices()):
+        put(spark, folder, f"f{i}", part, 1_700_000_000 + i)
+    out = shared_path(spark, "idle")
+    state = S.keyed_totals(R.stream_files(spark, folder, SCHEMA, files_per_trigger=1), ["k"], "ts", ["v"], timeout_ms=600_000)
+    q = K.start_stream(state, shared_path(spark, "idle-state"), "update", each_batch=K.batch_writer(out), every="0 seconds")
+    assert not K.finish_idle(q).isActive
+    batches = K.read_batches(spark, out).filter("not expired")
+    assert [r.batch for r in batches.select("batch").distinct().orderBy("batch").collect()] == [0, 1, 2, 3]
+    assert {r.k: r.events for r in K.latest_per_key(batches, ["k"]).collect()} == {"a": 60, "b": 60}
+
+
+def test_replay_deals_rows_by_time(spark):
+    rows = [("a", at(i), i) for i in range(100)] + [("a", None, -1)]
+    source = spark.createDataFrame(rows, SCHEMA)
+    out = shared_path(spark, "replayed")
+    stream = R.replay(source, "ts", shared_path(spark, "replay-in"), 4, files=2)
+    K.finish(K.start_stream(stream, shared_path(spark, "replay-state"), each_batch=K.batch_writer(out)))
+    got = {r.batch: (r.n, r.low) for r in K.read_batches(spark, out).groupBy("batch").agg(F.count("*").alias("n"), F.min("v").alias("low")).collect()}
+    assert got == {0: (26, -1), 1: (25, 25), 2: (25, 50), 3: (25, 75)}
+
+
 def test_clock_timeout_expires(spark, folder):
     put(spark, folder, "f0", [("a", at(0), 1), ("a", at(9), 2)], 1_700_000_000)
     out = shared_path(spark, "clock")
