@@ -5,10 +5,13 @@ stream must hold or emit after every batch from the rows up to it.  ``batch`` is
 the batch's number; a last batch without input follows where a watermark moves.
 """
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.queries.registry import query
-from broadloom.queries.streams import SLICES, N, _plain_times, _run, access_stream, replayed, stocks
+from broadloom.queries.streams import SLICES, N, _plain_times, _run, access_stream, replayed, stamped, stocks
 from broadloom.streaming import aggregates as A
 from broadloom.streaming import sinks as K
 from broadloom.streaming import state as S
@@ -143,3 +146,24 @@ SELECT sl::INTEGER AS batch, method, count(*) AS n FROM kept GROUP BY 1, 2
 UNION ALL SELECT sl::INTEGER, 'all', count(*) FROM kept GROUP BY 1""")
 def _(t):
     return _run(t, access_stream(t, replayed(t)), "append", lambda path: K.batch_count_writer(path, "method"))
+
+
+@query("stream_window_status_batches", f"""
+WITH kept AS (
+       SELECT sl, time_bucket(INTERVAL '20 seconds', ts, TIMESTAMP '2000-01-01') AS pane,
+              CASE event_type WHEN 'error' THEN '404' WHEN 'signup' THEN '302' ELSE '200' END AS status
+       FROM ({SLICED}) WHERE event_id % 97 <> 0),
+     spread AS (SELECT *, pane - i * INTERVAL '20 seconds' AS window_start FROM kept, range(2) r(i))
+SELECT b::INTEGER AS batch, window_start, status, count(*) AS n FROM range({SLICES}) r(b) JOIN spread ON sl <= b
+GROUP BY b, window_start, status HAVING max(sl) = b""")
+def _(t):
+    """The windows that each batch changed, as they stood after it."""
+    panes = A.panes(stamped(access_stream(t, replayed(t))), "ts", "20 seconds", ["status"], {"n": N()}, watermark="1 minute")
+    changed = _run(t, panes, "update")
+    asof = []
+    for b in range(SLICES):
+        upto = K.latest_per_key(changed.filter(F.col("batch") <= b), ["pane_start", "pane_end", "status"])
+        fresh = A.windows_of_panes(changed.filter(F.col("batch") == b), ["status"], {"n": "sum"}, "20 seconds", 2)
+        whole = A.windows_of_panes(upto, ["status"], {"n": "sum"}, "20 seconds", 2)
+        asof.append(whole.join(fresh.select("window_start", "status"), ["window_start", "status"], "left_semi").withColumn("batch", F.lit(b)))
+    return _plain_times(reduce(DataFrame.unionByName, asof), "window_start").drop("window_end")

@@ -229,13 +229,17 @@ SELECT time_bucket(INTERVAL '20 seconds', ts, TIMESTAMP '2000-01-01') - i * INTE
        CASE event_type WHEN 'error' THEN '404' WHEN 'signup' THEN '302' ELSE '200' END AS status, count(*) AS n
 FROM events, range(2) r(i) WHERE event_id % 97 <> 0 GROUP BY 1, 2""")
 def _(t):
-    stamp = F.to_timestamp(F.substring("stamp", 1, 20), "dd/MMM/yyyy:HH:mm:ss")
-    rows = access_stream(t).withColumn("ts", stamp)
-    counted = A.windowed(rows, "ts", "40 seconds", ["status"], {"n": N()}, slide="20 seconds")
-    out = K.latest_per_key(_run(t, counted, "update"), ["window_start", "window_end", "status"])
+    panes = A.panes(stamped(access_stream(t)), "ts", "20 seconds", ["status"], {"n": N()}, watermark="1 minute")
+    newest = K.latest_per_key(_run(t, panes, "update"), ["pane_start", "pane_end", "status"])
+    out = A.windows_of_panes(newest, ["status"], {"n": "sum"}, "20 seconds", 2)
     return _plain_times(out, "window_start").drop("window_end")
 
 
+def stamped(lines):
+    """Parsed log lines with their time."""
+    return lines.withColumn("ts", F.to_timestamp(F.substring("stamp", 1, 20), "dd/MMM/yyyy:HH:mm:ss"))
+
+
 class _Streamed:
     """Stands in for the tables so that log lines come from the stream."""
 

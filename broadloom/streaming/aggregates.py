@@ -36,6 +36,35 @@ def windowed(
     return grouped.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest)
 
 
+def panes(
+    df: DataFrame, ts: str, pane: str, keys: Sequence[str], aggs: dict[str, Column], watermark: str
+) -> DataFrame:
+    """Aggregates per pane, the stretch by which a sliding window moves, and key.
+
+    Update mode.  A row is counted once, in one state row, instead of once in each
+    window that covers it: keys with few rows need half the state for windows of
+    two panes, and all need half the updates of it.  Panes older than the
+    watermark leave the state.
+    """
+    return windowed(df, ts, pane, keys, aggs, watermark=watermark).withColumnsRenamed(
+        {"window_start": "pane_start", "window_end": "pane_end"})
+
+
+def windows_of_panes(panes: DataFrame, keys: Sequence[str], merges: dict[str, str], pane: str, per_window: int) -> DataFrame:
+    """Sliding windows of ``per_window`` panes each, from the newest state of every pane.
+
+    ``merges`` says how each aggregate is combined: sum (also for counts), min or max.
+    """
+    unknown = set(merges.values()) - {"sum", "min", "max"}
+    if unknown:
+        raise ValueError(f"panes cannot be merged by {sorted(unknown)}")
+    length = F.expr(f"INTERVAL {pane}")
+    starts = F.array(*[F.col("pane_start") - length * k for k in range(per_window)])
+    spread = panes.select(F.explode(starts).alias("window_start"), *keys, *merges)
+    return spread.groupBy("window_start", *keys).agg(*[getattr(F, how)(name).alias(name) for name, how in merges.items()]).select(
+        "window_start", (F.col("window_start") + length * per_window).alias("window_end"), *keys, *merges)
+
+
 def total_by_key(df: DataFrame, keys: Sequence[str], value: Column, name: str = "total") -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias(name))
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import random
 import time
 
 import pytest
@@ -234,3 +235,33 @@ def test_read_batches_takes_committed_ones_only(spark, folder):
     os.makedirs(f"{out}/batch=1/_temporary")
     write(spark.createDataFrame([(1,)], "v int"), 0)  # a replay
     assert [tuple(r) for r in K.read_batches(spark, out).collect()] == [(1, 0)]
+
+
+def pane_frame(spark, folder):
+    choose = random.Random(4)
+    for i in range(5):
+        put(spark, folder, f"f{i}", [(f"k{choose.randint(0, 199)}", at(200 * i + choose.randint(0, 199)), choose.randint(0, 9)) for _ in range(300)], 1_700_000_000 + i)
+    return R.stream_files(spark, folder, SCHEMA, files_per_trigger=1)
+
+
+def run_progress(spark, df):
+    out = shared_path(spark, "panes")
+    q = K.finish(K.start_stream(df, shared_path(spark, "panes-state"), "update", each_batch=K.batch_writer(out)))
+    operators = [op for p in q.recentProgress for op in p["stateOperators"]]
+    return K.read_batches(spark, out), sum(op["numRowsUpdated"] for op in operators), operators[-1]["numRowsTotal"]
+
+
+def test_panes_give_the_windows_with_half_the_state(spark, folder):
+    stream = pane_frame(spark, folder)
+    aggs = {"n": F.count(F.lit(1)), "low": F.min("v"), "high": F.max("v"), "total": F.sum("v")}
+    merges = {"n": "sum", "low": "min", "high": "max", "total": "sum"}
+    out, updated, left = run_progress(spark, A.panes(stream, "ts", "20 seconds", ["k"], aggs, watermark="1 minute"))
+    newest = K.latest_per_key(out, ["pane_start", "pane_end", "k"])
+    got = A.windows_of_panes(newest, ["k"], merges, "20 seconds", 2)
+    plain, twice, _ = run_progress(spark, A.windowed(stream, "ts", "40 seconds", ["k"], aggs, slide="20 seconds", watermark="1 minute"))
+    want = A.windowed(spark.read.parquet(folder), "ts", "40 seconds", ["k"], aggs, slide="20 seconds")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert updated < 0.6 * twice
+    assert left <= 2 * 300  # of 1,500 rows only the panes within the watermark's reach stay
+    with pytest.raises(ValueError):
+        A.windows_of_panes(newest, ["k"], {"n": "avg"}, "20 seconds", 2)
