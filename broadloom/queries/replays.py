@@ -14,7 +14,9 @@ from broadloom.queries.registry import query
 from broadloom.queries.streams import SLICES, N, _plain_times, _run, access_stream, replayed, stamped, stocks
 from broadloom.streaming import aggregates as A
 from broadloom.streaming import sinks as K
+from broadloom.session import shared_path
 from broadloom.streaming import state as S
+from broadloom.streaming.upserts import UpsertTable
 
 CENTS = "round(value * 100)::BIGINT"
 #: ``sl`` is the slice, and so the batch, of an event.
@@ -167,3 +169,15 @@ def _(t):
         whole = A.windows_of_panes(upto, ["status"], {"n": "sum"}, "20 seconds", 2)
         asof.append(whole.join(fresh.select("window_start", "status"), ["window_start", "status"], "left_semi").withColumn("batch", F.lit(b)))
     return _plain_times(reduce(DataFrame.unionByName, asof), "window_start").drop("window_end")
+
+
+@query("stream_upsert_totals", f"""
+SELECT ts::DATE::VARCHAR || '-' || event_type || '-' || user_id % 50 AS row_key, sum({CENTS})::BIGINT AS cents, count(*) AS n
+FROM events GROUP BY 1""")
+def _(t):
+    """Running totals by day, kind and shop, upserted batch by batch; six batches make segments of two levels."""
+    row_key = F.concat_ws("-", F.to_date("ts").cast("string"), "event_type", (F.col("user_id") % 50).cast("string"))
+    totals = _cents(replayed(t)).groupBy(row_key.alias("row_key")).agg(F.sum("cents").alias("cents"), N().alias("n"))
+    table = UpsertTable(shared_path(t.spark, "upserts"), ["row_key"])
+    K.finish(K.start_stream(totals, shared_path(t.spark, "stream-state"), "update", each_batch=table.write))
+    return table.read(t.spark)

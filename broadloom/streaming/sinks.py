@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType, _parse_datat
 
 from broadloom.functions.scalars import joined_message
 from broadloom.sources.jdbc import JdbcTarget, sink_jdbc
+from broadloom.streaming.upserts import UpsertTable
 
 MODES = ("append", "update", "complete")
 
@@ -145,22 +146,19 @@ def as_records(rows: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     return rows.select(F.col(key).cast("string").alias("key"), joined_message(values).alias("value"))
 
 
-def upsert_writer(path: str, key_parts: Sequence[str], value: str) -> Callable[[DataFrame, int], None]:
-    """Append each batch's values under a composite ``a-b-c`` row key.
-
-    Nothing already written is rewritten; ``read_upserts`` resolves the newest
-    value per key when reading.
-    """
-    write = batch_writer(path)
+def upsert_writer(path: str, key_parts: Sequence[str], value: str, **table) -> Callable[[DataFrame, int], None]:
+    """Upsert each batch's values under a composite ``a-b-c`` row key into an ``UpsertTable`` at ``path``."""
+    target = UpsertTable(path, ["row_key"], **table)
 
     def put(rows: DataFrame, batch_id: int) -> None:
-        write(rows.select(F.concat_ws("-", *key_parts).alias("row_key"), F.col(value).alias("value")), batch_id)
+        target.write(rows.select(F.concat_ws("-", *key_parts).alias("row_key"), F.col(value).alias("value")), batch_id)
 
     return put
 
 
 def read_upserts(spark: SparkSession, path: str) -> DataFrame:
-    return latest_per_key(read_batches(spark, path), ["row_key"])
+    """The newest value per row key."""
+    return UpsertTable(path, ["row_key"]).read(spark)
 
 
 def jdbc_writer(target: JdbcTarget, table: str, columns: Sequence[str]) -> Callable[[DataFrame, int], None]:

@@ -14,6 +14,8 @@ from broadloom.streaming import progress as P
 from broadloom.streaming import sinks as K
 from broadloom.streaming import state as S
 from broadloom.streaming import sources as R
+from broadloom.streaming.upserts import Segment, UpsertTable
+from broadloom.plans.facts import plan_facts
 
 SCHEMA = "k string, ts timestamp, v bigint"
 BASE = dt.datetime(2024, 1, 1)
@@ -265,3 +267,59 @@ def test_panes_give_the_windows_with_half_the_state(spark, folder):
     assert left <= 2 * 300  # of 1,500 rows only the panes within the watermark's reach stay
     with pytest.raises(ValueError):
         A.windows_of_panes(newest, ["k"], {"n": "avg"}, "20 seconds", 2)
+
+
+def upserted(spark, table, batches, replays=()):
+    kind = "k string, v int"
+    for batch_id, rows in enumerate(batches):
+        table.write(spark.createDataFrame(rows, kind), batch_id)
+        for again in replays:
+            if again <= batch_id:
+                table.write(spark.createDataFrame(batches[again], kind), again)
+
+
+@pytest.mark.parametrize("fanout, keep", [(2, False), (3, False), (3, True), (100, False)])
+def test_upserts_are_the_same_before_and_after_merges_and_replays(spark, fanout, keep):
+    choose = random.Random(9)
+    batches = [[(f"k{choose.randint(0, 30)}", 100 * b + i) for i in range(12)] for b in range(11)]
+    want = {}
+    for rows in batches:
+        for k in {k for k, _ in rows}:
+            want[k] = max(v for key, v in rows if key == k)
+    table = UpsertTable(shared_path(spark, "segments"), ["k"], buckets=4, fanout=fanout, keep_covered=keep)
+    upserted(spark, table, batches, replays=(0, 4))
+    assert dict(map(tuple, table.read(spark).collect())) == want
+    now = table.segments(spark)
+    assert [s.first for s in now] == [0, *[s.last + 1 for s in now[:-1]]] and now[-1].last == 10
+    assert len(now) <= 11 if fanout == 100 else len(now) <= 2 * fanout
+    before = table._committed(spark)
+    table.merge(spark, everything=True)
+    assert dict(map(tuple, table.read(spark).collect())) == want
+    assert table.segments(spark) == [Segment(0, 10)]
+    if not keep:
+        assert table._committed(spark) == [Segment(0, 10)] and len(before) == len(now)
+    table.write(spark.createDataFrame(batches[3], "k string, v int"), 3)  # a replay long after
+    assert dict(map(tuple, table.read(spark).collect())) == want
+
+
+def test_a_cut_short_segment_is_not_read(spark):
+    table = UpsertTable(shared_path(spark, "segments"), ["k"], buckets=2)
+    assert table.read(spark, "k string, v int").count() == 0
+    table.write(spark.createDataFrame([("a", 1)], "k string, v int"), 0)
+    os.makedirs(f"{table.path}/segment=1-1/_temporary")
+    os.makedirs(f"{table.path}/segment=0-1/_temporary")
+    assert [tuple(r) for r in table.read(spark).collect()] == [("a", 1)]
+    table.write(spark.createDataFrame([("a", 2), (None, 5)], "k string, v int"), 1)
+    assert {tuple(r) for r in table.read(spark).collect()} == {("a", 2), (None, 5)}
+
+
+def test_a_lookup_opens_one_bucket(spark, static_plans):
+    table = UpsertTable(shared_path(spark, "segments"), ["k", "day"], buckets=8)
+    rows = [(f"k{i}", i % 3, i) for i in range(60)]
+    table.write(spark.createDataFrame(rows, "k string, day int, v int"), 0)
+    table.write(spark.createDataFrame([("k7", 1, 700)], "k string, day int, v int"), 1)
+    found = table.lookup(spark, k="k7", day=1)
+    assert [tuple(r) for r in found.collect()] == [("k7", 1, 700)]
+    assert all("bucket" in f for f in plan_facts(found).partition_filters())
+    with pytest.raises(ValueError):
+        table.lookup(spark, k="k7")
