@@ -103,7 +103,7 @@ def _(t):
 @query("sink_partitioned", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'")
 def _(t):
     path = shared_path(t.spark, "partitioned")
-    files.sink_partitioned(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), ["o_orderstatus"], path, spread=4)
+    files.sink_partitioned(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), ["o_orderstatus"], path)
     return t.spark.read.parquet(path).filter(F.col("o_orderstatus") != "F")
 
 

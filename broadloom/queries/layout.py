@@ -74,7 +74,7 @@ WHERE year(l_shipdate) IN (SELECT year(o_orderdate) FROM orders WHERE o_totalpri
 def _(t):
     path = shared_path(t.spark, "by-year")
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", F.year("l_shipdate").alias("ship_year"))
-    files.sink_partitioned(rows, ["ship_year"], path, spread=8)
+    files.sink_partitioned(rows, ["ship_year"], path)
     highest = t.orders.agg(F.max("o_totalprice")).first()[0]
     years = t.orders.filter(F.col("o_totalprice") == highest).select(F.year("o_orderdate").alias("ship_year")).distinct()
     fact = t.spark.read.parquet(path)
@@ -89,6 +89,44 @@ def _(t):
     return t.spark.table(name).groupBy("l_partkey").agg(F.sum("l_quantity").alias("qty"), N().alias("n"))
 
 
+def _bucketed(t, rows, column, buckets):
+    name = f"bucketed_{uuid.uuid4().hex}"
+    files.sink_bucketed(rows, name, buckets, [column], shared_path(t.spark, "bucketed"))
+    return t.spark.table(name)
+
+
+def bucketed_sides(t, buckets, other_buckets=None):
+    """Lines and orders in buckets of the order's key."""
+    lines = _bucketed(t, t.lineitem.select("l_orderkey", "l_quantity"), "l_orderkey", buckets)
+    return lines, _bucketed(t, t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey", other_buckets or buckets)
+
+
+@query("bucketed_join", "SELECT o_orderpriority, count(*) AS n, sum(l_quantity) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1")
+def _(t):
+    lines, orders = bucketed_sides(t, _parallelism(t))
+    joined = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(N().alias("n"), F.sum("l_quantity").alias("qty"))
+
+
+@query("bucketed_filter", """
+SELECT l_partkey, count(*) AS n, sum(l_quantity) AS qty FROM lineitem WHERE l_partkey = (SELECT max(l_partkey) FROM lineitem) GROUP BY 1""")
+def _(t):
+    rows = _bucketed(t, t.lineitem.select("l_partkey", "l_quantity"), "l_partkey", _parallelism(t))
+    one = rows.filter(F.col("l_partkey") == t.lineitem.agg(F.max("l_partkey")).first()[0])
+    return one.groupBy("l_partkey").agg(N().alias("n"), F.sum("l_quantity").alias("qty"))
+
+
+@query("partition_files", """
+SELECT o_orderstatus, count(*) AS n, true AS few_files FROM orders GROUP BY 1""")
+def _(t):
+    """Rows by directory; a directory has more than one file only if it is worth a target size."""
+    path = shared_path(t.spark, "by-status")
+    files.sink_partitioned(t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), ["o_orderstatus"], path, file_bytes=1 << 20)
+    written = t.spark.read.parquet(path).select("o_orderstatus", F.input_file_name().alias("file"))
+    few = (F.count_distinct("file") == 1) | (N() * 8 > (1 << 17))
+    return written.groupBy("o_orderstatus").agg(N().alias("n"), few.alias("few_files"))
+
+
 @query("make_skew", "SELECT CASE WHEN substr(p_type, 1, 1) = 'S' THEN p_type ELSE 'HOT' END AS kind, count(*) AS n FROM part GROUP BY 1")
 def _(t):
     return S.make_skew(t.part, "p_type", F.substring("p_type", 1, 1) == "S", "HOT", "kind").groupBy("kind").agg(N().alias("n"))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadloom.operators.skew import SALT, salt_of
+from broadloom.session import setting
+
+_FIRST_PARTITIONS = 400
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,23 +62,38 @@ def sink_text(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.text(path)
 
 
-def sink_partitioned(df: DataFrame, columns: Sequence[str], path: str, mode: str = "errorifexists", spread: int = 1) -> None:
-    """Directory-partitioned write.
+def sink_partitioned(
+    df: DataFrame, columns: Sequence[str], path: str, mode: str = "errorifexists", file_bytes: int | None = None
+) -> None:
+    """Directory-partitioned write with files of about ``file_bytes`` (default: the session's advisory size).
 
-    Rows are first clustered by partition value so each directory gets few
-    files; ``spread`` splits every value over that many tasks so that a hot
-    value does not end in one.
+    Rows are shuffled by partition value and dealt to tasks by the sizes found at
+    run time: small values share a task and give one file each, a hot value is
+    split over several tasks, each writing a part of its directory.
     """
-    clustered = df.withColumn(SALT, salt_of(df.columns, spread)).repartition(*columns, SALT).drop(SALT)
-    clustered.write.mode(mode).partitionBy(*columns).parquet(path)
+    spark = df.sparkSession
+    # Many shuffle partitions at first, so that a small value seldom shares one with a hot value; runtime joins them.
+    first = max(_FIRST_PARTITIONS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with contextlib.ExitStack() as more:
+        more.enter_context(setting(spark, "spark.sql.adaptive.enabled", "true"))
+        more.enter_context(setting(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(first)))
+        if file_bytes:
+            more.enter_context(setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes)))
+        df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
 def sink_bucketed(
     df: DataFrame, name: str, buckets: int, columns: Sequence[str], path: str | None = None, mode: str = "errorifexists"
 ) -> None:
-    """Bucketed and sorted catalog table; later groupings and joins on the
-    bucket columns need no shuffle."""
-    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *columns).sortBy(*columns)
+    """Bucketed and sorted catalog table, one file a bucket.
+
+    Rows are clustered by bucket before they are written, so there are as many
+    files as buckets at most instead of one per task and bucket.  Later groupings
+    and joins on the bucket columns need no shuffle, and an equality filter on
+    them opens one bucket.
+    """
+    clustered = df.repartition(buckets, *columns)
+    writer = clustered.write.mode(mode).format("parquet").bucketBy(buckets, *columns).sortBy(*columns)
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 

@@ -1,5 +1,6 @@
 """Physical plan traits."""
 
+import os
 import uuid
 
 import pytest
@@ -11,6 +12,8 @@ from broadloom.operators import skew as K
 from broadloom.operators import windows as W
 from broadloom.operators.topk import topk_distinct
 from broadloom.plans import broadcast_checked, measure_side, plan_facts
+from broadloom.queries import layout, registered
+from broadloom.queries.registry import Tables
 from broadloom.session import shared_path
 from broadloom.sources import files
 
@@ -101,3 +104,47 @@ def test_merge_hint_and_top_k(spark, static_plans, lineitem):
 def test_salted_aggregate_has_two_levels(spark, static_plans, lineitem):
     facts = plan_facts(K.agg_salted(lineitem, ["l_returnflag"], 8, {"q": ("sum", "l_quantity")}))
     assert facts.exchanges == 2 and "__salt" in facts.text
+
+
+def parquet_files(folder):
+    return [f"{at}/{name}" for at, _, names in os.walk(folder) for name in names if name.endswith(".parquet")]
+
+
+def test_bucketed_tables_have_a_file_a_bucket_at_most(spark, lineitem):
+    path = shared_path(spark, "buckets")
+    files.sink_bucketed(lineitem.repartition(7), f"b_{uuid.uuid4().hex}", 5, ["l_partkey"], path)
+    assert len(parquet_files(path)) == 5
+
+
+def test_bucketed_sides_join_without_an_exchange(spark, static_plans):
+    t = Tables(spark, FOLDER)
+    for other in (8, 4):  # buckets of the larger table are read together where the other has half as many
+        spark.conf.set("spark.sql.bucketing.coalesceBucketsInJoin.enabled", "true")
+        lines, orders = layout.bucketed_sides(t, 8, other)
+        joined = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        facts = plan_facts(joined)
+        assert facts.count("SortMergeJoin") == 1 and facts.exchanges == 0
+        assert joined.count() == t.lineitem.count()
+
+
+def test_registered_bucket_filter_opens_one_bucket(spark, static_plans):
+    facts = plan_facts(registered()["bucketed_filter"](spark, FOLDER))
+    assert "SelectedBucketsCount: 1 out of" in facts.text and facts.exchanges == 0
+
+
+def test_registered_dpp_join_prunes(spark, static_plans):
+    assert plan_facts(registered()["dpp_join"](spark, FOLDER)).has_dynamic_pruning
+
+
+def test_partitioned_write_splits_hot_values_and_keeps_small_ones_whole(spark):
+    path = shared_path(spark, "adaptive")
+    value = F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 40)
+    rows = spark.range(0, 400_000, 1, 12).select(value.alias("day"), F.xxhash64("id").alias("noise"))
+    files.sink_partitioned(rows, ["day"], path, file_bytes=300_000)
+    counts = {}
+    for name in parquet_files(path):
+        counts.setdefault(name.split("day=")[1].split("/")[0], []).append(os.path.getsize(name))
+    assert len(counts) == 21 and all(len(sizes) == 1 for day, sizes in counts.items() if day != "-1")
+    hot = counts["-1"]
+    assert 4 <= len(hot) <= 12 and max(hot) < 3 * 300_000
+    assert spark.read.parquet(path).count() == 400_000
