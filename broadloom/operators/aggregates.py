@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,3 +124,41 @@ def count_matrix(df: DataFrame, row: str, column: str, values: Sequence) -> Data
 
 def approx_distinct(df: DataFrame, keys: Sequence[str], column: str, rsd: float = 0.05) -> DataFrame:
     return df.groupBy(*keys).agg(F.approx_count_distinct(column, rsd).alias("approx_n"))
+
+
+@dataclass(frozen=True)
+class BoundedCount:
+    """A count estimated from the partitions that were counted in time, its bounds, and the exact count."""
+
+    estimate: float
+    low: float
+    high: float
+    confidence: float
+    exact: int
+
+    @property
+    def held(self) -> bool:
+        return self.low <= self.exact <= self.high
+
+
+def bounded_count(df: DataFrame, timeout_ms: int, confidence: float = 0.95) -> BoundedCount:
+    """Rows of ``df``: an estimate with bounds after ``timeout_ms``, and the exact count after all partitions.
+
+    Each partition is counted in batches and gives one number; the estimate and
+    its bounds at ``confidence`` come from those that ended in time (before the
+    first, anything from 0 up is possible).  With time enough all three are the
+    exact count.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"n": [float(sum(b.num_rows for b in batches))]})
+
+    parts = df.select(F.lit(True).alias("one")).mapInArrow(counted, "n double").rdd.map(lambda row: row["n"])
+    early = parts.sumApprox(timeout_ms, confidence)
+    return BoundedCount(float(early), early.low, early.high, early.confidence, df.count())
+
+
+def approx_distinct_beside_exact(df: DataFrame, keys: Sequence[str], column: str, rsd: float = 0.05) -> DataFrame:
+    """Per key the sketched and the exact number of values, and their relative difference."""
+    pairs = df.groupBy(*keys, column).agg(F.lit(1).alias("__one"))  # the exact side, one row a value
+    both = pairs.groupBy(*keys).agg(F.approx_count_distinct(column, rsd).alias("approx_n"), F.count(column).alias("exact_n"))
+    return both.withColumn("difference", F.try_divide(F.abs(F.col("approx_n") - F.col("exact_n")), F.col("exact_n")))

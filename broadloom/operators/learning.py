@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -55,27 +56,66 @@ def fit_predict(estimator: Estimator, train: DataFrame, test: DataFrame) -> tupl
     return model.stages[-1], model.transform(test)
 
 
-def grid_search(
-    estimator: Estimator, grid: dict, evaluator: Evaluator, train: DataFrame, ratio: float = 0.9, seed: int = 1, parallelism: int = 1
-) -> tuple[Model, DataFrame]:
-    """Best model and the ranked table of (parameters, metric).
-
-    ``grid`` maps a parameter name of the estimator to its candidate values.
+@dataclass(frozen=True)
+class SearchResult:
+    """``model``: the best parameters fitted to all training rows; ``best``: these by name;
+    ``held_out``: their metric on rows the search never saw (None without such rows);
+    ``ranked``: (rank, params, validation) of every combination, best first."""
+
+    model: Model
+    best: dict
+    held_out: float | None
+    ranked: DataFrame
+
+    def report(self) -> DataFrame:
+        """``ranked`` with the held-out metric beside the best combination."""
+        first = F.when(F.col("rank") == 1, F.lit(self.held_out).cast("double"))
+        return self.ranked.withColumn("held_out", first)
+
+
+def search(
+    stages: Sequence,
+    grid: dict[str, Sequence],
+    evaluator: Evaluator,
+    train: DataFrame,
+    held_out: DataFrame | None = None,
+    ratio: float = 0.9,
+    seed: int = 1,
+    parallelism: int = 1,
+) -> SearchResult:
+    """Search over one estimator made of all ``stages``, so that indexers and models are fitted together.
+
+    ``grid`` maps a parameter to its candidate values; a parameter is named by
+    itself, if one stage only has it, or as ``<stage number>.<name>``.  Every
+    combination is fitted to ``ratio`` of the training rows and judged on the
+    rest; the best is fitted to all of them and judged on ``held_out``.
     """
     builder = ParamGridBuilder()
     for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), values)
+        builder = builder.addGrid(_parameter(stages, name), values)
     maps = builder.build()
-    search = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, trainRatio=ratio, seed=seed, parallelism=parallelism
-    )
-    fitted = search.fit(train)
+    splitter = TrainValidationSplit(
+        estimator=Pipeline(stages=list(stages)), estimatorParamMaps=maps, evaluator=evaluator, trainRatio=ratio, seed=seed,
+        parallelism=parallelism)
+    fitted = splitter.fit(train)
     rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)), float(metric))
-        for m, metric in zip(maps, fitted.validationMetrics)
+        (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)), float(metric), i)
+        for i, (m, metric) in enumerate(zip(maps, fitted.validationMetrics))
     ]
-    rows.sort(key=lambda r: r[1], reverse=evaluator.isLargerBetter())
-    return fitted.bestModel, train.sparkSession.createDataFrame(rows, "params string, metric double")
+    rows.sort(key=lambda r: r[1], reverse=evaluator.isLargerBetter())  # stable: of equal ones the first, as the fit takes it
+    ranked = train.sparkSession.createDataFrame(
+        [(k + 1, params, metric) for k, (params, metric, _) in enumerate(rows)], "rank int, params string, validation double")
+    best = {p.name: v for p, v in maps[rows[0][2]].items()}
+    judged = None if held_out is None else float(evaluator.evaluate(fitted.bestModel.transform(held_out)))
+    return SearchResult(fitted.bestModel, best, judged, ranked)
+
+
+def _parameter(stages: Sequence, name: str):
+    number, _, rest = name.rpartition(".")
+    owners = [stages[int(number)]] if number else [s for s in stages if s.hasParam(rest)]
+    if len(owners) != 1:
+        raise ValueError(f"{len(owners)} stages have a parameter {rest!r}; name one as '<stage number>.{rest}'")
+    return owners[0].getParam(rest)
 
 
 def feature_importance(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:

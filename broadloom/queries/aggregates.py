@@ -119,9 +119,18 @@ def _(t):
     return A.histogram(t.part, "p_size", 10)
 
 
-@query("agg_approx_count")
+@query("agg_approx_count", "SELECT l_returnflag, count(DISTINCT l_partkey) AS exact_n, true AS near FROM lineitem GROUP BY 1")
 def _(t):
-    return A.approx_distinct(t.lineitem, ["l_returnflag"], "l_partkey", 0.02)
+    """The sketch's number of values, judged by the exact one: within five times its standard error."""
+    both = A.approx_distinct_beside_exact(t.lineitem, ["l_returnflag"], "l_partkey", 0.02)
+    return both.select("l_returnflag", "exact_n", (F.col("difference") < 0.1).alias("near"))
+
+
+@query("bounded_count", "SELECT count(*) AS exact, true AS in_order FROM lineitem")
+def _(t):
+    """What was known of the count after a tenth of a second, and the count."""
+    found = A.bounded_count(t.lineitem, 100, 0.999)
+    return t.spark.createDataFrame([(found.exact, found.low <= found.estimate <= found.high)], "exact long, in_order boolean")
 
 
 _BY_YEAR = "SELECT o_orderstatus AS status, year(o_orderdate)::INTEGER AS yr, month(o_orderdate)::INTEGER AS mnth, o_totalprice FROM orders"

@@ -2,6 +2,9 @@
 
 import uuid
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.queries.registry import query
@@ -85,6 +88,16 @@ def _(t):
     return files.format_size_report(t.lineitem, shared_path(t.spark, "sizes"))
 
 
+@query("format_size_check", "SELECT f AS format, count(*) AS n, true AS has_bytes FROM lineitem, (VALUES ('orc'), ('parquet'), ('json')) v(f) GROUP BY 1")
+def _(t):
+    """Every format has bytes and gives all rows back."""
+    path = shared_path(t.spark, "sizes")
+    formats = ("orc", "parquet", "json")
+    report = files.format_size_report(t.lineitem, path, formats)
+    counts = [t.spark.read.format(f).load(f"{path}/{f}").agg(F.count(F.lit(1)).alias("n")).withColumn("format", F.lit(f)) for f in formats]
+    return report.join(reduce(DataFrame.unionByName, counts), "format").select("format", "n", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @query("sink_sequence", "SELECT c_custkey::VARCHAR AS key, c_mktsegment AS value FROM customer")
 def _(t):
     path = shared_path(t.spark, "sequence")

@@ -1,5 +1,8 @@
 """Feature, model and evaluation queries."""
 
+import re
+
+from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -76,16 +79,80 @@ def _(t):
 
 @query("grid_search")
 def _(t):
-    train, _ = _vectors(t)
+    train, rest = _vectors(t)
     judge = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    return M.grid_search(M.tree("label"), {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]}, judge, train)[1]
+    return M.search([M.tree("label")], {"maxDepth": [2, 4], "impurity": ["gini", "entropy"]}, judge, train, rest).report()
 
 
 @query("grid_search_linear")
 def _(t):
-    train, _ = _lines(t)
+    train, rest = _lines(t)
     judge = RegressionEvaluator(labelCol="l_extendedprice", metricName="rmse")
-    return M.grid_search(M.linear("l_extendedprice"), {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 1.0]}, judge, train)[1]
+    grid = {"regParam": [0.0, 0.3], "elasticNetParam": [0.0, 1.0]}
+    return M.search([M.linear("l_extendedprice")], grid, judge, train, rest).report()
+
+
+#: The group alone fixes the label, but no single cut of its number does: a tree of depth 1 needs it as a category.
+_KINDS = "SELECT p_partkey, 10 + p_partkey % 6 AS kind, p_size, (p_partkey % 6 IN (1, 4))::INTEGER AS label FROM part"
+
+
+def kinds(t):
+    kind = F.col("p_partkey") % 6
+    return t.part.select("p_partkey", (kind + 10).alias("kind"), "p_size", kind.isin(1, 4).cast("double").alias("label"))
+
+
+@query("pipeline_search", f"""
+SELECT 1 AS rank, 'maxCategories=10, maxDepth=1' AS params, 1.0::DOUBLE AS validation, 1.0::DOUBLE AS held_out, count(*) AS n FROM ({_KINDS})""")
+def _(t):
+    rows = kinds(t)
+    train, rest = split_rows(rows, ["p_partkey"], [0.8, 0.2], seed=2)
+    stages = [
+        VectorAssembler(inputCols=["kind", "p_size"], outputCol="raw"), VectorIndexer(inputCol="raw", outputCol="features", maxCategories=10),
+        M.forest("label", trees=5, bins=64).setFeatureSubsetStrategy("all")]
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    found = M.search(stages, {"maxCategories": [2, 10], "maxDepth": [1]}, judge, train, rest)
+    judged = found.model.transform(rows).count()
+    return found.report().filter("rank = 1").withColumn("n", F.lit(judged).cast("long"))
+
+
+@query("fit_line", """
+SELECT round(regr_slope(y, x), 4) AS slope, round(regr_intercept(y, x), 2) AS intercept, round(regr_r2(y, x), 6) AS r2
+FROM (SELECT l_extendedprice AS y, l_quantity AS x FROM lineitem)""")
+def _(t):
+    rows = M.assemble_features(t.lineitem.select("l_extendedprice", "l_quantity"), ["l_quantity"])
+    model, predicted = M.fit_predict(M.linear("l_extendedprice", reg=0.0, mix=0.0), rows, rows)
+    out = M.eval_regression(predicted, "l_extendedprice", "prediction")
+    return out.select(F.lit(round(float(model.coefficients[0]), 4)).alias("slope"), F.lit(round(float(model.intercept), 2)).alias("intercept"), F.round("r2", 6).alias("r2"))
+
+
+@query("fit_glm_line", """
+SELECT round(regr_slope(y, x), 4) AS slope, round(regr_intercept(y, x), 2) AS intercept
+FROM (SELECT l_extendedprice AS y, l_quantity AS x FROM lineitem)""")
+def _(t):
+    rows = M.assemble_features(t.lineitem.select("l_extendedprice", "l_quantity"), ["l_quantity"])
+    model, _ = M.fit_predict(M.glm("l_extendedprice", reg=0.0), rows, rows)
+    return t.spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 4), round(float(model.intercept), 2))], "slope double, intercept double")
+
+
+#: Gini impurity of the two sides of every cut between sizes; the tree must take the cut that leaves least.
+@query("fit_tree_cut", """
+WITH rows AS (SELECT p_size AS x, (p_size > 20 AND p_partkey % 7 > 1)::INTEGER AS y FROM part),
+     cuts AS (SELECT x AS low, lead(x) OVER (ORDER BY x) AS high FROM (SELECT DISTINCT x FROM rows)),
+     sides AS (
+       SELECT (low + high) / 2.0::DOUBLE AS threshold, count(*) FILTER (x <= low)::DOUBLE AS nl, count(*) FILTER (x > low)::DOUBLE AS nr,
+              sum(y) FILTER (x <= low)::DOUBLE AS yl, sum(y) FILTER (x > low)::DOUBLE AS yr
+       FROM cuts, rows WHERE high IS NOT NULL GROUP BY low, high)
+SELECT threshold, nl::BIGINT AS below, nr::BIGINT AS above, 1.0::DOUBLE AS importance FROM sides
+ORDER BY 2 * yl * (nl - yl) / nl + 2 * yr * (nr - yr) / nr, threshold LIMIT 1""")
+def _(t):
+    label = (F.col("p_size") > 20) & (F.col("p_partkey") % 7 > 1)
+    rows = M.assemble_features(t.part.select("p_size", label.cast("double").alias("label")), ["p_size"])
+    model = M.tree("label", depth=1).setMaxBins(64).setMinInfoGain(0.0).fit(rows)
+    threshold = float(re.search(r"feature 0 <= ([\d.]+)", model.toDebugString).group(1))
+    counts = rows.agg(F.count_if(F.col("p_size") <= threshold).alias("below"), F.count_if(F.col("p_size") > threshold).alias("above"))
+    importance = M.feature_importance(model, ["p_size"], rows).select("importance")
+    return counts.crossJoin(importance).withColumn("threshold", F.lit(threshold))
 
 
 @query("feature_importance")

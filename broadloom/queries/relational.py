@@ -1,5 +1,8 @@
 """Projections, filters, sorts, limits and set operations."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.operators import relational as R
@@ -182,14 +185,42 @@ def _(t):
     return t.events.select("event_id", kind.alias("kind"), "event_type").filter(F.lower("kind") == F.lower("event_type"))
 
 
-@query("sample_rows")
+def _digest(seed, *columns):
+    """SQL of ``digest_fraction``."""
+    values = " || '|' || ".join(f"coalesce({c}::VARCHAR, '')" for c in columns)
+    return f"('0x' || substr(md5('{seed}|' || {values}), 1, 13))::BIGINT / {float(1 << 52)}::DOUBLE"
+
+
+LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("sample_rows", f"SELECT * FROM lineitem WHERE {_digest(3, *LINE)} < 0.1::DOUBLE")
+def _(t):
+    return R.sample_rows(t.lineitem, LINE, 0.1, seed=3, portable=True)
+
+
+#: Copies follow a Poisson law of mean 0.5, inverted at the row's fraction.
+@query("sample_with_replacement", f"""
+WITH law AS (SELECT k, sum(exp(-0.5::DOUBLE) * pow(0.5::DOUBLE, k) / factorial(k::INTEGER)::DOUBLE) OVER (ORDER BY k) AS below FROM range(13) r(k)),
+     drawn AS (SELECT *, {_digest(5, 'o_orderkey')} AS u FROM orders)
+SELECT drawn.* EXCLUDE (u) FROM drawn JOIN law ON u >= below""")
+def _(t):
+    return R.sample_with_replacement(t.orders, ["o_orderkey"], 0.5, seed=5, portable=True)
+
+
+@query("sample_exact", f"SELECT o_orderkey, o_totalprice FROM orders ORDER BY {_digest(9, 'o_orderkey')}, o_orderkey LIMIT 250")
 def _(t):
-    return R.sample_rows(t.lineitem, t.lineitem.columns, 0.1, seed=3)
+    return R.sample_exact(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 250, seed=9, portable=True)
 
 
-@query("sample_with_replacement")
+@query("sample_draws", "SELECT count(*) // 3 AS draws, true AS all_known, true AS some_repeated FROM orders")
 def _(t):
-    return R.sample_with_replacement(t.orders, ["o_orderkey"], 0.5, seed=5)
+    """As many draws as a third of the table: all are rows of it, and some come twice."""
+    drawn = R.sample_draws(t.orders.select("o_orderkey"), ["o_orderkey"], t.orders.count() // 3, seed=6)
+    known = t.orders.select(F.col("o_orderkey"), F.lit(1).alias("known"))
+    return drawn.join(known, "o_orderkey", "left").agg(
+        F.count(F.lit(1)).alias("draws"), (F.count("known") == F.count(F.lit(1))).alias("all_known"),
+        (F.count_distinct("o_orderkey") < F.count(F.lit(1))).alias("some_repeated"))
 
 
 @query("split_rows", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -198,6 +229,14 @@ def _(t):
     return parts[0].unionByName(parts[1])
 
 
+@query("split_parts", f"""
+SELECT o_orderkey, CASE WHEN {_digest(11, 'o_orderkey')} < 0.7::DOUBLE THEN 0 WHEN {_digest(11, 'o_orderkey')} < 0.9::DOUBLE THEN 1 ELSE 2 END AS part
+FROM orders""")
+def _(t):
+    parts = R.split_rows(t.orders.select("o_orderkey"), ["o_orderkey"], [7, 2, 1], seed=11, portable=True)
+    return reduce(DataFrame.unionByName, [df.withColumn("part", F.lit(k)) for k, df in enumerate(parts)])
+
+
 @query("classify_transactions", """
 WITH x AS (SELECT event_id, event_type AS acc, value - 20 AS amount FROM events)
 SELECT event_id, 'good' AS class FROM x WHERE amount > 0 AND acc LIKE 'c%'

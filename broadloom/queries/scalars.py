@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from broadloom.functions import scalars as S
 from broadloom.functions import udfs as U
+from broadloom.operators.primes import with_prime_flag
 from broadloom.queries.registry import query
 
 
@@ -53,7 +54,7 @@ def _(t):
 WITH d AS (SELECT range AS f FROM range(2, 2000))
 SELECT p_partkey FROM part WHERE p_partkey > 1 AND NOT EXISTS (SELECT 1 FROM d WHERE f * f <= p_partkey AND p_partkey % f = 0)""")
 def _(t):
-    return t.part.filter(S.is_prime("p_partkey")).select("p_partkey")
+    return with_prime_flag(t.part.select("p_partkey"), "p_partkey").filter("prime").select("p_partkey")
 
 
 @query("fn_array", """

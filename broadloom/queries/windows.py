@@ -248,3 +248,14 @@ def _(t):
 def _(t):
     ordered = t.lineitem.select(*ROW, "l_extendedprice").orderBy("l_extendedprice", *ROW)
     return ordered.withColumn("id", F.monotonically_increasing_id())
+
+
+@query("monotonic_id_check", "SELECT count(*) AS n, count(*) AS ids, true AS by_price FROM lineitem")
+def _(t):
+    """The ids are distinct and follow the order: no price has an id below one of a smaller price."""
+    ordered = t.lineitem.select("l_extendedprice").orderBy("l_extendedprice").withColumn("id", F.monotonically_increasing_id())
+    spans = ordered.groupBy("l_extendedprice").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+    before = W.neighbours(spans, [], ["l_extendedprice"], "high", {"previous": -1})
+    return before.agg(
+        F.sum("n").alias("n"), F.sum(F.col("high") - F.col("low") + 1).alias("ids"),
+        F.every(F.col("previous").isNull() | (F.col("previous") < F.col("low"))).alias("by_price"))
