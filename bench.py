@@ -1,11 +1,14 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query runs into the noop sink, so every row is computed and none is
-collected.  Pairs such as plain and salted joins are timed side by side.
+collected.  ``queries`` has one cold run each.  ``pairs`` compares two ways to
+the same rows, such as plain and cut windows: after a warm-up the median of three
+runs of either, taken in turn, and their ratio.
 """
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -24,6 +27,35 @@ HEADLINE = [
     "stream_stock_state",
 ]
 
+#: (name, the plain way, the other way)
+PAIRS = [
+    ("running_sum_hot", "win_running_sum_hot_plain", "win_running_sum_hot"),
+    ("moving_avg_hot", "win_moving_avg_hot_plain", "win_moving_avg_hot"),
+    ("percent_rank", "win_percent_rank_global", "percent_rank_distributed"),
+    ("settlement", "pl_settlement", "pl_settlement_chunked"),
+    ("aggregate_before_join", "join_then_agg", "agg_then_join"),
+]
+
+
+def run(spark, folder, name):
+    start = time.perf_counter()
+    registered()[name](spark, folder).write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
+def pairs(spark, folder):
+    out = {}
+    for label, *names in PAIRS:
+        for name in names:
+            run(spark, folder, name)
+        taken = {name: [] for name in names}
+        for _ in range(3):
+            for name in names:
+                taken[name].append(run(spark, folder, name))
+        plain, other = (statistics.median(taken[name]) for name in names)
+        out[label] = {"plain": round(plain, 3), "other": round(other, 3), "ratio": round(other / plain, 2)}
+    return out
+
 
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -40,15 +72,13 @@ def main():
     )
     spark.sparkContext.setLogLevel("OFF")
     spark.read.parquet(f"{folder}/lineitem.parquet").count()
-    wanted = sys.argv[1:] or HEADLINE
-    times = {}
-    for name in wanted:
-        start = time.perf_counter()
-        registered()[name](spark, folder).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
+    wanted = [name for name in sys.argv[1:] if name != "pairs"] or ([] if sys.argv[1:] else HEADLINE)
+    times = {name: round(run(spark, folder, name), 3) for name in wanted}
+    compared = {} if [name for name in sys.argv[1:] if name != "pairs"] else pairs(spark, folder)
     spark.stop()
-    line = {"metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(folder).removeprefix("sf")}
-    print(json.dumps(line))
+    print(json.dumps({
+        "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
+        "sf": os.path.basename(folder).removeprefix("sf"), "pairs": compared}))
 
 
 if __name__ == "__main__":

@@ -2,24 +2,23 @@
 
 A plain ``Window.partitionBy(key).orderBy(x)`` sorts each key in one task, which
 fails when a single key (or an empty partition list) holds a large share of the
-rows.  Every operator here measures the largest group first.  Groups within
-``group_limit`` use the plain window, one shuffle.  Beyond it the order domain is
-cut into chunks at sampled cut points that are fixed as literals, so the chunk
-of a row is a pure function of its values and task retries cannot move rows:
-
-* functions shared by ties (rank, dense rank, percent rank, cumulative
-  distribution, RANGE running sums) collapse ties first, run inside
-  (key, chunk), and add the totals of the earlier chunks;
-* row positions do the same on a unique order;
-* ROWS frames and lag/lead cut each key into blocks of consecutive positions and
-  copy the few rows a frame reaches across a block edge.
-
-Per key, the carried totals have one row per chunk, so their window is bounded.
+rows.  Every operator here counts the groups first.  Groups within
+``group_limit`` are plain windows.  Larger ones, and only these, are cut into
+chunks of the order's values, in the same plan and the same shuffle:
+
+* cut points come from a sample of the large groups and are written as a table,
+  one row per group, so the chunk of a row is a lookup by its values and task
+  retries cannot move rows; the table is bounded by the rows over the limit;
+* a value that fills chunks of its own is a chunk by itself and is dealt to many
+  tasks: its rows are equal in the order, so they need no sorting;
+* functions run inside (key, chunk) and the totals of the earlier chunks, one row
+  per chunk, are added by a broadcast lookup; ROWS frames and lag/lead cut large
+  groups into blocks of consecutive positions and copy the few rows a frame
+  reaches across a block edge.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -27,12 +26,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from broadloom.session import materialised
+
 GROUP_LIMIT = 4_000_000
-MAX_CHUNKS = 4096
 BLOCK_ROWS = 500_000
+#: Rows a group is cut at, where no limit says so.
+_LEAST_CHUNK = 1_000
 _SAMPLES_PER_CHUNK = 32
 _CASE_CUTS = 16
-_CUT_CHARS = 48
+#: Tasks a value that fills a chunk is dealt to, at most.
+_SPREAD = 64
 
 
 @dataclass(frozen=True)
@@ -88,11 +91,76 @@ def group_stats(df: DataFrame, part: Sequence[str], group_limit: int = 0) -> Gro
     return GroupStats(total, counts.agg(F.max("n")).first()[0])
 
 
-def chunk_count(df: DataFrame, stats: GroupStats, group_limit: int) -> int:
-    """Chunks wanted: at least the shuffle parallelism, at most MAX_CHUNKS."""
-    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    needed = math.ceil(2 * stats.total / max(group_limit, 1_000))
-    return max(2, min(MAX_CHUNKS, max(parallel, needed)))
+@dataclass(frozen=True)
+class Cuts:
+    """``table``: __key and __cuts (in order: the values v0, v1, … and whether one value fills chunks) of every
+    group that is cut; ``most``: a bound of the cuts of one group."""
+
+    table: DataFrame
+    most: int
+
+
+def hot_cuts(df: DataFrame, part: Sequence[str], order: Sequence[str], group_limit: int = GROUP_LIMIT, chunks: int | None = None) -> Cuts | None:
+    """Cut points of the groups beyond ``group_limit`` (as the sample estimates them), None if there is none.
+
+    Chunks have about half the limit's rows; ``chunks`` asks for so many of the
+    whole table instead (for tests).  Without a limit, chunks are as large as
+    keeps all tasks busy.  Two jobs: the row total (from the files' footers, where
+    there are any), which settles most tables, and a sample of about
+    ``_SAMPLES_PER_CHUNK`` rows a chunk, which tells the large groups and places
+    their cuts.  Every row is still processed, wherever the cuts lie.
+    """
+    spark, total = df.sparkSession, df.count()
+    if chunks:
+        rows = max(1, total // chunks)
+    elif group_limit > 0:
+        rows = max(1, group_limit // 2)
+    else:
+        rows = max(_LEAST_CHUNK, total // (2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    limit = max(group_limit, rows)
+    if total <= limit:
+        return None
+    names = [key.name for key in order_keys(order)]
+    rate = min(1.0, _SAMPLES_PER_CHUNK / rows)
+    step = max(1, round(rate * rows))
+    sample = df.select(*{c: F.col(f"`{c}`") for c in [*part, *names]}.values())
+    if rate < 1:
+        sample = sample.sample(fraction=rate, seed=17)
+    values = [f"v{i}" for i in range(len(names))]
+    sort = [F.col(v).asc() if key.ascending else F.col(v).desc() for v, key in zip(values, order_keys(order))]
+    keyed = with_key(sample, part).select("__key", *[F.col(f"`{n}`").alias(v) for v, n in zip(values, names)])
+    picked = keyed.withColumn("at", F.row_number().over(Window.partitionBy("__key").orderBy(*sort))).filter(F.col("at") % step == 0)
+    each = picked.groupBy("__key", *values).agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("picks"))
+    lists = each.groupBy("__key").agg(
+        F.sum("picks").alias("picks"), F.array_sort(F.collect_list(F.struct("at", *values, (F.col("picks") > 1).alias("fills")))).alias("__cuts"))
+    table = materialised(lists.filter(F.col("picks") >= max(1, limit // rows)).select("__key", "__cuts"), "cuts")
+    # A sample of s rows has its size within s / 2 + 64, as good as always.
+    return None if table.isEmpty() else Cuts(table, int(1.5 * total / rows) + 64)
+
+
+def _placed(df: DataFrame, part: Sequence[str], order: Sequence[str], cuts: Cuts, spread: bool) -> DataFrame:
+    """``df`` with __key, __hot (its group is cut), __chunk and __salt.
+
+    A chunk's number is even between cuts and odd for a value that fills chunks;
+    ``spread`` deals the rows of the latter to several tasks."""
+    keys = order_keys(order)
+    rows = with_key(df, part).join(F.broadcast(cuts.table), "__key", "left").withColumn("__at", F.lit(0))
+    # Search by two bits a step.  Each step is an element of its own, so that it is compiled code and no rule of
+    # the optimizer puts the steps into each other.
+    for bit in reversed(range(0, cuts.most.bit_length(), 2)):
+        counted = []
+        for k in (1, 2, 3):
+            ahead = k << bit
+            terms = [f"get(__cuts, __at + {ahead - 1}).v{i}" for i in range(len(keys))]
+            counted.append(f"CASE WHEN __at + {ahead} <= size(__cuts) AND {_at_or_after(keys, terms)} THEN {1 << bit} ELSE 0 END")
+        rows = rows.withColumn("__next", F.explode(F.expr(f"array(__at + {' + '.join(counted)})"))).drop("__at").withColumnRenamed("__next", "__at")
+    same = " AND ".join(f"`{key.name}` <=> get(__cuts, __at - 1).v{i}" for i, key in enumerate(keys))
+    filled = F.expr(f"__at > 0 AND get(__cuts, __at - 1).fills AND {same}")
+    rows = rows.select(
+        *[F.col(f"`{c}`") for c in df.columns], "__key", F.col("__cuts").isNotNull().alias("__hot"),
+        (2 * F.col("__at") - F.when(filled, 1).otherwise(0)).alias("__chunk"))
+    salt = F.when(F.col("__chunk") % 2 == 1, F.spark_partition_id() % _SPREAD) if spread else F.lit(0)
+    return rows.withColumn("__salt", F.coalesce(salt, F.lit(0)))
 
 
 def _literal(value, dtype: T.DataType) -> str:
@@ -117,37 +185,6 @@ def _portable(name: str, dtype: T.DataType) -> Column:
     return column
 
 
-def _short(name: str, dtype: T.DataType) -> Column:
-    """A cut need not be a value of the table: the start of a long text cuts as well."""
-    column = F.col(f"`{name}`")
-    return F.substring(column, 1, _CUT_CHARS).alias(name) if isinstance(dtype, T.StringType) else column
-
-
-def cut_points(df: DataFrame, order: Sequence[str], total: int, chunks: int) -> list[tuple]:
-    """At most ``chunks - 1`` increasing order tuples from a bounded sample.
-
-    The sample only places the cuts; every row is still processed.
-    """
-    keys = order_keys(order)
-    wanted = chunks * _SAMPLES_PER_CHUNK
-    columns = df.select(*[_short(key.name, df.schema[key.name].dataType) for key in keys])
-    if total > wanted:
-        columns = columns.sample(fraction=wanted / total, seed=17)
-    sample = (
-        columns.orderBy(*[key.sort for key in keys])
-        .select(*[_portable(key.name, df.schema[key.name].dataType) for key in keys])
-        .collect()
-    )
-    cuts: list[tuple] = []
-    for i in range(1, chunks):
-        at = i * len(sample) // chunks
-        if at < len(sample):
-            cut = tuple(sample[at])
-            if not cuts or cut != cuts[-1]:
-                cuts.append(cut)
-    return cuts
-
-
 def _at_or_after(keys: list[OrderKey], cut: Sequence[str]) -> str:
     """SQL test that the row sorts at or after the cut given as SQL terms."""
     name, term = f"`{keys[0].name}`", cut[0]
@@ -231,6 +268,8 @@ class TieFunction:
     def plain(self, window: WindowSpec) -> Column:
         if self.kind == "running_sum":
             return F.sum(self.measure).over(window)
+        if self.kind == "group_max":
+            return F.max(self.measure).over(window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         return getattr(F, self.kind)().over(window)
 
 
@@ -260,6 +299,11 @@ def running_sum(measure: Column | str) -> TieFunction:
     return TieFunction("running_sum", F.col(measure) if isinstance(measure, str) else measure)
 
 
+def group_max(measure: Column | str) -> TieFunction:
+    """The greatest ``measure`` of the whole group."""
+    return TieFunction("group_max", F.col(measure) if isinstance(measure, str) else measure)
+
+
 def with_tie_functions(
     df: DataFrame,
     part: Sequence[str],
@@ -270,81 +314,68 @@ def with_tie_functions(
 ) -> DataFrame:
     """Add ranking functions / RANGE running sums to every row of ``df``.
 
-    Runs one counting job up front, and a sampling job when a group exceeds
-    ``group_limit``.
+    One shuffle of the rows.  Runs a count up front, and, if that leaves room for
+    a group beyond ``group_limit``, the jobs of ``hot_cuts``.
     """
-    stats = group_stats(df, part, group_limit)
-    if stats.largest <= group_limit:
+    cuts = hot_cuts(df, part, order, group_limit, chunks)
+    if cuts is None:
         window = ordered_window(part, order)
         return df.select("*", *[fn.plain(window).alias(name) for name, fn in outputs.items()])
-    totals = tie_totals(df, part, order, outputs, stats, chunks or chunk_count(df, stats, group_limit))
-    names = [key.name for key in order_keys(order)]
-    tied = with_key(totals, [*part, *names], "__tie").select("__tie", *outputs)
-    return with_key(df, [*part, *names], "__tie").join(tied, "__tie").select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
-
-
-def tie_totals(
-    df: DataFrame,
-    part: Sequence[str],
-    order: Sequence[str],
-    outputs: dict[str, TieFunction],
-    stats: GroupStats,
-    chunks: int,
-) -> DataFrame:
-    """One row per (group, order value) with the requested outputs, in chunks."""
     names = [key.name for key in order_keys(order)]
-    sums = {name: fn.measure for name, fn in outputs.items() if fn.kind == "running_sum"}
-    cuts = cut_points(df, order, stats.total, chunks)
-    values = df.groupBy(*part, *names).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(m).alias(f"__m_{name}") for name, m in sums.items()]
-    )
-    values = with_key(values.withColumn("__chunk", chunk_column(df, order, cuts)), part)
-
-    local = ordered_window(["__key", "__chunk"], order)
-    upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = values.select(
-        "*",
-        F.sum("__n").over(upto).alias("__n_upto"),
-        F.row_number().over(local).alias("__dense"),
-        *[F.sum(f"__m_{name}").over(upto).alias(f"__upto_{name}") for name in sums],
-    )
-
-    per_chunk = values.groupBy("__key", "__chunk").agg(
-        F.sum("__n").alias("__cn"),
-        F.count(F.lit(1)).alias("__cd"),
-        *[F.sum(f"__m_{name}").alias(f"__c_{name}") for name in sums],
-    )
-    group = Window.partitionBy("__key")
-    earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_chunk.select(
-        "__key",
-        "__chunk",
-        F.coalesce(F.sum("__cn").over(earlier), F.lit(0)).alias("__n_off"),
-        F.coalesce(F.sum("__cd").over(earlier), F.lit(0)).alias("__d_off"),
-        F.sum("__cn").over(group).alias("__n_all"),
-        *[F.sum(f"__c_{name}").over(earlier).alias(f"__off_{name}") for name in sums],
-    )
-    joined = values.join(carried, ["__key", "__chunk"])
-
-    through = F.col("__n_upto") + F.col("__n_off")
-    first = through - F.col("__n") + 1
+    rows = _placed(df, part, order, cuts, spread=True)
+    carried = _carried(rows, names, outputs)
+    local = ordered_window(["__key", "__chunk", "__salt"], order)
+    asked = {fn.kind for fn in outputs.values()}
+    more = [F.rank().over(local).alias("__rank")] if asked & {"rank", "percent_rank"} else [F.lit(None).cast("int").alias("__rank")]
+    more.append((F.count(F.lit(1)).over(local) if "cume_dist" in asked else F.lit(None).cast("long")).alias("__upto"))
+    inside = rows.select("*", *more, *[fn.plain(local).alias(f"__in_{name}") for name, fn in outputs.items()])
+    # One row per chunk of a large group: bounded by the rows over the limit.
+    joined = inside.join(F.broadcast(carried), ["__key", "__chunk"], "left")
+    fills = F.col("__chunk") % 2 == 1
+    first = F.col("__n_off") + F.col("__rank")
     formulas = {
         "rank": first.cast("int"),
-        "dense_rank": (F.col("__dense") + F.col("__d_off")).cast("int"),
         "percent_rank": F.when(F.col("__n_all") > 1, (first - 1) / (F.col("__n_all") - 1)).otherwise(F.lit(0.0)),
-        "cume_dist": through / F.col("__n_all"),
+        "cume_dist": (F.col("__n_off") + F.when(fills, F.col("__n")).otherwise(F.col("__upto"))) / F.col("__n_all"),
     }
-
-    kinds = {name: df.select(F.sum(m).alias("s")).schema["s"].dataType for name, m in sums.items()}
-
-    def formula(name: str, fn: TieFunction) -> Column:
-        if fn.kind != "running_sum":
-            return formulas[fn.kind]
-        here, before = F.col(f"__upto_{name}"), F.col(f"__off_{name}")
-        total = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
-        return total.cast(kinds[name])  # the type of the plain window
-
-    return joined.select(*part, *names, *[formula(n, fn).alias(n) for n, fn in outputs.items()])
+    kinds = dict(inside.dtypes)
+
+    def value(name: str, fn: TieFunction) -> Column:
+        plain = F.col(f"__in_{name}")
+        if fn.kind == "dense_rank":
+            cut = F.col("__d_off") + plain
+        elif fn.kind == "group_max":
+            cut = F.col(f"__all_{name}")
+        elif fn.kind == "running_sum":
+            here, before = F.when(fills, F.col(f"__m_{name}")).otherwise(plain), F.col(f"__off_{name}")
+            cut = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
+        else:
+            cut = formulas[fn.kind]
+        return F.when(F.col("__hot"), cut.cast(kinds[f"__in_{name}"])).otherwise(plain).alias(name)
+
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[value(n, fn) for n, fn in outputs.items()])
+
+
+def _carried(rows: DataFrame, names: Sequence[str], outputs: dict[str, TieFunction]) -> DataFrame:
+    """Per chunk of a cut group: its totals, those of the chunks before it, and those of the whole group."""
+    measures = {name: fn for name, fn in outputs.items() if fn.measure is not None}
+    agg = {"running_sum": F.sum, "group_max": F.max}
+    hot = rows.filter("__hot")
+    distinct = any(fn.kind == "dense_rank" for fn in outputs.values())
+    totals = [F.count(F.lit(1)).alias("__n"), *[agg[fn.kind](fn.measure).alias(f"__m_{n}") for n, fn in measures.items()]]
+    if distinct:
+        hot = hot.groupBy("__key", "__chunk", *[F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)]).agg(*totals)
+        totals = [F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"), *[agg[fn.kind](f"__m_{n}").alias(f"__m_{n}") for n, fn in measures.items()]]
+    per_chunk = hot.groupBy("__key", "__chunk").agg(*totals)
+    group = Window.partitionBy("__key")
+    earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    more = [F.coalesce(F.sum("__d").over(earlier), F.lit(0)).alias("__d_off")] if distinct else []
+    for name, fn in measures.items():
+        more.append(F.sum(f"__m_{name}").over(earlier).alias(f"__off_{name}") if fn.kind == "running_sum"
+                    else F.max(f"__m_{name}").over(group).alias(f"__all_{name}"))
+    return per_chunk.select(
+        "__key", "__chunk", "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n_off"),
+        F.sum("__n").over(group).alias("__n_all"), *[F.col(f"__m_{n}") for n in measures], *more)
 
 
 # --------------------------------------------------------------------------
@@ -364,29 +395,23 @@ def with_position(
 
     ``total`` names an optional column with the size of the row's group.
     """
-    stats = group_stats(df, part, group_limit)
-    if stats.largest <= group_limit:
+    return _with_position(df, part, order, name, total, hot_cuts(df, part, order, group_limit, chunks))
+
+
+def _with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], name: str, total: str | None, cuts: Cuts | None) -> DataFrame:
+    if cuts is None:
         window = ordered_window(part, order)
         extra = [F.count(F.lit(1)).over(Window.partitionBy(*part)).alias(total)] if total else []
         return df.select("*", F.row_number().over(window).cast("long").alias(name), *extra)
-
-    cuts = cut_points(df, order, stats.total, chunks or chunk_count(df, stats, group_limit))
-    rows = with_key(df.withColumn("__chunk", chunk_column(df, order, cuts)), part)
-    group = Window.partitionBy("__key")
-    earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = rows.groupBy("__key", "__chunk").agg(F.count(F.lit(1)).alias("__cn"))
-    carried = per_chunk.select(
-        "__key",
-        "__chunk",
-        F.coalesce(F.sum("__cn").over(earlier), F.lit(0)).alias("__off"),
-        F.sum("__cn").over(group).alias("__all"),
-    )
-    numbered = rows.withColumn("__rn", F.row_number().over(ordered_window(["__key", "__chunk"], order)))
-    joined = numbered.join(carried, ["__key", "__chunk"])
-    extra = [F.col("__all").alias(total)] if total else []
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("__rn") + F.col("__off")).cast("long").alias(name), *extra
-    )
+    rows = _placed(df, part, order, cuts, spread=False)
+    carried = _carried(rows, [], {})
+    local = ["__key", "__chunk"]
+    size = [F.count(F.lit(1)).over(Window.partitionBy(*local)).alias("__size")] if total else []
+    numbered = rows.select("*", F.row_number().over(ordered_window(local, order)).alias("__rn"), *size)
+    joined = numbered.join(F.broadcast(carried), local, "left")
+    extra = [F.coalesce("__n_all", "__size").alias(total)] if total else []
+    position = F.col("__rn") + F.coalesce("__n_off", F.lit(0))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], position.cast("long").alias(name), *extra)
 
 
 def with_ntile(
@@ -430,13 +455,20 @@ def with_row_frames(
     ``outputs`` maps a name to a function of the ordered window, for instance
     ``lambda w: F.avg("close").over(w.rowsBetween(-5, 0))``.
     """
-    stats = group_stats(df, part, group_limit)
-    if stats.largest <= group_limit:
+    def plainly(rows: DataFrame) -> DataFrame:
         window = ordered_window(part, order)
-        return df.select("*", *[make(window).alias(name) for name, make in outputs.items()])
-
+        return rows.select("*", *[make(window).alias(name) for name, make in outputs.items()])
+
+    cuts = hot_cuts(df, part, order, group_limit, chunks)
+    if cuts is None:
+        return plainly(df)
+    small, large = None, df
+    if part:
+        hot = F.broadcast(cuts.table.select("__key"))
+        small = plainly(with_key(df, part).join(hot, "__key", "left_anti").drop("__key"))
+        large = with_key(df, part).join(hot, "__key", "left_semi").drop("__key")
     block_rows = max(block_rows, before, after, 1)
-    placed = with_position(df, part, order, "__pos", None, group_limit, chunks)
+    placed = _with_position(large, part, order, "__pos", None, cuts)
     zero_based = F.col("__pos") - 1
     block = F.floor(zero_based / block_rows)
     offset = zero_based % block_rows
@@ -450,8 +482,8 @@ def with_row_frames(
     spread = placed.withColumn("__copy", F.explode(copies)).select("*", F.col("__copy.block").alias("__block"))
     window = ordered_window([*part, "__block"], ["__pos"])
     framed = spread.select("*", *[make(window).alias(name) for name, make in outputs.items()])
-    kept = framed.filter(F.col("__copy.own"))
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
+    kept = framed.filter(F.col("__copy.own")).select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
+    return kept if small is None else small.unionByName(kept)
 
 
 def with_group_value(df: DataFrame, part: Sequence[str], outputs: dict[str, Column]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from broadloom.operators.ordered import (
-    _portable, chunk_column, chunk_count, group_stats, order_keys, percent_rank, tie_totals, with_key, with_tie_functions,
+    _portable, chunk_column, order_keys, percent_rank, running_sum, with_tie_functions,
 )
 from broadloom.session import materialised
 
@@ -132,6 +132,10 @@ def max_percentile_by_key(df: DataFrame, key: str, order: Sequence[str], name: s
     names = [o.name for o in order_keys(order)]
     rows = df.select(F.col(f"`{key}`").alias("__owner"), *names)
     reached = rows.groupBy("__owner").agg(extreme.alias("__tie"))
-    stats = group_stats(rows, [])
-    totals = tie_totals(rows, [], order, {name: percent_rank()}, stats, chunks or chunk_count(rows, stats, 0))
-    return reached.join(with_key(totals, names, "__tie").select("__tie", name), "__tie").select(F.col("__owner").alias(key), name)
+    # One row per distinct value from here on; the running sum counts the rows up to it.
+    values = materialised(rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__rows")), "values")
+    total = values.agg(F.coalesce(F.sum("__rows"), F.lit(0))).first()[0]
+    counted = with_tie_functions(values, [], order, {"__upto": running_sum("__rows")}, group_limit=0, chunks=chunks)
+    rank = ((F.col("__upto") - F.col("__rows")) / F.lit(total - 1)) if total > 1 else F.lit(0.0)
+    ranked = counted.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("__tie"), rank.alias(name))
+    return reached.join(ranked, "__tie").select(F.col("__owner").alias(key), name)

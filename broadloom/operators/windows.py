@@ -4,19 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.operators.ordered import (
     GROUP_LIMIT,
-    chunk_count,
-    group_stats,
-    join_back,
-    ordered_window,
+    group_max,
     percent_rank,
     running_sum,
-    tie_totals,
-    with_key,
     with_row_frames,
     with_tie_functions,
 )
@@ -55,20 +50,10 @@ def pl_settlement(
     means the sellers won, below zero the buyers.
     """
     outputs = {"open_interest": running_sum(change), "outlay": running_sum(change * price)}
-    stats = group_stats(df, part, group_limit)
-    if stats.largest <= group_limit:
-        window, whole = ordered_window(part, [day]), Window.partitionBy(*part)
-        last = F.max(day).over(whole).alias("__last")
-        rows = df.select("*", last, *[fn.plain(window).alias(name) for name, fn in outputs.items()])
-        kept = rows.filter(F.col(day) == F.col("__last") if settlement is None else settlement).drop("__last")
-    else:
-        totals = tie_totals(df, part, [day], outputs, stats, chunk_count(df, stats, group_limit))
-        if settlement is None:
-            settled = join_back(df, df.groupBy(*part).agg(F.max(day).alias(day)), [*part, day])
-        else:
-            settled = df.filter(settlement)
-        tied = with_key(totals, [*part, day], "__tie").select("__tie", *outputs)
-        kept = with_key(settled, [*part, day], "__tie").join(tied, "__tie").drop("__tie")
+    if settlement is None:
+        outputs["__last"] = group_max(day)
+    rows = with_tie_functions(df, part, [day], outputs, group_limit)
+    kept = rows.filter(F.col(day) == F.col("__last") if settlement is None else settlement).drop("__last")
     return kept.withColumn("final_status", F.col("outlay") - price * F.col("open_interest"))
 
 

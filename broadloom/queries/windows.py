@@ -69,6 +69,60 @@ def _(t):
     return _settled_columns(_settled(t, limit=0))
 
 
+#: Half of the rows fall in one group: beyond the limit at every scale, so it alone is cut.
+_SKEWED = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate AS day,
+       CASE WHEN l_orderkey % 2 = 0 THEN -1 ELSE l_partkey END AS grp, l_quantity::BIGINT AS chg, floor(l_extendedprice * 100 / l_quantity)::BIGINT AS px
+FROM lineitem"""
+
+
+def skewed(t):
+    group = F.when(F.col("l_orderkey") % 2 == 0, F.lit(-1)).otherwise(F.col("l_partkey"))
+    return t.lineitem.select(
+        *ROW, F.col("l_shipdate").alias("day"), group.alias("grp"), F.col("l_quantity").cast("long").alias("chg"),
+        F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("long").alias("px"))
+
+
+_HOT_SUMS = f"""
+SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, grp, (sum(chg) OVER w)::BIGINT AS oi, (sum(chg * px) OVER w)::BIGINT AS outlay
+FROM ({_SKEWED}) WINDOW w AS (PARTITION BY grp ORDER BY day)"""
+
+
+def _hot_sums(t, limit):
+    moves = W.running_positions(skewed(t), ["grp"], ["day"], F.col("chg"), F.col("px"), limit)
+    return moves.select(*ROW, "grp", F.col("open_interest").alias("oi"), "outlay")
+
+
+@query("win_running_sum_hot", _HOT_SUMS)
+def _(t):
+    return _hot_sums(t, 2_000)
+
+
+@query("win_running_sum_hot_plain", _HOT_SUMS)
+def _(t):
+    return _hot_sums(t, O.GROUP_LIMIT)
+
+
+_HOT_AVG = f"""
+SELECT l_partkey, l_orderkey, l_linenumber, l_suppkey, grp,
+       avg(px) OVER (PARTITION BY grp ORDER BY day, l_orderkey, l_linenumber, l_suppkey, l_partkey ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS mv
+FROM ({_SKEWED})"""
+
+
+def _hot_average(t, limit):
+    order = ["day", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
+    return W.moving_average(skewed(t), ["grp"], order, "px", {"mv": 5}, limit).select(*ROW, "grp", "mv")
+
+
+@query("win_moving_avg_hot", _HOT_AVG)
+def _(t):
+    return _hot_average(t, 2_000)
+
+
+@query("win_moving_avg_hot_plain", _HOT_AVG)
+def _(t):
+    return _hot_average(t, O.GROUP_LIMIT)
+
+
 @query("winners_by_symbol", f"""
 WITH s AS ({_SETTLED}),
      w AS (SELECT l_partkey, count(*) FILTER (final_status < 0) AS buyer_wins, count(*) FILTER (final_status > 0) AS seller_wins FROM s GROUP BY 1),

@@ -82,9 +82,42 @@ def test_many_chunks(spark):
 def test_chunks_bound_the_group(spark):
     """One key with all rows is spread over the chunks about evenly."""
     df = spark.range(10_000).withColumn("x", F.col("id") * 7919 % 10_007)
-    cuts = O.cut_points(df, ["x"], 10_000, 16)
-    sizes = [r["count"] for r in df.groupBy(O.chunk_column(df, ["x"], cuts).alias("c")).count().collect()]
-    assert len(sizes) == 16 and max(sizes) < 4 * 10_000 / 16
+    cuts = O.hot_cuts(df, [], ["x"], 0, 16)
+    sizes = [r["count"] for r in O._placed(df, [], ["x"], cuts, True).groupBy("__chunk").count().collect()]
+    assert len(sizes) in (16, 17) and max(sizes) < 4 * 10_000 / 16
+
+
+def test_only_groups_beyond_the_limit_are_cut(spark):
+    key = F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 500)
+    df = spark.range(20_000).select("id", key.alias("k"), (F.col("id") * 7919 % 20_011).alias("x"))
+    cuts = O.hot_cuts(df, ["k"], ["x"], 1_000)
+    placed = O._placed(df, ["k"], ["x"], cuts, True)
+    assert [r["k"] for r in cuts.table.select("__key.k").collect()] == [-1]
+    by_chunk = {(r["k"], r["__chunk"]): r["count"] for r in placed.groupBy("k", "__chunk").count().collect()}
+    assert all(chunk == 0 for k, chunk in by_chunk if k != -1)
+    assert len([c for k, c in by_chunk if k == -1]) >= 15 and max(n for (k, _), n in by_chunk.items()) <= 1_500
+    outputs = {"r": O.rank(), "d": O.dense_rank(), "p": O.percent_rank(), "c": O.cume_dist(), "s": O.running_sum("x"), "m": O.group_max("x")}
+    same(O.with_tie_functions(df, ["k"], ["x"], outputs), O.with_tie_functions(df, ["k"], ["x"], outputs, 1_000))
+    frames = {"a": lambda w: F.avg("x").over(w.rowsBetween(-4, 0))}
+    same(O.with_row_frames(df, ["k"], ["x"], frames, 4), O.with_row_frames(df, ["k"], ["x"], frames, 4, group_limit=1_000, block_rows=300))
+    assert O.hot_cuts(df, ["k"], ["x"], 15_000) is None and O.hot_cuts(df.where("k >= 0"), ["k"], ["x"], 1_000) is None
+
+
+def test_a_value_that_half_the_rows_share_goes_to_many_tasks(spark):
+    df = spark.range(0, 40_000, 1, 8).select("id", F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 1_000).alias("x"))
+    cuts = O.hot_cuts(df, [], ["x"], 2_000)
+    largest = O._placed(df, [], ["x"], cuts, True).groupBy("__chunk", "__salt").count().agg(F.max("count")).first()[0]
+    assert largest <= 5_000  # of 20,000 equal rows, an eighth each at most, and chunks of about 1,000
+    outputs = {"r": O.rank(), "d": O.dense_rank(), "p": O.percent_rank(), "c": O.cume_dist(), "s": O.running_sum("id")}
+    same(O.with_tie_functions(df, [], ["x"], outputs), O.with_tie_functions(df, [], ["x"], outputs, 2_000))
+    same(O.with_position(df, [], ["x", "id"]), O.with_position(df, [], ["x", "id"], group_limit=2_000))
+
+
+def test_cut_windows_shuffle_the_rows_once(spark, static_plans):
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 500).alias("k"), "id", F.lit("payload").alias("load"))
+    plan = O.with_tie_functions(df, ["k"], ["id"], {"r": O.rank(), "s": O.running_sum("id")}, 1_000)._jdf.queryExecution().executedPlan().toString()
+    full = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(full) == 3 and "SortMergeJoin" not in plan  # the rows once; the totals by chunk, then by group
 
 
 def test_unknown_direction_is_refused():
@@ -125,8 +158,8 @@ def test_positions_shuffle_whole_rows_once(spark, static_plans):
     df = spark.range(1000).select((F.col("id") % 5).alias("g"), "id", F.lit("payload").alias("load"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = O.with_position(df, ["g"], ["id"], group_limit=0, chunks=4)._jdf.queryExecution().executedPlan().toString()
+        plan = O.with_position(df, ["g"], ["id"], group_limit=0, chunks=8)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     full = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(full) == 4  # the rows once; the counts per chunk, by group, and to the rows
+    assert len(full) == 3  # the rows once; the counts per chunk, and by group
