@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,24 +14,11 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.session import prepare, shared_path
+from broadloom.session import prepare, setting, shared_path
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-@contextlib.contextmanager
-def setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the files.
 
@@ -39,7 +29,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, label)
     with setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
 
 
 #: A value that more than this share of all rows has is looked up in a broadcast.
@@ -80,6 +72,36 @@ def file_batches(table: DataFrame, most: int) -> list[DataFrame]:
     return [reader.parquet(*files[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def forget(*frames: DataFrame | None) -> None:
+    """Remove the files of frames that ``stored`` wrote and nothing will read again."""
+    for df in frames:
+        path = getattr(df, "stored_path", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives its free memory back: workers stay for later stages, and what the
+    allocators of all of them keep would add up in an executor."""
+    @functools.wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems than Linux have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def documents(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

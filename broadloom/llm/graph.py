@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import stored
+from broadloom.llm.common import forget, stored
 
 
 #: Edges a task takes at least: a small graph isn't spread over hundreds of tasks.
@@ -43,11 +43,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     mark = measured(now)
     for _ in range(most_rounds):
         tasks = 1 + mark[0] // TASK_EDGES
-        now = stored(_small_star(_large_star(now, tasks), tasks), "edges")
+        before, now = now, stored(_small_star(_large_star(now, tasks), tasks), "edges")
+        forget(before)
         seen, mark = mark, measured(now)
         if seen == mark:
             break
     else:
         raise RuntimeError("components did not settle")
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out = stars.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    out.parts = [now]  # what it reads, for ``forget``
+    return out

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
-from broadloom.llm.common import stored
+from broadloom.llm.common import forget, lean, stored
 from broadloom.llm.prefixes import LEVEL_SHARE, PrefixJoin, choose_level, least_overlap, linked_components, top_level
 from broadloom.llm.words import SHINGLE, mix, shingle_sets
 
@@ -47,7 +47,8 @@ def _members(size: int):
                 counts.append(len(shingles))
                 nodes.append(signature(shingles) if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n_shingles", "node"])
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), batch.column(2)],
+                ["doc_id", "n_shingles", "node", "text_hash"])
 
     return run
 
@@ -74,7 +75,7 @@ def _prefixes(size: int, percent: int):
 
 
 def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents that no level rules out: rep, number of shingles, list of (token, layer, often)."""
+    """The sets that no level rules out: node, number of shingles, list of (token, layer, often)."""
     for batch in batches:
         n = np.asarray(batch.column(1))
         top, lists = top_level(n), batch.column(2)
@@ -87,27 +88,27 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(layer[part][first], kind="stable")
             if choose_level(layer[part][first][order], often[part][first][order], int(top[k])):
                 keep.append(k)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64()))], ["rep"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64()))], ["node"])
 
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rep, node = batch.column(0), batch.column(1).to_pylist()
+            node = batch.column(0)
             keep, data = [], []
-            for k, shingles in enumerate(shingle_sets(batch.column(2), size)):
-                if len(shingles) and signature(shingles) == node[k]:
+            for k, shingles in enumerate(shingle_sets(batch.column(1), size)):
+                if len(shingles) and signature(shingles) == node[k].as_py():
                     keep.append(k)
                     data.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([rep.take(pa.array(keep, pa.int64())), pa.array(data, pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(keep, pa.int64())), pa.array(data, pa.binary())], ["node", "shingles"])
 
     return run
 
 
 @dataclass
 class Prepared:
-    """``members``: doc_id, n_shingles, node (set signature); ``nodes``: node, representative and size of each
-    distinct set; ``join``: the sets of the documents still in the join, by representative."""
+    """``members``: doc_id, n_shingles, node (set signature) and a hash of the text, of every row; ``nodes``: node,
+    smallest doc_id and size of each distinct set; ``join``: the sets still in the join, by node."""
 
     members: DataFrame
     nodes: DataFrame
@@ -116,7 +117,9 @@ class Prepared:
 
 def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    members = stored(rows.mapInArrow(_members(size), "doc_id long, n_shingles long, node long"), "members")
+    members = stored(
+        rows.withColumn("text_hash", F.xxhash64("text"))
+        .mapInArrow(lean(_members(size)), "doc_id long, n_shingles long, node long, text_hash long"), "members")
     nodes = stored(
         members.where("node IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "nodes")
@@ -128,14 +131,25 @@ def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared
             ranges.group_count(entries)), "shared")
     lists = shared.groupBy(F.col("owner").alias("node")).agg(
         F.collect_list(F.struct("token", F.col("layer").cast("int").alias("layer"), "often")).alias("found"))
-    wanted = nodes.join(lists, "node").select("rep", "n", "found").mapInArrow(_survivors, "rep long")
-    wanted = stored(wanted.join(nodes.select("rep", "node", "n"), "rep"), "survivors")
+    left = nodes.join(lists, "node").select("node", "n", "found").mapInArrow(lean(_survivors), "node long")
+    wanted = stored(left.join(nodes.select("node", "rep"), "node"), "survivors")
+    forget(shared)
     sets = stored(
-        rows.join(wanted.select("rep", "node"), F.col("doc_id") == F.col("rep")).select("rep", "node", "text")
-        .mapInArrow(_sets(size), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+        rows.join(wanted.select(F.col("rep").alias("doc_id"), "node"), "doc_id").select("node", "text")
+        .mapInArrow(lean(_sets(size)), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+    forget(wanted)
     return Prepared(members, nodes, PrefixJoin.of(sets, percent))
 
 
+def _groups(ready: Prepared) -> DataFrame:
+    """node, component (a node of it) and smallest doc_id of every set with a link."""
+    known = linked_components(ready.join)
+    linked = stored(known.join(ready.nodes.select("node", "rep"), "node"), "linked")
+    forget(*known.parts, ready.join.sets, ready.join.postings)
+    least = linked.groupBy("component").agg(F.min("rep").alias("least"))
+    return linked.join(least, "component").select("node", "component", "least")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
@@ -146,9 +160,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = SHINGLE) ->
     Other columns are ignored.  An empty table gives no rows.
     """
     ready = prepare(docs, percent, size)
-    known = linked_components(ready.join)
-    named = ready.nodes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "node", F.coalesce("component", "rep").alias("component"))
+    named = ready.nodes.join(_groups(ready), "node", "left").select("node", F.coalesce("least", "rep").alias("component"))
     return ready.members.join(named, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
@@ -158,17 +170,35 @@ def similar_pairs(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> tu
     """The whole join: (a, b, shared) for every two different sets that link, by their representatives,
     and the membership (doc_id, n_shingles, representative).  Copies are not expanded into pairs."""
     ready = prepare(docs, percent, size)
-    members = ready.members.join(ready.nodes.select("node", F.col("rep").alias("representative")), "node", "left")
-    return ready.join.pairs(), members.select("doc_id", "n_shingles", "representative")
+    reps = ready.nodes.select("node", F.col("rep").alias("representative"))
+    pairs = ready.join.pairs()
+    for side in ("a", "b"):
+        pairs = pairs.withColumnRenamed(side, "node").join(reps, "node").withColumnRenamed("representative", side).drop("node")
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared")
+    return ordered, ready.members.join(reps, "node", "left").select("doc_id", "n_shingles", "representative")
 
 
 def one_of_each(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: that of the smallest doc_id.
+    """``docs`` with one row of each group of near duplicates, one of the smallest doc_id in it.
 
-    Rows with a null doc_id stay; of rows that repeat a doc_id that stays, one stays.
+    Rows are told by their doc_id and text, so of two texts under one doc_id only
+    that goes which belongs to another document's group.  Rows with a null doc_id
+    stay; of rows equal in doc_id and text one stays; texts without words are in no
+    group.  All columns are kept, whatever their names.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), percent, size)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
-    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(left.where("doc_id IS NULL"))
+    ready = prepare(docs, percent, size)
+    known = ready.members.where("doc_id IS NOT NULL").join(_groups(ready), "node", "left").join(
+        ready.nodes.select("node", "rep"), "node", "left")
+    known = known.select("doc_id", "text_hash", F.coalesce("component", "node").alias("group"),
+                         F.coalesce("least", "rep").alias("least"))
+    rows = stored(known.groupBy("doc_id", "text_hash", "group", "least").agg(F.count(F.lit(1)).alias("copies")), "rows")
+    # Of several texts that one doc_id has in its own group, the first by hash stays.
+    first = rows.where("group IS NOT NULL AND least = doc_id").groupBy("doc_id", "group").agg(F.min("text_hash").alias("first_hash"))
+    gone = rows.where("group IS NOT NULL").join(first, ["doc_id", "group"], "left").where(
+        "least <> doc_id OR text_hash <> first_hash").select("doc_id", "text_hash").distinct()
+    packed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    left = packed.join(gone, ["doc_id", "text_hash"], "left_anti")
+    if not rows.where("copies > 1").isEmpty():
+        named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text_hash"])
+        left = named.unionByName(left.where("doc_id IS NULL"))
+    return left.select("row.*")

@@ -4,7 +4,9 @@ In any common order of the shingles, two sets of Jaccard similarity t or more
 share at least ``l`` among the first ``n - ceil(t n) + l`` of each, for every
 level ``l``: a longer prefix asks for more shared shingles.  Each set takes the
 level at which its estimated candidates cost least; the rarest shingles come
-first.
+first.  Shingles that stand in the same prefixes are one posting with their number
+as its weight, so two documents that share a passage meet once for it and not once
+for each of its shingles.
 """
 
 from __future__ import annotations
@@ -18,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
-from broadloom.llm.common import stored
+from broadloom.llm.common import forget, lean, stored
 from broadloom.llm.graph import components
 from broadloom.llm.words import mix
 
 #: 64-bit words of a set's parity bitmap.
 BITMAP_WORDS = 8
 BITMAP = [f"bits{k}" for k in range(BITMAP_WORDS)]
-POSTINGS = ["node", "token", "layer", "level", "n", *BITMAP]
+POSTINGS = ["node", "token", "more", "layer", "weight", "level", "n", *BITMAP]
+TOKEN = ["token", "more"]
 #: Levels go up to this share of a set's shingles.
 LEVEL_SHARE = 0.10
 #: Cost of verifying a candidate, in postings read.
@@ -84,7 +87,6 @@ def _levels(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, n = (np.asarray(batch.column(k)) for k in (0, 1))
-            bits = [np.asarray(batch.column(name)) for name in BITMAP]
             top, lists = top_level(n), batch.column(2)
             edges = np.asarray(lists.offsets)
             token, often = (np.asarray(lists.values.field(k)) for k in range(2))
@@ -100,12 +102,11 @@ def _levels(percent: int):
                 level = choose_level(layer, f, int(top[k]))
                 upto = int(np.searchsorted(layer, level, side="right")) if level else 0
                 if upto:
-                    same = [np.full(upto, v) for v in (level, n[k], *(b[k] for b in bits))]
-                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], *same))
+                    out.append((np.full(upto, rep[k]), t[:upto], layer[:upto], np.full(upto, level)))
             if out:
                 columns = [np.concatenate(c) for c in zip(*out)]
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * (1 + BITMAP_WORDS)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], POSTINGS)
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["node", "shingle", "layer", "level"])
 
     return run
 
@@ -141,27 +142,31 @@ def _level() -> F.Column:
     return F.least("p.level", "q.level")
 
 
+def _same_token() -> F.Column:
+    return (F.col("p.token") == F.col("q.token")) & (F.col("p.more") == F.col("q.more"))
+
+
 def candidates(left: DataFrame, right: DataFrame, apart: F.Column, percent: int) -> DataFrame:
-    """Pairs (a, b) that share as many prefix shingles as the smaller of their levels asks for."""
+    """Pairs (a, b) that share as many prefix shingles as the smaller of their levels asks for.
+
+    The shingles of one posting count all, if the first is near enough: no pair is lost by that."""
     near = F.greatest("p.layer", "q.layer") <= _level()
     return (
-        left.alias("p").join(right.alias("q"), (F.col("p.token") == F.col("q.token")) & apart & _fitting(percent) & near)
+        left.alias("p").join(right.alias("q"), _same_token() & apart & _fitting(percent) & near)
         .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-        .agg(F.count("*").alias("found"), F.first(_level()).alias("asked"))
+        .agg(F.sum("p.weight").alias("found"), F.first(_level()).alias("asked"))
         .where("found >= asked").select("a", "b")
     )
 
 
 def _to_hubs(postings: DataFrame, hub: F.Column, percent: int) -> DataFrame:
     """(document, hub) for the hub each document shares most shingles with."""
-    hubs = postings.groupBy("token").agg(hub.alias("h")).select(
-        "token", "h.*")
+    hubs = postings.groupBy(*TOKEN).agg(hub.alias("h")).select(*TOKEN, "h.*")
     return (
         postings.alias("p").join(
-            hubs.alias("q"),
-            (F.col("p.token") == F.col("q.token")) & (F.col("p.component") != F.col("q.component")) & _fitting(percent))
-        .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).count()
-        .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
+            hubs.alias("q"), _same_token() & (F.col("p.component") != F.col("q.component")) & _fitting(percent))
+        .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(F.sum("p.weight").alias("found"))
+        .groupBy("a").agg(F.max_by("b", F.struct("found", "b")).alias("b"))
     )
 
 
@@ -175,20 +180,26 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
     postings = ready.postings.withColumn("component", F.col("node"))
     whole = F.struct("node", "component", "n", *BITMAP)
     for hub in (F.min(whole), F.max_by(whole, F.xxhash64("node"))):
-        found = ready.verify(_to_hubs(postings, hub, ready.percent)).select("a", "b")
-        links = found if links is None else links.union(found)
-        known = stored(components(links), "components")
+        verified = ready.verify(_to_hubs(postings, hub, ready.percent))
+        found = verified.select("a", "b")
+        links, before = found if links is None else links.union(found), links
+        stars = components(links)
+        known = stored(stars, "components")
+        forget(verified, *stars.parts)
         links = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        open_before = postings
         postings = ready.postings.join(known, "node", "left").withColumn(
             "component", F.coalesce("component", "node"))
         # Shingles within one component can tell nothing new.
-        open_tokens = postings.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        open_tokens = postings.groupBy(*TOKEN).agg(F.min("component").alias("x"), F.max("component").alias("y"))
         postings = stored(
-            postings.join(open_tokens.where("x <> y").select("token"), "token", "left_semi")
+            postings.join(open_tokens.where("x <> y").select(*TOKEN), TOKEN, "left_semi")
             .select(*POSTINGS, "component"), "open")
+        forget(open_before)
     apart = F.col("p.component") < F.col("q.component")
-    last = ready.verify(candidates(postings, postings, apart, ready.percent)).select("a", "b")
-    return components(links.union(last))
+    last = ready.verify(candidates(postings, postings, apart, ready.percent))
+    forget(postings)
+    return components(links.union(last.select("a", "b")))
 
 
 @dataclass
@@ -207,12 +218,21 @@ class PrefixJoin:
             ranges.shared_postings(sets.select("node", "shingles"), _whole_sets, {}, ranges.group_count(total)).select(
                 "token", F.col("owner").alias("node")), "common")
         bits = ", ".join(f"{b} long" for b in BITMAP)
+        about = stored(sets.select("node", "shingles").mapInArrow(lean(_bitmaps), f"node long, n long, {bits}"), "bitmaps")
         counted = common.join(common.groupBy("token").agg(F.count("*").alias("often")), "token")
         lists = counted.groupBy("node").agg(F.collect_list(F.struct("token", "often")).alias("found"))
-        postings = stored(
-            sets.select("node", "shingles").mapInArrow(_bitmaps, f"node long, n long, {bits}").join(lists, "node")
-            .select("node", "n", "found", *BITMAP)
-            .mapInArrow(_levels(percent), f"node long, token long, layer int, level int, n long, {bits}"), "postings")
+        prefixes = stored(
+            about.select("node", "n").join(lists, "node").select("node", "n", "found")
+            .mapInArrow(lean(_levels(percent)), "node long, shingle long, layer int, level int"), "prefixes")
+        forget(common)
+        # Shingles in the same prefixes have the same pair of hashes of their holders.
+        holders = prefixes.groupBy("shingle").agg(
+            F.count(F.lit(1)).alias("held"), F.bit_xor(F.xxhash64("node")).alias("token"),
+            F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("more")).where("held > 1").select("shingle", *TOKEN)
+        merged = prefixes.join(holders, "shingle").groupBy("node", *TOKEN).agg(
+            F.min("layer").alias("layer"), F.count(F.lit(1)).alias("weight"), F.first("level").alias("level"))
+        postings = stored(merged.join(about, "node").select(*POSTINGS), "postings")
+        forget(prefixes, about)
         return cls(sets, postings, percent)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
@@ -220,7 +240,7 @@ class PrefixJoin:
         left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         found = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(found.mapInArrow(_verified(self.percent), "a long, b long, shared long"), "links")
+        return stored(found.mapInArrow(lean(_verified(self.percent)), "a long, b long, shared long"), "links")
 
     def pairs(self) -> DataFrame:
         """Every pair (a, b, shared), a < b, that is similar enough."""

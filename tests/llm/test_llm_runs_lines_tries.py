@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from broadloom.llm import centroids, lines, periodic, trie
+from broadloom.llm import centroids, lines, ngram_join, periodic, trie
 from broadloom.llm.common import split_lookup, stored
 
 DOCS = "doc_id long, text string, runs string, key string, h1 string, n_lines string, gone string, length string"
@@ -239,3 +239,42 @@ def test_settle_a_deep_chain():
     parent = np.arange(n) - 1
     found = centroids.settle(parent, np.arange(n, 0, -1), np.ones((n, 1), np.int64), np.zeros((n, 1), np.int64))
     assert (found[:, 0] == np.arange(n, 0, -1)).all()
+
+
+# ------------------------------------------------------------------ one document of each group
+
+def some_prose(seed, n=60):
+    choose = random.Random(seed)
+    return " ".join("".join(choose.choice("abcdefgh") for _ in range(choose.randint(2, 7))) for _ in range(n))
+
+
+def test_one_of_each_keeps_other_texts_of_a_repeated_id(spark):
+    a, b, x, y = (some_prose(k) for k in range(4))
+    near = x + " tail"
+    rows = [(1, a), (2, a), (2, b), (3, x), (3, y), (4, near), (5, ""), (5, None), (6, "  "), (6, "  "), (None, a), (7, y), (8, a)]
+    schema = "doc_id int, text string, gone_id long, node string, row string, text_hash string, `group` string, least int"
+    frame = spark.createDataFrame([(d, t, 9, "n", "r", "h", "g", 0) for d, t in rows], schema)
+    left = ngram_join.one_of_each(frame)
+    assert left.columns == frame.columns and left.dtypes == frame.dtypes
+    want = [(1, a), (2, b), (3, x), (3, y), (5, ""), (5, None), (6, "  "), (None, a)]
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(want)
+    ids = {(r["doc_id"], r["n_shingles"] > 0, r["component_id"]) for r in ngram_join.near_duplicates(frame).collect()}
+    assert {(2, True, 1), (2, True, 2), (4, True, 3), (7, True, 3), (8, True, 1), (5, False, 5)} <= ids
+
+
+def test_one_text_stays_of_near_copies_under_one_id(spark):
+    x = some_prose(9)
+    frame = spark.createDataFrame([(3, x), (3, x + " tail"), (5, x), (3, x)], "doc_id long, text string")
+    left = [tuple(r) for r in ngram_join.one_of_each(frame).collect()]
+    assert len(left) == 1 and left[0] in ((3, x), (3, x + " tail"))
+
+
+def test_intermediates_are_removed(spark):
+    import glob
+    rows = [(k, some_prose(k % 7) + (" tail" * (k % 3))) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/broadloom/"
+    before = set(glob.glob(root + "*"))
+    assert ngram_join.near_duplicates(frame).count() == 40
+    labels = Counter(p.removeprefix(root).rsplit("-", 1)[0] for p in set(glob.glob(root + "*")) - before)
+    assert not {"shared", "survivors", "common", "prefixes", "bitmaps", "postings", "open", "sets"} & set(labels)
