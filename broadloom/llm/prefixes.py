@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
@@ -31,6 +31,12 @@ POSTINGS = ["node", "token", "more", "layer", "weight", "level", "n", *BITMAP]
 TOKEN = ["token", "more"]
 #: Levels go up to this share of a set's shingles.
 LEVEL_SHARE = 0.10
+#: Times at most that hubs are drawn, and hubs that a document is compared with from the third time on.
+HUB_ROUNDS, HUBS_TRIED = 4, 3
+#: Pairs that are left to compare for each posting, from which hubs are not drawn anew.
+FEW_PAIRS = 10
+#: Postings before one that must all be new to a pair.
+RECENT = 12
 #: Cost of verifying a candidate, in postings read.
 VERIFY_COST = 20.0
 
@@ -138,54 +144,58 @@ def _fitting(percent: int) -> F.Column:
     return sizes & ((both - apart) * 100 >= (both + apart) * percent)
 
 
-def _level() -> F.Column:
-    return F.least("p.level", "q.level")
-
-
 def _same_token() -> F.Column:
     return (F.col("p.token") == F.col("q.token")) & (F.col("p.more") == F.col("q.more"))
 
 
-def candidates(left: DataFrame, right: DataFrame, apart: F.Column, percent: int) -> DataFrame:
+def candidates(postings: DataFrame, lists: DataFrame, apart: F.Column, percent: int) -> DataFrame:
     """Pairs (a, b) that share as many prefix shingles as the smaller of their levels asks for.
 
-    The shingles of one posting count all, if the first is near enough: no pair is lost by that."""
-    near = F.greatest("p.layer", "q.layer") <= _level()
-    return (
-        left.alias("p").join(right.alias("q"), _same_token() & apart & _fitting(percent) & near)
-        .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-        .agg(F.sum("p.weight").alias("found"), F.first(_level()).alias("asked"))
-        .where("found >= asked").select("a", "b")
-    )
-
-
-def _to_hubs(postings: DataFrame, hub: F.Column, percent: int) -> DataFrame:
-    """(document, hub) for the hub each document shares most shingles with."""
+    Two documents would meet at each posting they share.  They are paired only
+    where none of the ``RECENT`` postings before it, in the order of the postings, is
+    shared as well: so at the first one surely, and seldom again.  The shingles they
+    share are then counted once a pair, in ``lists`` (all postings of each node)."""
+    order = Window.partitionBy("node").orderBy(*TOKEN).rowsBetween(-RECENT, -1)
+    recent = postings.withColumn("recent", F.collect_list("token").over(order))
+    new = ~F.arrays_overlap("p.recent", "q.recent")
+    met = recent.alias("p").join(recent.alias("q"), _same_token() & apart & _fitting(percent) & new)
+    pairs = met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    left = lists.select(F.col("node").alias("a"), F.col("level").alias("level_a"), F.col("list").alias("list_a"))
+    right = lists.select(F.col("node").alias("b"), F.col("level").alias("level_b"), F.col("list").alias("list_b"))
+    # The same posting has the same weight in all its holders.
+    found = F.aggregate(F.array_intersect("list_a", "list_b"), F.lit(0).cast("long"), lambda total, item: total + item["weight"])
+    return pairs.join(left, "a").join(right, "b").where(found >= F.least("level_a", "level_b")).select("a", "b")
+
+
+def _to_hubs(postings: DataFrame, hub: F.Column, percent: int, tried: int) -> DataFrame:
+    """(document, hub) for the ``tried`` hubs each document shares most shingles with."""
     hubs = postings.groupBy(*TOKEN).agg(hub.alias("h")).select(*TOKEN, "h.*")
     return (
         postings.alias("p").join(
             hubs.alias("q"), _same_token() & (F.col("p.component") != F.col("q.component")) & _fitting(percent))
         .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(F.sum("p.weight").alias("found"))
-        .groupBy("a").agg(F.max_by("b", F.struct("found", "b")).alias("b"))
+        .groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("found", "b")), asc=False), 1, tried).alias("best"))
+        .select("a", F.explode("best.b").alias("b"))
     )
 
 
 def linked_components(ready: PrefixJoin) -> DataFrame:
     """(node, component) of the nodes with a link; the component is its smallest node.
 
-    Each node is first compared with one hub per shingle, which settles groups of
-    near copies at a comparison each; then nodes of different components that
-    share enough of their prefixes are compared pair by pair."""
-    links = None
+    Nodes are first compared with one hub per posting, which settles groups of
+    near copies at a few comparisons each.  Hubs are drawn anew while that takes
+    away a good part of the pairs that are left; then nodes of different
+    components that share enough of their prefixes are compared pair by pair."""
+    links, known, pairs = None, None, None
     postings = ready.postings.withColumn("component", F.col("node"))
     whole = F.struct("node", "component", "n", *BITMAP)
-    for hub in (F.min(whole), F.max_by(whole, F.xxhash64("node"))):
-        verified = ready.verify(_to_hubs(postings, hub, ready.percent))
+    for k in range(HUB_ROUNDS):
+        hub = F.max_by(whole, F.xxhash64("node", F.lit(k))) if k else F.min(whole)
+        verified = ready.verify(_to_hubs(postings, hub, ready.percent, 1 if k < 2 else HUBS_TRIED))
         found = verified.select("a", "b")
-        links, before = found if links is None else links.union(found), links
-        stars = components(links)
-        known = stored(stars, "components")
-        forget(verified, *stars.parts)
+        stars = components(found if links is None else links.union(found))
+        before, known = known, stored(stars, "components")
+        forget(verified, before, *stars.parts)
         links = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
         open_before = postings
         postings = ready.postings.join(known, "node", "left").withColumn(
@@ -196,10 +206,16 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
             postings.join(open_tokens.where("x <> y").select(*TOKEN), TOKEN, "left_semi")
             .select(*POSTINGS, "component"), "open")
         forget(open_before)
+        held = postings.groupBy(*TOKEN).agg(F.count(F.lit(1)).alias("held"))
+        rows, left = held.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.sum(F.expr("held * (held - 1) div 2")), F.lit(0))).first()
+        if k and (left <= FEW_PAIRS * rows or left > 0.8 * pairs):
+            break
+        pairs = left
     apart = F.col("p.component") < F.col("q.component")
-    last = ready.verify(candidates(postings, postings, apart, ready.percent))
-    forget(postings)
-    return components(links.union(last.select("a", "b")))
+    last = ready.verify(candidates(postings, ready.lists(), apart, ready.percent))
+    out = components(links.union(last.select("a", "b")))
+    forget(postings, known, last)
+    return out
 
 
 @dataclass
@@ -235,6 +251,11 @@ class PrefixJoin:
         forget(prefixes, about)
         return cls(sets, postings, percent)
 
+    def lists(self) -> DataFrame:
+        """node, level and list (token, more, weight) of all postings of each node."""
+        return self.postings.groupBy("node").agg(
+            F.first("level").alias("level"), F.collect_list(F.struct(*TOKEN, "weight")).alias("list"))
+
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough, with their number of shared shingles."""
         left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -244,4 +265,4 @@ class PrefixJoin:
 
     def pairs(self) -> DataFrame:
         """Every pair (a, b, shared), a < b, that is similar enough."""
-        return self.verify(candidates(self.postings, self.postings, F.col("p.node") < F.col("q.node"), self.percent))
+        return self.verify(candidates(self.postings, self.lists(), F.col("p.node") < F.col("q.node"), self.percent))
