@@ -24,8 +24,11 @@ FOLDS, LEFT_OUT = 5, 0
 CUT = 0.5
 #: Terms in fewer documents of the sample say nothing and have no weight.
 LEAST_DOCUMENTS = 3
-#: Standard errors by which a term's share must differ between the classes to enter the fit.
+#: Standard errors by which a term's share must differ between the classes to enter the fit by itself.
 LEAST_CONTRAST = 3.0
+#: Terms whose pairs are looked at, standard errors by which the effect of one must depend on the other for both to
+#: enter the fit, and documents that each cell of such a pair needs.
+PAIR_TERMS, PAIR_CONTRAST, LEAST_CELL = 1_024, 6.0, 25
 
 
 def _terms(column: pa.Array, known: np.ndarray | None = None):
@@ -72,6 +75,41 @@ def contrast(ones: np.ndarray, counts: np.ndarray, marked: int, total: int) -> n
     return np.abs(ones / max(marked, 1) - (counts - ones) / max(total - marked, 1)) / np.maximum(error, 1e-12)
 
 
+def interacting(examples: list[np.ndarray], labels: np.ndarray, counts: np.ndarray, slice_rows: int = 1_000) -> np.ndarray:
+    """Buckets whose presence changes what another one says about the label, also where neither says anything alone.
+
+    Of the ``PAIR_TERMS`` most frequent terms every pair is looked at: the effect of
+    one on the share of marked documents, with and without the other, must differ
+    by ``PAIR_CONTRAST`` standard errors.  Two terms of additive effect don't."""
+    top = np.argsort(-counts, kind="stable")[:PAIR_TERMS]
+    top = np.sort(top[counts[top] >= LEAST_CELL])
+    if not len(top) or not len(examples):
+        return np.zeros(0, np.int64)
+    place = np.full(BUCKETS, -1, np.int64)
+    place[top] = np.arange(len(top))
+    both, both_marked = np.zeros((len(top), len(top))), np.zeros((len(top), len(top)))
+    for low in range(0, len(examples), slice_rows):
+        some = examples[low:low + slice_rows]
+        held = np.zeros((len(some), len(top)), np.float32)
+        for k, x in enumerate(some):
+            at = place[x]
+            held[k, at[at >= 0]] = 1
+        both += held.T @ held
+        marked = held[labels[low:low + slice_rows] > 0]
+        both_marked += marked.T @ marked
+    n, ones, total, all_marked = np.diag(both), np.diag(both_marked), len(examples), float((labels > 0).sum())
+    # The four cells of a pair: both terms, one, the other, none.
+    cells = [both, n[:, None] - both, n[None, :] - both, total - n[:, None] - n[None, :] + both]
+    hits = [both_marked, ones[:, None] - both_marked, ones[None, :] - both_marked, all_marked - ones[:, None] - ones[None, :] + both_marked]
+    share = [(h + 2) / (c + 4) for h, c in zip(hits, cells)]
+    effect = (share[0] - share[1]) - (share[2] - share[3])
+    error = np.sqrt(sum(p * (1 - p) / (c + 4) for p, c in zip(share, cells)))
+    enough = np.minimum.reduce(cells) >= LEAST_CELL
+    found = enough & (np.abs(effect) >= PAIR_CONTRAST * error)
+    np.fill_diagonal(found, False)
+    return top[found.any(1)]
+
+
 def fit(examples: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps: int = 4_000, batch: int = 64,
         rate: float = 0.5, sparsity: float = 1e-5, decay: float = 1e-4, seed: int = 3) -> FactorizationMachine:
     """Fit on distinct buckets per document (AdaGrad; soft threshold on the weights, decay on the factors).
@@ -85,7 +123,10 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps:
     counts = np.bincount(np.concatenate(examples), minlength=BUCKETS) if examples else np.zeros(BUCKETS, np.int64)
     marked = [x for x, y in zip(examples, labels) if y]
     ones = np.bincount(np.concatenate(marked), minlength=BUCKETS) if marked else np.zeros(BUCKETS, np.int64)
-    kept = np.flatnonzero((counts >= LEAST_DOCUMENTS) & (contrast(ones, counts, len(marked), len(examples)) >= LEAST_CONTRAST))
+    paired = np.zeros(BUCKETS, bool)
+    paired[interacting(examples, labels, counts)] = True
+    kept = np.flatnonzero(paired | (
+        (counts >= LEAST_DOCUMENTS) & (contrast(ones, counts, len(marked), len(examples)) >= LEAST_CONTRAST)))
     slots[kept] = np.arange(len(kept))
     w, v = np.zeros(len(kept)), rng.normal(0, 0.01, (len(kept), factors))
     if not examples or labels.min() == labels.max() or not len(kept):
@@ -116,8 +157,8 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, factors: int = 4, steps:
             w[seen] = np.sign(moved) * np.maximum(0, np.abs(moved) - step * sparsity)
             v[seen] -= 0.2 * rate / np.sqrt(gv[seen]) * dv
             bias -= rate / np.sqrt(gb) * wrong.sum()
-    # Terms that gained no weight keep no factors either: they would only add noise.
-    v[w == 0] = 0
+    # A term that gained no weight and is in no pair that matters keeps no factors: they would only add noise.
+    v[(w == 0) & ~paired[kept]] = 0
     used = (w != 0) | (np.abs(v).max(1) > 0)
     slots[:] = -1
     slots[kept[used]] = np.arange(int(used.sum()))

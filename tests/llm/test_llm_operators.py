@@ -348,6 +348,41 @@ def test_machine_learns_a_pair_that_no_sum_can():
     assert model.factors[a] @ model.factors[b] > 0.5
 
 
+def test_machine_learns_a_pair_whose_terms_say_nothing_alone():
+    """Label 1 if both or neither of two terms occur: each term is as common in both classes."""
+    rng = np.random.default_rng(0)
+    examples, labels = [], []
+    for _ in range(3000):
+        a, b = rng.integers(0, 2, 2)
+        terms = rng.choice(np.arange(100, 400), 30, replace=False).tolist() + [1] * int(a) + [2] * int(b)
+        examples.append(np.array(sorted(terms)))
+        labels.append(float(a == b))
+    labels = np.array(labels)
+    model = toxicity.fit(examples[:2000], labels[:2000])
+    assert model.slots[1] >= 0 and model.slots[2] >= 0 and model.factors[model.slots[1]] @ model.factors[model.slots[2]] > 0.5
+    slots = [model.slots[x][model.slots[x] >= 0] for x in examples[2000:]]
+    margin = np.array([model.bias + model.weights[s].sum() + 0.5 * ((model.factors[s].sum(0) ** 2) - (model.factors[s] ** 2).sum(0)).sum() for s in slots])
+    assert ((margin > 0) == labels[2000:]).mean() > 0.95
+
+
+def test_score_is_the_formula_over_all_pairs():
+    rng = np.random.default_rng(2)
+    texts = ["", None, "one", "One one TWO", "two, three four", "five one two three"]
+    slots = np.full(toxicity.BUCKETS, -1)
+    buckets = {}
+    for _, rows, row, bucket in toxicity._terms(pa.array(texts)):
+        for k in range(rows):
+            buckets[k] = bucket[row == k]
+    known = np.unique(np.concatenate(list(buckets.values())))[1:]  # one term is unknown
+    slots[known] = np.arange(len(known))
+    model = toxicity.FactorizationMachine(-0.3, slots, rng.normal(size=len(known)), rng.normal(size=(len(known), 3)))
+    for k, score in enumerate(model.scores(pa.array(texts))):
+        at = [slots[b] for b in buckets[k] if slots[b] >= 0]
+        margin = -0.3 + sum(model.weights[i] for i in at) + sum(
+            model.factors[i] @ model.factors[j] for n, i in enumerate(at) for j in at[:n])
+        assert abs(score - 1 / (1 + np.exp(-margin))) < 1e-9
+
+
 def test_classifiers_on_odd_input(spark):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 1), (3, None, None), (9, 1, 1)], LABELS)
     for df in (awkward(spark), nothing(spark)):
