@@ -67,6 +67,18 @@ def lookup_enrich(df: DataFrame, lookup: DataFrame, key: str, value: str, defaul
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
+def join_copartitioned(left: DataFrame, right: DataFrame, keys: Sequence[str], partitions: int, how: str = "inner") -> DataFrame:
+    """Join of two sides that were dealt to the same partitions by their keys, which the join uses as they are.
+
+    ``same_place`` tells of each row whether both sides of it lay in one partition
+    (null where a side has no row), so the placement can be checked."""
+    keys = list(keys)
+    a = left.repartition(partitions, *keys).withColumn("__left_place", F.spark_partition_id())
+    b = right.repartition(partitions, *keys).withColumn("__right_place", F.spark_partition_id())
+    joined = a.join(b.hint("merge"), keys, how)
+    return joined.withColumn("same_place", F.col("__left_place") == F.col("__right_place")).drop("__left_place", "__right_place")
+
+
 def agg_then_join(
     left: DataFrame,
     right: DataFrame,

@@ -52,8 +52,8 @@ def log_to_pairs(logs: DataFrame) -> DataFrame:
 
 
 def day_of(column: str = "stamp") -> Column:
-    """Day of the month at the head of the log time stamp."""
-    return F.substring(column, 1, 2).cast("int")
+    """The date at the head of the log time stamp; a month's days don't fall together with another's."""
+    return F.to_date(F.substring(column, 1, 11), "dd/MMM/yyyy")
 
 
 def content_stats(logs: DataFrame) -> DataFrame:

@@ -23,7 +23,9 @@ def salt_of(columns: Sequence[str], n: int) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: at most ``1/share`` of them."""
+    """Keys holding more than ``share`` of all rows: at most ``1/share`` of them, and so a million at most."""
+    if not 1e-6 <= share < 1:
+        raise ValueError(f"a share of {share} would not bound the hot keys; use one from 1e-6 to 1")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     return counts.filter(F.col("n") > share * total).select(*keys)
@@ -42,7 +44,8 @@ def join_salted(
 
     Each fact row gets one salt and each dimension row one copy per salt.  With
     ``hot_share`` only keys above that share of the rows are salted, so the
-    rest of the dimension is not copied.
+    rest of the dimension is not copied.  Without ``salt_by`` all columns of the
+    fact make the salt and are read: name a few, or select what is needed first.
     """
     if how not in ("inner", "left"):
         raise ValueError("salting keeps fact rows once: inner or left only")
@@ -92,7 +95,8 @@ def agg_salted(
         names = [f"__{name}_{i}" for i in range(2)]
         partial += [agg.alias(alias) for agg, alias in zip(make(F.col(column)), names)]
         final.append(merge([F.col(alias) for alias in names]).alias(name))
-    salted = df.withColumn(SALT, salt_of(salt_by or df.columns, n))
+    # Only what the aggregate reads anyway: a salt over all columns would read them all.
+    salted = df.withColumn(SALT, salt_of(salt_by or list(dict.fromkeys([*keys, *[c for _, c in outputs.values()]])), n))
     return salted.groupBy(*keys, SALT).agg(*partial).groupBy(*keys).agg(*final)
 
 

@@ -265,11 +265,14 @@ def _(t):
     return out.withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("class_split_check", "SELECT label, count(*) AS n FROM embeddings GROUP BY 1")
+@query("class_split_check", "SELECT label, count(*) AS n, true AS parted FROM embeddings GROUP BY 1")
 def _(t):
+    """Rows per class over both parts; the smaller part has about a fifth of all rows."""
     parts = split_rows(t.embeddings, ["vec_id"], [0.8, 0.2], seed=2)
-    counted = [p.groupBy("label").agg(N().alias("n")) for p in parts]
-    return counted[0].unionByName(counted[1]).groupBy("label").agg(F.sum("n").alias("n"))
+    counted = [p.groupBy("label").agg(N().alias("n")).withColumn("part", F.lit(k)) for k, p in enumerate(parts)]
+    both = counted[0].unionByName(counted[1])
+    small, total = both.agg(F.sum(F.when(F.col("part") == 1, F.col("n")).otherwise(0)), F.sum("n")).first()
+    return both.groupBy("label").agg(F.sum("n").alias("n")).withColumn("parted", F.lit(0.1 < small / total < 0.3))
 
 
 @query("agg_year_filtered_avg", """
@@ -299,7 +302,7 @@ GROUP BY 1"""
 
 
 def _measured(t):
-    fact = S.make_skew(t.lineitem, "l_partkey", F.col("l_partkey") % 10 < 3, -1, "hot")
+    fact = S.make_skew(t.lineitem, "l_partkey", F.col("l_partkey") % 10 < 3, -1, "hot").select("hot", "l_quantity")
     dim = S.make_skew(t.part, "p_partkey", F.col("p_partkey") % 10 < 3, -1, "hot").groupBy("hot").agg(F.max("p_retailprice").alias("price"))
     return fact, dim
 

@@ -6,6 +6,7 @@ from broadloom.operators import joins as J
 from broadloom.operators import skew as S
 from broadloom.operators.relational import expand_by_list
 from broadloom.plans.sizing import broadcast_checked
+from broadloom.operators.layout import misplaced_keys
 from broadloom.queries.registry import query
 
 # Two per-customer, per-year tables whose keys overlap only in part.
@@ -222,6 +223,21 @@ def _(t):
 
 
 @query("join_copartitioned", """
+SELECT o_orderpriority, count(*) AS n, sum(l_quantity) AS qty, true AS together, 0::BIGINT AS misplaced
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def _(t):
+    """Lines and orders dealt alike; no key of either side lies in two partitions."""
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("k"), "l_quantity")
+    orders = t.orders.select(F.col("o_orderkey").alias("k"), "o_orderpriority")
+    joined = J.join_copartitioned(lines, orders, ["k"], n)
+    lost = sum(misplaced_keys(side.repartition(n, "k"), ["k"]).count() for side in (lines, orders))
+    return joined.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"), F.every("same_place").alias("together")).withColumn(
+        "misplaced", F.lit(lost).cast("long"))
+
+
+@query("join_reduced_sides", """
 WITH a AS (SELECT l_partkey AS k, sum(l_quantity) AS qty FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1),
      b AS (SELECT l_partkey AS k, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
 SELECT k, qty, n FROM a JOIN b USING (k)""")

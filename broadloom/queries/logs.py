@@ -78,17 +78,17 @@ def _(t):
     return L.unique_hosts(logs(t))
 
 
-@query("log_daily_hosts", LOGS + "SELECT substr(stamp, 1, 2)::INTEGER AS day, count(DISTINCT host) AS hosts FROM logs GROUP BY 1")
+@query("log_daily_hosts", LOGS + "SELECT strptime(substr(stamp, 1, 11), '%d/%b/%Y')::DATE AS day, count(DISTINCT host) AS hosts FROM logs GROUP BY 1")
 def _(t):
     return L.daily_hosts(logs(t))
 
 
-@query("log_daily_requests", LOGS + "SELECT substr(stamp, 1, 2)::INTEGER AS day, count(*) AS requests FROM logs GROUP BY 1")
+@query("log_daily_requests", LOGS + "SELECT strptime(substr(stamp, 1, 11), '%d/%b/%Y')::DATE AS day, count(*) AS requests FROM logs GROUP BY 1")
 def _(t):
     return L.daily_requests(logs(t))
 
 
-@query("log_daily_avg_per_host", LOGS + "SELECT substr(stamp, 1, 2)::INTEGER AS day, (count(*) // count(DISTINCT host))::BIGINT AS per_host FROM logs GROUP BY 1")
+@query("log_daily_avg_per_host", LOGS + "SELECT strptime(substr(stamp, 1, 11), '%d/%b/%Y')::DATE AS day, (count(*) // count(DISTINCT host))::BIGINT AS per_host FROM logs GROUP BY 1")
 def _(t):
     return L.daily_requests_per_host(logs(t))
 

@@ -316,9 +316,16 @@ def _(t):
 @query("stream_progress_log", "SELECT 0::BIGINT AS batch, count(*)::BIGINT AS rows, true AS has_offsets FROM events")
 def _(t):
     out = shared_path(t.spark, "stream-out")
-    done = K.finish(K.start_stream(_stream(t), shared_path(t.spark, "stream-state"), "append", format="parquet", path=out))
+    listener = P.ProgressListener(t.spark, shared_path(t.spark, "progress"))
+    t.spark.streams.addListener(listener)
+    try:
+        done = K.finish(K.start_stream(_stream(t), shared_path(t.spark, "stream-state"), "append", format="parquet", path=out))
+        listener.wait_for_end(done.id)
+    finally:
+        t.spark.streams.removeListener(listener)
     has = F.col("end_offset").isNotNull() & F.col("source").isNotNull()
-    return P.recent_progress(t.spark, done).filter("rows > 0").select("batch", "rows", has.alias("has_offsets"))
+    mine = listener.as_table().filter(F.col("query") == str(done.id))
+    return mine.filter("event = 'progress' AND rows > 0").select("batch", "rows", has.alias("has_offsets"))
 
 
 @query("stream_resume", "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")

@@ -42,6 +42,8 @@ class ProgressListener(StreamingQueryListener):
         self.pending: list[tuple] = []
         self.lock = threading.Lock()
         self.written = False
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
 
     def _add(self, rows: list[tuple]) -> None:
         with self.lock:
@@ -66,6 +68,15 @@ class ProgressListener(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         self._add([(str(event.id), "terminated", None, None, None, None, None)])
+        with self.news:
+            self.ended.add(str(event.id))
+            self.news.notify_all()
+
+    def wait_for_end(self, query_id, seconds: float = 60) -> None:
+        """Wait until the events of a query have all come in; they arrive a little after the query has ended."""
+        with self.news:
+            if not self.news.wait_for(lambda: str(query_id) in self.ended, seconds):
+                raise TimeoutError(f"query {query_id} has not reported its end")
 
     def as_table(self) -> DataFrame:
         with self.lock:
