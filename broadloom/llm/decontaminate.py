@@ -38,6 +38,8 @@ LEAST_PIECE = 7
 LEAST_RUN = 13
 #: Of the words from the first to the last of an overlap, this share is equal.
 SIMILARITY = 0.75
+#: Hits that are held at a time.
+SLICE_HITS = 1 << 20
 
 _OVERLAP = "doc_id long, item_id long, first_word long, item_first_word long, n_words long, equal_words long, item_words long"
 
@@ -53,7 +55,6 @@ def _masked(words: np.ndarray, mask: str) -> np.ndarray:
             total = (total + words[k:k + count]) * np.uint64(0x9E3779B97F4A7C15)
     return mix(total)
 
-
 class Block:
     """Some benchmark items: their words, and for each mask the sorted window hashes."""
 
@@ -91,9 +92,10 @@ class Block:
         order = np.argsort(value[place], kind="stable")
         return value[place][order], place[order]
 
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the texts, place in the block) of every window with equal masked words, within one text each."""
-        here, there = [], []
+    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in the texts, place in the block) of every window with equal masked words, within one text each.
+
+        In slices of about ``SLICE_HITS``: windows that repeat on both sides give the product of their numbers."""
         text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
         for (mask, sorted_value, place), known in zip(self.masks, self.filters):
             value = _masked(words.hashes, mask)
@@ -101,20 +103,33 @@ class Block:
             at = at[text[at] == text[at + len(mask) - 1]] if len(at) else at
             low = np.searchsorted(sorted_value, value[at], side="left")
             count = np.searchsorted(sorted_value, value[at], side="right") - low
-            here.append(np.repeat(at, count))
-            step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            there.append(place[np.repeat(low, count) + step])
-        return np.concatenate(here), np.concatenate(there)
+            at, low, count = at[count > 0], low[count > 0], count[count > 0]
+            upto = np.cumsum(count)
+            begin = 0
+            while begin < len(at):
+                done = upto[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(upto, done + SLICE_HITS, side="right")))
+                n = count[begin:end]
+                step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                yield np.repeat(at[begin:end], n), place[np.repeat(low[begin:end], n) + step]
+                begin = end
+
+    def _diagonals(self, words: Words) -> np.ndarray:
+        """(text, item, shift) of the diagonals with a hit, in order: one number each while they are gathered."""
+        items, span = max(1, len(self.ids)), len(self.words) + len(words.hashes) + 1
+        keys = np.zeros(0, np.int64)
+        for here, there in self.hits(words):
+            text = np.searchsorted(words.first, here, side="right") - 1
+            found = np.unique((text * items + self.item[there]) * span + (here - there + len(self.words)))
+            keys = np.union1d(keys, found)
+        return np.stack([keys // span // items, keys // span % items, keys % span - len(self.words)], 1)
 
     def overlaps(self, words: Words) -> Iterator[tuple[int, int, int, int, int, int, int]]:
         """(text, item, first word, first item word, words, equal words, item's words): the longest of each text and item."""
-        here, there = self.hits(words)
-        if not len(here):
-            return
-        text = np.searchsorted(words.first, here, side="right") - 1
-        item = self.item[there]
         # One comparison for each diagonal of a text and an item.
-        keys = np.unique(np.stack([text, item, here - there], 1), axis=0)
+        keys = self._diagonals(words)
+        if not len(keys):
+            return
         cut = np.flatnonzero(np.concatenate([[True], (keys[1:, :2] != keys[:-1, :2]).any(1), [True]]))
         for low, high in zip(cut[:-1], cut[1:]):
             t, i = keys[low, :2].tolist()

@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from broadloom.llm.common import lean
+
 #: Postings sorted in one group, about.
 GROUP_ENTRIES = 400_000
 #: Rows of a batch packed at a time.
@@ -119,4 +121,4 @@ def shared_postings(rows: DataFrame, postings: Callable[[pa.RecordBatch], Postin
                 number += 1
 
     out = ", ".join(["token long", "owner long", "often long", *(f"{k} long" for k in fields)])
-    return rows.mapInArrow(run, kind).groupBy("part", "salt").applyInArrow(_grouped(fields), out)
+    return rows.mapInArrow(lean(run), kind).groupBy("part", "salt").applyInArrow(_grouped(fields), out)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
-from broadloom.llm.common import stored, text_parts
+from broadloom.llm.common import forget, lean, stored, text_parts
 from broadloom.llm.prefixes import PrefixJoin, linked_components
 from broadloom.llm.words import SHINGLE, Words, mix, shingle_hashes
 
@@ -165,10 +165,15 @@ def _class_links(shared: DataFrame, rows: DataFrame) -> DataFrame | None:
     wanted = places.groupBy(F.col("at.owner").alias("owner")).agg(F.sort_array(F.collect_set("at.first")).alias("firsts"))
     sets = stored(
         rows.join(wanted, rows["doc_id"] == wanted["owner"]).select("text", "firsts")
-        .mapInArrow(_class_sets, "node long, shingles binary").dropDuplicates(["node"]), "paragraphs")
+        .mapInArrow(lean(_class_sets), "node long, shingles binary").dropDuplicates(["node"]), "paragraphs")
+    forget(held)
     if sets.isEmpty():
         return None
-    return linked_components(PrefixJoin.of(sets, round(100 * SIMILARITY)))
+    ready = PrefixJoin.of(sets, round(100 * SIMILARITY))
+    found = linked_components(ready)
+    links = stored(found, "links")
+    forget(sets, ready.postings, *found.parts)
+    return links
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,6 +252,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     hubs = found.groupBy("cluster").agg(F.min(F.struct("doc_id", "first")).alias("hub"), F.max("doc_id").alias("most"))
     hubs = hubs.where(F.col("hub.doc_id") < F.col("most")).select("cluster", F.col("hub.doc_id").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
     held = stored(found.join(hubs, "cluster").select("doc_id", "first", "size", "cluster", "hub_doc", "hub_first"), "held")
+    forget(shared, links)
     again = held.where("doc_id <> hub_doc")
     # Paragraphs that follow each other in both documents are one run; its ends are then sought word by word.
     order = Window.partitionBy("doc_id").orderBy("first", "hub_doc", "hub_first")
@@ -265,15 +271,20 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     wanted = places.groupBy(F.col("doc_id").alias("owner")).agg(F.collect_list(F.struct("first", "size")).alias("runs"))
     around = stored(
         rows.join(wanted, rows["doc_id"] == wanted["owner"]).select("doc_id", "text", "runs.first", "runs.size")
-        .mapInArrow(_contexts, "doc_id long, first long, size long, before binary, after binary")
+        .mapInArrow(lean(_contexts), "doc_id long, first long, size long, before binary, after binary")
         .dropDuplicates(["doc_id", "first", "size"]), "contexts")
     hub = around.select(
         F.col("doc_id").alias("hub_doc"), F.col("first").alias("hub_first"), "size",
         F.col("before").alias("hub_before"), F.col("after").alias("hub_after"))
     pairs = runs.join(around, ["doc_id", "first", "size"]).join(hub, ["hub_doc", "hub_first", "size"])
     kind = "doc_id long, first_word long, n_words long, kept_doc_id long, kept_first_word long, cluster long"
-    return pairs.mapInArrow(_extents(least_words), kind).union(_exact_passages(rows, held, least_words)).dropDuplicates(
-        ["doc_id", "first_word", "n_words", "kept_doc_id", "kept_first_word"])
+    similar = stored(pairs.mapInArrow(lean(_extents(least_words)), kind), "similar")
+    forget(runs, around)
+    windows, exact = _exact_passages(rows, held, least_words)
+    out = stored(similar.union(exact).dropDuplicates(
+        ["doc_id", "first_word", "n_words", "kept_doc_id", "kept_first_word"]), "repeated")
+    forget(held, similar, windows)
+    return out
 
 
 def _windows(least: int):
@@ -321,8 +332,8 @@ def _windows(least: int):
     return run
 
 
-def _exact_passages(rows: DataFrame, held: DataFrame, least: int) -> DataFrame:
-    """Runs of windows of ``least`` words that a document of a smaller doc_id has too, in the columns of a passage.
+def _exact_passages(rows: DataFrame, held: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Written windows, and the runs of windows of ``least`` words that a document of a smaller doc_id has too, in the columns of a passage.
 
     Each window has its own kept document, the first that holds the whole of it,
     whatever documents hold its paragraphs one by one.  The cluster of a passage
@@ -347,7 +358,7 @@ def _exact_passages(rows: DataFrame, held: DataFrame, least: int) -> DataFrame:
     numbered = again.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(order))
     found = numbered.groupBy("owner", "run").agg(
         F.min(F.struct("first", "hub_doc", "hub_first", "token")).alias("at"), F.max("first").alias("last"))
-    return found.select(
+    return shared, found.select(
         F.col("owner").alias("doc_id"), F.col("at.first").alias("first_word"), (F.col("last") - F.col("at.first") + least).alias("n_words"),
         F.col("at.hub_doc").alias("kept_doc_id"), F.col("at.hub_first").alias("kept_first_word"), F.col("at.token").alias("cluster"))
 

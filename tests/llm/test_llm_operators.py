@@ -331,6 +331,23 @@ def test_perfect_hash_is_minimal():
 # ---------------------------------------------------------------- classifiers
 
 
+def test_repetitive_texts_and_items_take_bounded_memory(monkeypatch):
+    """Equal words on both sides give the product of their numbers in hits: they are held a slice at a time."""
+    import tracemalloc
+
+    from broadloom.llm.words import Words
+    raw = ("same " * 3_000).encode()
+    words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), decontaminate.MARKS)
+    block = decontaminate.Block([(7, "same " * 600), (8, "other " * 30)])
+    whole = list(block.overlaps(words))
+    monkeypatch.setattr(decontaminate, "SLICE_HITS", 10_000)
+    tracemalloc.start()
+    assert list(block.overlaps(words)) == whole == [(0, 0, 0, 0, 600, 600, 600)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # 1.8 million hits a mask would be 29 MB
+
+
 def test_machine_learns_a_pair_that_no_sum_can():
     rng = np.random.default_rng(1)
     examples, labels = [], []
