@@ -12,6 +12,7 @@ from broadloom.operators import skew as K
 from broadloom.operators import windows as W
 from broadloom.operators.topk import topk_distinct
 from broadloom.plans import broadcast_checked, measure_side, plan_facts
+from broadloom.plans.sizing import source_bytes
 from broadloom.queries import layout, registered
 from broadloom.queries.registry import Tables
 from broadloom.session import shared_path
@@ -93,6 +94,19 @@ def test_broadcast_needs_a_measured_size(spark, static_plans, lineitem):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_side_from_large_files_is_not_run_to_be_measured(spark, static_plans, lineitem):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        boom = F.raise_error(F.lit("the side was run")).cast("long")
+        side = lineitem.select("l_partkey", F.when(F.col("l_quantity") >= 0, boom).alias("x"))
+        assert source_bytes(side) > 10_000
+        joined = lineitem.join(broadcast_checked(side, max_bytes=1_000), "l_partkey")
+        assert plan_facts(joined).count("BroadcastHashJoin") == 0
+        assert source_bytes(spark.range(5)) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_merge_hint_and_top_k(spark, static_plans, lineitem):
     orders = files.table(spark, FOLDER, "orders")
     facts = plan_facts(lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")))
