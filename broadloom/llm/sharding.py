@@ -1,7 +1,8 @@
 """Uniform shuffle into shards of exact sizes (law ``rows``), without Python on the executors.
 
-Every source partition learns how many of its rows go to each shard from a
-matrix drawn by the multivariate hypergeometric law; it permutes its rows,
+Every source (a partition, or neighbouring partitions of a very large table)
+learns how many of its rows go to each shard from a matrix drawn by the
+multivariate hypergeometric law; it permutes its rows,
 deals them out by the matrix, and each shard permutes what it got.  The
 outcome is a uniform random assignment of all rows to all slots, and the
 shard sizes are exact: they differ by one row at most.
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from broadloom.llm.common import stored
 
-#: Rows of a shard that are ordered in one task; larger shards are cut by the random key itself.
+#: Rows of a source or shard that are ordered in one task; larger ones are cut by the random key itself.
 BLOCK_ROWS = 1_000_000
+#: Rows of the matrix that the driver draws, at most; more partitions share one.
+MOST_SOURCES = 4_096
 
 
 def hypergeometric(rng: random.Random, good: int, bad: int, draws: int) -> int:
@@ -91,6 +94,10 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 11, block_rows:
         ),
         "shards",
     )
+    parts = dealt.agg(F.coalesce(F.max("source") + 1, F.lit(0))).first()[0]
+    if parts > MOST_SOURCES:
+        together = F.call_function("div", F.col("source").cast("long") * MOST_SOURCES, F.lit(parts)).cast("int")
+        dealt = dealt.withColumn("source", together)
     counts = {r["source"]: r["count"] for r in dealt.groupBy("source").count().collect()}
     total = sum(counts.values())
     sizes = [total // shards + (k < total % shards) for k in range(shards)]
@@ -103,26 +110,31 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 11, block_rows:
         rows.append((source, bounds))
     matrix = spark.createDataFrame(rows, "source int, bounds array<bigint>")
 
-    local = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "place"), "place")
+    first = dealt.withColumn("key", F.xxhash64(F.lit(seed), "source", "place"))
     sent = (
-        dealt.withColumn("nth", F.row_number().over(local) - 1)
+        _numbered(first, "source", math.ceil(max(counts.values(), default=0) / block_rows))
         .join(matrix, "source")
         .withColumn("shard", F.size(F.filter("bounds", lambda b: b <= F.col("nth"))))
-        .withColumn("key", F.xxhash64(F.lit(seed + 1), "shard", "source", "place"))
+        .select("row", "source", "place", "shard", F.xxhash64(F.lit(seed + 1), "shard", "source", "place").alias("key"))
     )
-    # The second permutation: order by key, in blocks of the key's range.
-    blocks = max(1, math.ceil(total / shards / block_rows))
+    # The second permutation, of what each shard got.
+    sent = stored(sent, "shards")
+    return _numbered(sent, "shard", math.ceil(total / shards / block_rows)).select("row.*", "shard", F.col("nth").alias("slot"))
+
+
+def _numbered(rows: DataFrame, group: str, blocks: int) -> DataFrame:
+    """``rows`` with ``nth``, the place in ``group`` from 0 in the order of the random ``key``, in ``blocks`` of the key's range."""
+    if blocks <= 1:
+        order = Window.partitionBy(group).orderBy("key", "source", "place")
+        return rows.withColumn("nth", (F.row_number().over(order) - 1).cast("long"))
     block = F.shiftright(F.shiftrightunsigned("key", 33) * F.lit(blocks), 31).cast("int")
-    sent = stored(sent.select("row", "shard", "key", "source", "place", block.alias("block")), "shards")
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sent.groupBy("shard", "block").count().select(
-        "shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("shard", "block").orderBy("key", "source", "place")
-    return (
-        sent.withColumn("nth", F.row_number().over(inside) - 1)
-        .join(offsets, ["shard", "block"])
-        .select("row.*", "shard", (F.col("offset") + F.col("nth")).alias("slot"))
-    )
+    cut = rows.withColumn("block", block)
+    before = Window.partitionBy(group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy(group, "block").count().select(
+        group, "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy(group, "block").orderBy("key", "source", "place")
+    placed = cut.withColumn("at", F.row_number().over(inside) - 1).join(offsets, [group, "block"])
+    return placed.withColumn("nth", F.col("offset") + F.col("at")).drop("block", "offset", "at")
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:

@@ -331,6 +331,23 @@ def test_perfect_hash_is_minimal():
 # ---------------------------------------------------------------- classifiers
 
 
+@pytest.mark.parametrize("most, block_rows", [(4_096, 1_000_000), (3, 40)])
+def test_shards_are_exact_and_uniform_with_few_sources_for_the_driver(spark, monkeypatch, most, block_rows):
+    monkeypatch.setattr(sharding, "MOST_SOURCES", most)
+    rows = spark.range(0, 1_200, 1, 17)
+    seen, total = Counter(), 0
+    for seed in range(6):
+        out = sharding.shuffle_into_shards(rows, 5, seed=seed, block_rows=block_rows).collect()
+        assert sorted(r["id"] for r in out) == list(range(1_200))
+        for shard in range(5):
+            assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(240))
+        # Where do the first 300 ids fall?  By quarter of each shard's slots, and by shard: uniformly.
+        seen.update((r["shard"], r["slot"] // 60) for r in out if r["id"] < 300)
+        total += 300
+    expected = total / 20
+    assert sum((seen[s, q] - expected) ** 2 / expected for s in range(5) for q in range(4)) < 43.8  # 19 degrees, 0.1 %
+
+
 def test_repetitive_texts_and_items_take_bounded_memory(monkeypatch):
     """Equal words on both sides give the product of their numbers in hits: they are held a slice at a time."""
     import tracemalloc
