@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -96,7 +95,6 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 
 def give_back() -> None:
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other systems than Linux have no such call
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -31,10 +31,8 @@ POSTINGS = ["node", "token", "more", "layer", "weight", "level", "n", *BITMAP]
 TOKEN = ["token", "more"]
 #: Levels go up to this share of a set's shingles.
 LEVEL_SHARE = 0.10
-#: Times at most that hubs are drawn, and hubs that a document is compared with from the third time on.
-HUB_ROUNDS, HUBS_TRIED = 4, 3
-#: Pairs that are left to compare for each posting, from which hubs are not drawn anew.
-FEW_PAIRS = 10
+#: Times that hubs are drawn.
+HUB_ROUNDS = 2
 #: Postings before one that must all be new to a pair.
 RECENT = 12
 #: Cost of verifying a candidate, in postings read.
@@ -167,15 +165,14 @@ def candidates(postings: DataFrame, lists: DataFrame, apart: F.Column, percent:
     return pairs.join(left, "a").join(right, "b").where(found >= F.least("level_a", "level_b")).select("a", "b")
 
 
-def _to_hubs(postings: DataFrame, hub: F.Column, percent: int, tried: int) -> DataFrame:
-    """(document, hub) for the ``tried`` hubs each document shares most shingles with."""
+def _to_hubs(postings: DataFrame, hub: F.Column, percent: int) -> DataFrame:
+    """(document, hub) for the hub each document shares most shingles with."""
     hubs = postings.groupBy(*TOKEN).agg(hub.alias("h")).select(*TOKEN, "h.*")
     return (
         postings.alias("p").join(
             hubs.alias("q"), _same_token() & (F.col("p.component") != F.col("q.component")) & _fitting(percent))
         .groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(F.sum("p.weight").alias("found"))
-        .groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct("found", "b")), asc=False), 1, tried).alias("best"))
-        .select("a", F.explode("best.b").alias("b"))
+        .groupBy("a").agg(F.max_by("b", F.struct("found", "b")).alias("b"))
     )
 
 
@@ -183,15 +180,14 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
     """(node, component) of the nodes with a link; the component is its smallest node.
 
     Nodes are first compared with one hub per posting, which settles groups of
-    near copies at a few comparisons each.  Hubs are drawn anew while that takes
-    away a good part of the pairs that are left; then nodes of different
-    components that share enough of their prefixes are compared pair by pair."""
-    links, known, pairs = None, None, None
+    near copies at a comparison each, and then with another one; what is still
+    apart and shares enough of its prefixes is compared pair by pair."""
+    links, known = None, None
     postings = ready.postings.withColumn("component", F.col("node"))
     whole = F.struct("node", "component", "n", *BITMAP)
     for k in range(HUB_ROUNDS):
         hub = F.max_by(whole, F.xxhash64("node", F.lit(k))) if k else F.min(whole)
-        verified = ready.verify(_to_hubs(postings, hub, ready.percent, 1 if k < 2 else HUBS_TRIED))
+        verified = ready.verify(_to_hubs(postings, hub, ready.percent))
         found = verified.select("a", "b")
         stars = components(found if links is None else links.union(found))
         before, known = known, stored(stars, "components")
@@ -206,11 +202,6 @@ def linked_components(ready: PrefixJoin) -> DataFrame:
             postings.join(open_tokens.where("x <> y").select(*TOKEN), TOKEN, "left_semi")
             .select(*POSTINGS, "component"), "open")
         forget(open_before)
-        held = postings.groupBy(*TOKEN).agg(F.count(F.lit(1)).alias("held"))
-        rows, left = held.agg(F.coalesce(F.sum("held"), F.lit(0)), F.coalesce(F.sum(F.expr("held * (held - 1) div 2")), F.lit(0))).first()
-        if k and (left <= FEW_PAIRS * rows or left > 0.8 * pairs):
-            break
-        pairs = left
     apart = F.col("p.component") < F.col("q.component")
     last = ready.verify(candidates(postings, ready.lists(), apart, ready.percent))
     out = components(links.union(last.select("a", "b")))

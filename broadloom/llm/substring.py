@@ -336,31 +336,40 @@ def _exact_passages(rows: DataFrame, held: DataFrame, least: int) -> tuple[DataF
     """Written windows, and the runs of windows of ``least`` words that a document of a smaller doc_id has too, in the columns of a passage.
 
     Each window has its own kept document, the first that holds the whole of it,
-    whatever documents hold its paragraphs one by one.  The cluster of a passage
-    is the hash range of its first window."""
+    whatever documents hold its paragraphs one by one.  Passages that begin
+    alike have the same kept place, whose hash is their cluster."""
     lists = held.groupBy(F.col("doc_id").alias("owner")).agg(F.collect_set("first").alias("firsts"))
     texts = rows.join(lists, rows["doc_id"] == lists["owner"]).select("doc_id", "text", "firsts")
     entries = 2 * held.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     shared = stored(
         ranges.shared_postings(texts, _windows(least), {"high": "<u4", "first": "<u4"}, ranges.group_count(entries))
         .select("token", "high", "owner", "first"), "windows")
-    hubs = shared.groupBy("token", "high").agg(F.min(F.struct("owner", "first")).alias("hub"), F.max("owner").alias("most"))
+    # Both halves of the hash in one number: it alone is grouped, sorted and joined on.
+    window = F.shiftleft("high", 32).bitwiseOR(F.col("token").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).alias("window")
+    held_windows = shared.select(window, "owner", "first")
+    hubs = held_windows.groupBy("window").agg(F.min(F.struct("owner", "first")).alias("hub"), F.max("owner").alias("most"))
     hubs = hubs.where(F.col("hub.owner") < F.col("most")).select(
-        "token", "high", F.col("hub.owner").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
-    again = shared.join(hubs, ["token", "high"]).where("owner <> hub_doc")
+        "window", F.col("hub.owner").alias("hub_doc"), F.col("hub.first").alias("hub_first"))
+    again = held_windows.join(hubs, "window").where("owner <> hub_doc").drop("window")
     order = Window.partitionBy("owner").orderBy("first", "hub_doc", "hub_first")
+
     # In repetitive text the kept place moves back or stays: still one run.
-    new = (
-        (F.lag("hub_doc").over(order) != F.col("hub_doc"))
-        | (F.lag("first").over(order) + 1 < F.col("first"))
-        | (F.lag("hub_first").over(order) + 1 < F.col("hub_first"))
-    )
-    numbered = again.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(order))
+    def apart(step, from_other: bool) -> F.Column:
+        this, other = ({c: f(c) for c in ("hub_doc", "first", "hub_first")} for f in (F.col, lambda c: step(c).over(order)))
+        early, late = (other, this) if from_other else (this, other)
+        return F.coalesce(
+            (early["hub_doc"] != late["hub_doc"]) | (early["first"] + 1 < late["first"]) | (early["hub_first"] + 1 < late["hub_first"]),
+            F.lit(True))
+
+    # Only the ends of the runs go on; a run of one window is both.
+    ends = again.withColumns({"begins": apart(F.lag, True), "ends": apart(F.lead, False)}).where("begins OR ends")
+    numbered = ends.withColumn("run", F.sum(F.col("begins").cast("int")).over(order))
     found = numbered.groupBy("owner", "run").agg(
-        F.min(F.struct("first", "hub_doc", "hub_first", "token")).alias("at"), F.max("first").alias("last"))
+        F.min(F.struct("first", "hub_doc", "hub_first")).alias("at"), F.max("first").alias("last"))
     return shared, found.select(
         F.col("owner").alias("doc_id"), F.col("at.first").alias("first_word"), (F.col("last") - F.col("at.first") + least).alias("n_words"),
-        F.col("at.hub_doc").alias("kept_doc_id"), F.col("at.hub_first").alias("kept_first_word"), F.col("at.token").alias("cluster"))
+        F.col("at.hub_doc").alias("kept_doc_id"), F.col("at.hub_first").alias("kept_first_word"),
+        F.xxhash64("at.hub_doc", "at.hub_first").alias("cluster"))
 
 
 def _cut(texts: pa.Array, firsts: pa.Array, sizes: pa.Array) -> pa.Array:
