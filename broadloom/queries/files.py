@@ -83,12 +83,7 @@ def _(t):
     return _flat(files.scan_json(t.spark, path, schema))
 
 
-@query("format_size_report")
-def _(t):
-    return files.format_size_report(t.lineitem, shared_path(t.spark, "sizes"))
-
-
-@query("format_size_check", "SELECT f AS format, count(*) AS n, true AS has_bytes FROM lineitem, (VALUES ('orc'), ('parquet'), ('json')) v(f) GROUP BY 1")
+@query("format_size_report", "SELECT f AS format, count(*) AS n, true AS has_bytes FROM lineitem, (VALUES ('orc'), ('parquet'), ('json')) v(f) GROUP BY 1")
 def _(t):
     """Every format has bytes and gives all rows back."""
     path = shared_path(t.spark, "sizes")

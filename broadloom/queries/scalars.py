@@ -127,9 +127,17 @@ def _(t):
     return t.orders.select("o_orderkey", U.make_capitalise()("o_orderpriority").alias("priority"))
 
 
-@query("udf_variant_symbol")
-def _(t):
-    return t.part.select("p_partkey", S.variant_symbol("p_type", ["p_partkey"]).alias("variant"))
+@query("udf_variant_symbol", "SELECT p_partkey, upper(p_type) AS letters, true AS one_lowered, true AS digit FROM part")
+def _(t):
+    """The variant's letters but for case, whether one at most was lowered, and whether a digit follows."""
+    variant = S.variant_symbol("p_type", ["p_partkey"])
+    rows = t.part.select("p_partkey", "p_type", variant.alias("variant"))
+    word = F.substring("variant", F.lit(1), F.length("variant") - 1)
+    changed = F.filter(
+        F.arrays_zip(F.split(word, "").alias("a"), F.split("p_type", "").alias("b")), lambda pair: pair["a"] != pair["b"])
+    return rows.select(
+        "p_partkey", F.upper(word).alias("letters"), (F.size(changed) <= 1).alias("one_lowered"),
+        F.col("variant").rlike("[0-9]$").alias("digit"))
 
 
 @query("udf_vector", "SELECT vec_id, label::INTEGER AS idx FROM embeddings")
