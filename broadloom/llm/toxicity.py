@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadloom.llm.common import fold, text_parts
+from broadloom.llm.common import fold, give_back, text_parts
 from broadloom.llm.words import MARKS, Words
 
 BUCKETS = 1 << 18
@@ -28,7 +28,7 @@ LEAST_DOCUMENTS = 3
 LEAST_CONTRAST = 3.0
 #: Terms whose pairs are looked at, standard errors by which the effect of one must depend on the other for both to
 #: enter the fit, and documents that each cell of such a pair needs.
-PAIR_TERMS, PAIR_CONTRAST, LEAST_CELL = 1_024, 6.0, 25
+PAIR_TERMS, PAIR_CONTRAST, LEAST_CELL = 512, 6.0, 25
 
 
 def _terms(column: pa.Array, known: np.ndarray | None = None):
@@ -75,37 +75,44 @@ def contrast(ones: np.ndarray, counts: np.ndarray, marked: int, total: int) -> n
     return np.abs(ones / max(marked, 1) - (counts - ones) / max(total - marked, 1)) / np.maximum(error, 1e-12)
 
 
-def interacting(examples: list[np.ndarray], labels: np.ndarray, counts: np.ndarray, slice_rows: int = 1_000) -> np.ndarray:
+def interacting(examples: list[np.ndarray], labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Buckets whose presence changes what another one says about the label, also where neither says anything alone.
 
     Of the ``PAIR_TERMS`` most frequent terms every pair is looked at: the effect of
     one on the share of marked documents, with and without the other, must differ
-    by ``PAIR_CONTRAST`` standard errors.  Two terms of additive effect don't."""
+    by ``PAIR_CONTRAST`` standard errors.  Two terms of additive effect don't.
+    Documents are bits, one row of them a term, so a pair is an AND and a count."""
     top = np.argsort(-counts, kind="stable")[:PAIR_TERMS]
     top = np.sort(top[counts[top] >= LEAST_CELL])
     if not len(top) or not len(examples):
         return np.zeros(0, np.int64)
-    place = np.full(BUCKETS, -1, np.int64)
+    place = np.full(BUCKETS, -1, np.int32)
     place[top] = np.arange(len(top))
-    both, both_marked = np.zeros((len(top), len(top))), np.zeros((len(top), len(top)))
-    for low in range(0, len(examples), slice_rows):
-        some = examples[low:low + slice_rows]
-        held = np.zeros((len(some), len(top)), np.float32)
-        for k, x in enumerate(some):
-            at = place[x]
-            held[k, at[at >= 0]] = 1
-        both += held.T @ held
-        marked = held[labels[low:low + slice_rows] > 0]
-        both_marked += marked.T @ marked
+    held = np.zeros((len(top), len(examples)), bool)
+    for k, x in enumerate(examples):
+        at = place[x]
+        held[at[at >= 0], k] = True
+    bits, marked = np.packbits(held, axis=1), np.packbits(labels > 0)
+    del held
+    both = np.empty((len(top), len(top)), np.float32)
+    both_marked = np.empty_like(both)
+    for k in range(len(top)):
+        shared = bits & bits[k]
+        both[k] = np.bitwise_count(shared).sum(1)
+        both_marked[k] = np.bitwise_count(shared & marked).sum(1)
     n, ones, total, all_marked = np.diag(both), np.diag(both_marked), len(examples), float((labels > 0).sum())
     # The four cells of a pair: both terms, one, the other, none.
-    cells = [both, n[:, None] - both, n[None, :] - both, total - n[:, None] - n[None, :] + both]
-    hits = [both_marked, ones[:, None] - both_marked, ones[None, :] - both_marked, all_marked - ones[:, None] - ones[None, :] + both_marked]
-    share = [(h + 2) / (c + 4) for h, c in zip(hits, cells)]
-    effect = (share[0] - share[1]) - (share[2] - share[3])
-    error = np.sqrt(sum(p * (1 - p) / (c + 4) for p, c in zip(share, cells)))
-    enough = np.minimum.reduce(cells) >= LEAST_CELL
-    found = enough & (np.abs(effect) >= PAIR_CONTRAST * error)
+    effect, error = np.zeros_like(both), np.zeros_like(both)
+    enough = np.ones(both.shape, bool)
+    for sign, cell, hits in (
+        (1, both, both_marked), (-1, n[:, None] - both, ones[:, None] - both_marked), (-1, n[None, :] - both, ones[None, :] - both_marked),
+        (1, total - n[:, None] - n[None, :] + both, all_marked - ones[:, None] - ones[None, :] + both_marked),
+    ):
+        share = (hits + 2) / (cell + 4)
+        effect += sign * share
+        error += share * (1 - share) / (cell + 4)
+        enough &= cell >= LEAST_CELL
+    found = enough & (np.abs(effect) >= PAIR_CONTRAST * np.sqrt(error))
     np.fill_diagonal(found, False)
     return top[found.any(1)]
 
@@ -196,7 +203,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", parts: int =
     sample = labelled_sample(docs, labels, label, parts, left_out, rows).select("labelled_id", "label", "body")
     kind = f"labelled_id {dict(sample.dtypes)['labelled_id']}, label double, terms array<int>"
     found = sample.mapInArrow(_buckets, kind).dropDuplicates(["labelled_id"]).orderBy("labelled_id").toPandas()
-    return fit([np.asarray(x, np.int64) for x in found["terms"]], found["label"].to_numpy(float))
+    model = fit([np.asarray(x, np.int64) for x in found["terms"]], found["label"].to_numpy(float))
+    del found
+    give_back()
+    return model
 
 
 def score_column(model: FactorizationMachine, text: Column) -> Column:
