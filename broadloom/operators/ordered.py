@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -93,8 +94,8 @@ def group_stats(df: DataFrame, part: Sequence[str], group_limit: int = 0) -> Gro
 
 @dataclass(frozen=True)
 class Cuts:
-    """``table``: __key and __cuts (in order: the values v0, v1, … and whether one value fills chunks) of every
-    group that is cut; ``most``: a bound of the cuts of one group."""
+    """``table``: __key and __cuts (in order: the values r0, r1, … as ``_runs`` has them and whether one value fills
+    chunks) of every group that is cut; ``most``: a bound of the cuts of one group."""
 
     table: DataFrame
     most: int
@@ -131,30 +132,55 @@ def hot_cuts(df: DataFrame, part: Sequence[str], order: Sequence[str], group_lim
     keyed = with_key(sample, part).select("__key", *[F.col(f"`{n}`").alias(v) for v, n in zip(values, names)])
     picked = keyed.withColumn("at", F.row_number().over(Window.partitionBy("__key").orderBy(*sort))).filter(F.col("at") % step == 0)
     each = picked.groupBy("__key", *values).agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("picks"))
-    lists = each.groupBy("__key").agg(
-        F.sum("picks").alias("picks"), F.array_sort(F.collect_list(F.struct("at", *values, (F.col("picks") > 1).alias("fills")))).alias("__cuts"))
+    cut = F.struct("at", *_runs(order, values), (F.col("picks") > 1).alias("fills"))
+    lists = each.groupBy("__key").agg(F.sum("picks").alias("picks"), F.array_sort(F.collect_list(cut)).alias("__cuts"))
     table = materialised(lists.filter(F.col("picks") >= max(1, limit // rows)).select("__key", "__cuts"), "cuts")
     # A sample of s rows has its size within s / 2 + 64, as good as always.
     return None if table.isEmpty() else Cuts(table, int(1.5 * total / rows) + 64)
 
 
+def _directions(order: Sequence[str]) -> list[tuple[bool, list[int]]]:
+    """Neighbouring order keys of one direction: (ascending, their numbers)."""
+    return [(up, [i for i, _ in run]) for up, run in groupby(enumerate(order_keys(order)), lambda item: item[1].ascending)]
+
+
+def _runs(order: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    """The columns of the order keys as one struct for each run of one direction, r0, r1, …
+
+    Two structs compare as their rows sort, by one short function of compiled code; a test of every
+    column, written out, is too long for the compiler to translate and took ten times as long a row."""
+    return [F.struct(*[F.col(f"`{columns[i]}`").alias(f"v{i}") for i in run]).alias(f"r{k}") for k, (_, run) in enumerate(_directions(order))]
+
+
+def _reached(order: Sequence[str], cut: str) -> str:
+    """SQL test that the row of the structs ``__r0``, ``__r1``, … sorts at or after the cut."""
+    test = ""
+    for k, (up, _) in reversed([*enumerate(_directions(order))]):
+        here, there = f"__r{k}", f"{cut}.r{k}"
+        test = (f"({there} {'<' if up else '>'} {here} OR ({there} <=> {here} AND {test}))" if test
+                else f"{there} {'<=' if up else '>='} {here}")
+    return test
+
+
 def _placed(df: DataFrame, part: Sequence[str], order: Sequence[str], cuts: Cuts, spread: bool) -> DataFrame:
     """``df`` with __key, __hot (its group is cut), __chunk and __salt.
 
     A chunk's number is even between cuts and odd for a value that fills chunks;
     ``spread`` deals the rows of the latter to several tasks."""
-    keys = order_keys(order)
+    runs = _runs(order, [key.name for key in order_keys(order)])
     rows = with_key(df, part).join(F.broadcast(cuts.table), "__key", "left").withColumn("__at", F.lit(0))
-    # Search by two bits a step.  Each step is an element of its own, so that it is compiled code and no rule of
-    # the optimizer puts the steps into each other.
-    for bit in reversed(range(0, cuts.most.bit_length(), 2)):
+    # Search by two bits a step (one, if the tests are long).  The structs and each step are an element of their own,
+    # so that they are compiled code and no rule of the optimizer puts the steps into each other.
+    rows = rows.withColumn("__row", F.explode(F.array(F.struct(*runs)))).select("*", *[F.col(f"__row.r{k}").alias(f"__r{k}") for k in range(len(runs))])
+    width = 2 if len(runs) <= 2 else 1
+    for bit in reversed(range(0, cuts.most.bit_length(), width)):
         counted = []
-        for k in (1, 2, 3):
+        for k in range(1, 1 << width):
             ahead = k << bit
-            terms = [f"get(__cuts, __at + {ahead - 1}).v{i}" for i in range(len(keys))]
-            counted.append(f"CASE WHEN __at + {ahead} <= size(__cuts) AND {_at_or_after(keys, terms)} THEN {1 << bit} ELSE 0 END")
+            test = _reached(order, f"get(__cuts, __at + {ahead - 1})")
+            counted.append(f"CASE WHEN __at + {ahead} <= size(__cuts) AND {test} THEN {1 << bit} ELSE 0 END")
         rows = rows.withColumn("__next", F.explode(F.expr(f"array(__at + {' + '.join(counted)})"))).drop("__at").withColumnRenamed("__next", "__at")
-    same = " AND ".join(f"`{key.name}` <=> get(__cuts, __at - 1).v{i}" for i, key in enumerate(keys))
+    same = " AND ".join(f"__r{k} <=> get(__cuts, __at - 1).r{k}" for k in range(len(runs)))
     filled = F.expr(f"__at > 0 AND get(__cuts, __at - 1).fills AND {same}")
     rows = rows.select(
         *[F.col(f"`{c}`") for c in df.columns], "__key", F.col("__cuts").isNotNull().alias("__hot"),

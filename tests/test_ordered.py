@@ -163,3 +163,24 @@ def test_positions_shuffle_whole_rows_once(spark, static_plans):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     full = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(full) == 3  # the rows once; the counts per chunk, and by group
+
+
+def test_the_search_of_chunks_is_short_compiled_code(spark, static_plans):
+    """HotSpot leaves methods of more than 8,000 bytes to its interpreter, which took ten times as long a row."""
+    rows = spark.range(20_000).selectExpr("id % 3 AS k", "cast(id * 7919 % 1000 AS double) AS a", "id % 7 AS b", "timestamp_seconds(id) AS c", "id AS d", "-id AS e", "id * 2 AS f")
+    for order in (["a", "b", "c", "d", "e", "f"], ["a", "b desc", "c", "d desc", "e", "f desc"]):
+        cuts = O.hot_cuts(rows, ["k"], order, 1_000)
+        plan = O._placed(rows, ["k"], order, cuts, False).agg(F.sum("__chunk"))._jdf.queryExecution().executedPlan()
+        stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8_000
+
+
+def test_chunks_of_mixed_directions_nulls_and_odd_doubles(spark):
+    odd = "CASE id % 11 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') WHEN 2 THEN -0.0D WHEN 3 THEN 0.0D ELSE cast(id % 5 AS double) END"
+    rows = spark.range(6_000).selectExpr("nullif(id % 3, 2) AS k", f"{odd} AS a", "nullif(id % 6, 4) AS b", "id AS c")
+    for order in (["a", "b desc", "c"], ["a desc", "b", "c desc"], ["b desc", "a desc", "c"], ["b", "a", "c"]):
+        window = O.ordered_window(["k"], order)
+        want = rows.select("c", F.row_number().over(window).cast("long").alias("p"), F.rank().over(O.ordered_window(["k"], order[:2])).alias("r"))
+        got = O.with_position(rows, ["k"], order, "p", group_limit=200)
+        got = O.with_tie_functions(got, ["k"], order[:2], {"r": O.rank()}, group_limit=200).select("c", "p", "r")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
