@@ -2,16 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadloom.operators.ordered import group_stats
-from broadloom.session import materialised
+from broadloom.session import materialised, setting
 
 BLOCK_ITEMS = 1_000
+#: Rows or pairs a task groups at a time, about: what a task holds does not grow with the table.
+TASK_ROWS = 500_000
+#: As bytes of files, and of shuffled rows that may be put together in a task.
+TASK_BYTES = 16 << 20
 _SEED_ITEMS = 64
 
 
+@contextmanager
+def _tasks_for(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So small tasks, for the jobs inside the block, that each groups about ``TASK_ROWS`` rows."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    small = {"spark.sql.shuffle.partitions": max(now, -(-rows // TASK_ROWS)), "spark.sql.files.maxPartitionBytes": TASK_BYTES,
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES}
+    with ExitStack() as stack:
+        for key, value in small.items():
+            stack.enter_context(setting(spark, key, str(value)))
+        yield
+
+
+@dataclass(frozen=True)
+class BasketSizes:
+    """Items of the largest basket, and pairs of different items in all baskets."""
+
+    largest: int
+    pairs: int
+
+
+def basket_sizes(totals: DataFrame) -> BasketSizes:
+    """Counts only, one row to the driver."""
+    n = F.col("n")
+    row = totals.groupBy("basket").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.max(n), F.sum((n * (n - 1)).cast("decimal(38,0)"))).first()
+    return BasketSizes(row[0] or 0, int(row[1] or 0) // 2)
+
+
 def item_totals(lines: DataFrame, basket: str, item: str, quantity: str) -> DataFrame:
     """One row per (basket, item): summed quantity and summed squares.
 
@@ -28,7 +63,7 @@ def _same_item(totals: DataFrame) -> DataFrame:
     return own.select(F.col("item").alias("item_a"), F.col("item").alias("item_b"), "weight")
 
 
-def _cross_items(totals: DataFrame, block_items: int) -> DataFrame:
+def _cross_items(totals: DataFrame, block_items: int, sizes: BasketSizes | None = None) -> DataFrame:
     """Weights of pairs of different items.
 
     If a basket has more than ``block_items`` items, baskets are cut into blocks
@@ -36,7 +71,7 @@ def _cross_items(totals: DataFrame, block_items: int) -> DataFrame:
     no task meets more than ``block_items`` squared pairs of one basket at once.
     """
     rows = totals.select("basket", "item", "q")
-    if group_stats(rows, ["basket"], block_items).largest <= block_items:
+    if (sizes or basket_sizes(rows)).largest <= block_items:
         a, b = rows.alias("a"), rows.alias("b")
         pairs = a.join(b, (F.col("a.basket") == F.col("b.basket")) & (F.col("a.item") < F.col("b.item")))
         pairs = pairs.select(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"), (F.col("a.q") * F.col("b.q")).alias("w"))
@@ -67,19 +102,29 @@ def pair_cooccurrence(
     quantities.  A first look at the few items of largest E gives a weight the
     n-th pair certainly has, and items that cannot reach it with any partner
     are dropped before pairs are formed.  The per-basket totals are written to
-    the shared folder once, since every step reads them.
+    the shared folder once, since every step reads them.  The lines and the pairs
+    are counted first, and their shuffles get so many partitions that what a task
+    holds stays the same for tables of any size; so the n rows are made here.
     """
-    totals = materialised(item_totals(lines, basket, item, quantity), "basket-totals")
-    same = _same_item(totals)
-    energy = totals.groupBy("item").agg(F.sum(F.col("q") * F.col("q")).alias("e"))
-    seed = energy.orderBy(F.desc("e"), "item").limit(_SEED_ITEMS + 1).collect()
-    kept = totals
-    if len(seed) > _SEED_ITEMS:
-        chosen = totals.filter(F.col("item").isin([row["item"] for row in seed[:_SEED_ITEMS]]))
-        reached = _cross_items(chosen, block_items).unionByName(same).orderBy(F.desc("weight")).limit(n)
-        w, found = reached.agg(F.min("weight"), F.count(F.lit(1))).first()
-        if found == n and w > 0:
-            floor = (w * w / seed[0]["e"]) * (1 - 1e-9)
-            kept = totals.join(energy.filter(F.col("e") >= floor).select("item"), "item", "left_semi")
-    weights = _cross_items(kept, block_items).unionByName(same)
-    return weights.orderBy(F.desc("weight"), "item_a", "item_b").limit(n)
+    spark, heaviest = lines.sparkSession, [F.desc("weight"), F.col("item_a"), F.col("item_b")]
+    rows = lines.count()
+    with _tasks_for(spark, rows):
+        totals = materialised(item_totals(lines, basket, item, quantity), "basket-totals")
+        same = _same_item(totals)
+        energy = totals.groupBy("item").agg(F.sum(F.col("q") * F.col("q")).alias("e"))
+        seed = energy.orderBy(F.desc("e"), "item").limit(_SEED_ITEMS + 1).collect()
+        kept = totals
+        if len(seed) > _SEED_ITEMS:
+            chosen = totals.filter(F.col("item").isin([row["item"] for row in seed[:_SEED_ITEMS]]))
+            sizes = basket_sizes(chosen)
+            with _tasks_for(spark, max(rows, sizes.pairs)):
+                reached = _cross_items(chosen, block_items, sizes).unionByName(same).orderBy(F.desc("weight")).limit(n)
+                w, found = reached.agg(F.min("weight"), F.count(F.lit(1))).first()
+            if found == n and w > 0:
+                floor = (w * w / seed[0]["e"]) * (1 - 1e-9)
+                kept = totals.join(energy.filter(F.col("e") >= floor).select("item"), "item", "left_semi")
+        sizes = basket_sizes(kept)
+        with _tasks_for(spark, max(rows, sizes.pairs)):
+            weights = _cross_items(kept, block_items, sizes).unionByName(same)
+            top = materialised(weights.orderBy(*heaviest).limit(n), "top-pairs")
+    return top.orderBy(*heaviest)

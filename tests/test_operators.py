@@ -15,6 +15,7 @@ from broadloom.operators import logs as G
 from broadloom.operators import mutable as M
 from broadloom.operators import relational as R
 from broadloom.operators import skew as K
+from broadloom.operators import baskets
 from broadloom.operators.baskets import item_totals, pair_cooccurrence, pair_weights
 from broadloom.session import prepare
 from broadloom.streaming.progress import resolve_start_offsets
@@ -140,6 +141,17 @@ def test_pairs_when_few_exist(spark):
     assert [tuple(r) for r in pair_cooccurrence(df, "basket", "item", "q", 10).collect()] == [("a", "b", 6)]
 
 
+def test_tasks_of_basket_pairs_keep_their_size(spark, monkeypatch):
+    """More lines and pairs mean more shuffle partitions, whatever the session's number; it is the session's again after."""
+    before, seen, write = spark.conf.get("spark.sql.shuffle.partitions"), [], baskets.materialised
+    monkeypatch.setattr(baskets, "materialised", lambda df, label: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or write(df, label))
+    monkeypatch.setattr(baskets, "TASK_ROWS", 50)
+    df = spark.range(1_000).selectExpr("id div 10 AS basket", "id % 10 AS item", "1 AS q")
+    best = baskets.pair_cooccurrence(df, "basket", "item", "q", 3).collect()
+    assert seen == [20, 90] and [tuple(r) for r in best] == [(0, 1, 100), (0, 2, 100), (0, 3, 100)]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_letter_partitions(spark):
     words = ["raman", "aman", "shaman", "waman", "taman", "daman", "$$$", "340"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
