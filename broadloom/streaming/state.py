@@ -1,12 +1,16 @@
 """Custom keyed state: running sessions and running position totals.
 
-A key's state is one row of a few numbers and one timer.  Rows reach it as they
+A key's state is a few numbers and the time it ends at.  The states of a bucket of
+keys (by hash) are kept in one value with one timer, at the earliest of these times:
+every call to the state store is a message to the JVM, and eight of them a key and
+batch took more time than all else.  Rows reach the state as they
 are, so whether a row is late depends on its own time and the watermark alone,
 never on the rows it travels with; batch sizes change nothing.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -14,50 +18,85 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
+#: Buckets of keys.  A bucket is read and written as a whole by a batch that has rows of it.
+BUCKETS = 4_096
+#: Types of keys whose Python values are equal just where Spark's are; others are told apart by their text.
+_PLAIN = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+
 
 class RunningTotals(StatefulProcessor):
-    """Count, first and last time and sums per key; a timer ends what gets no rows for a while."""
+    """Count, first and last time and sums per key, for a bucket of keys; keys without rows for a while end.
+
+    A key's entry is [key, n, first_us, last_us, due_ms, sums …]."""
 
-    def __init__(self, sums: Sequence[str], timeout_ms: int, event_time: bool, output: T.StructType):
-        self.sums, self.timeout_ms, self.event_time, self.output = list(sums), timeout_ms, event_time, output
+    def __init__(self, keys: Sequence[str], sums: Sequence[str], timeout_ms: int, event_time: bool, output: T.StructType):
+        self.keys, self.sums, self.timeout_ms, self.event_time, self.output = list(keys), list(sums), timeout_ms, event_time, output
+        self.plain = all(isinstance(output[k].dataType, _PLAIN) for k in keys)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        kinds = ["n bigint", "first_us bigint", "last_us bigint", "due_ms bigint", *[f"`{c}` double" for c in self.sums]]
         self.handle = handle
-        self.totals = handle.getValueState("totals", ", ".join(kinds))
+        self.totals = handle.getValueState("totals", "timer_ms bigint, entries binary")
+        self.row = Row(*self.output.names)
 
-    def _row(self, key: tuple, state: tuple, expired: bool) -> Row:
-        n, first, last, _, *sums = state
+    def _row(self, entry: list, expired: bool) -> Row:
+        key, n, first, last, _, *sums = entry
         averages = [total / n if n else 0.0 for total in sums]
-        return Row(*self.output.names)(*key, n, last - first, *sums, *averages, expired)
+        return self.row(*key, n, last - first, *sums, *averages, expired)
+
+    def _now(self, times: TimerValues) -> int:
+        return times.getCurrentWatermarkInMs() if self.event_time else times.getCurrentProcessingTimeInMs()
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        state = tuple(self.totals.get()) if self.totals.exists() else None
-        n, first, last, due, *sums = state or (0, None, None, None, *[0.0] * len(self.sums))
+        state = self.totals.get()
+        timer, entries = (state[0], pickle.loads(state[1])) if state else (None, {})
+        touched, places = {}, None
         for row in rows:
-            n += 1
-            at = row["at_us"]
-            first = at if first is None or at < first else first
-            last = at if last is None or at > last else last
-            for k, name in enumerate(self.sums):
-                sums[k] += row[name] or 0.0
-        if self.event_time:
-            next_due = max(last // 1000 + self.timeout_ms, timerValues.getCurrentWatermarkInMs() + 1)
-        else:
-            next_due = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
-        if next_due != due:
-            if due is not None:
-                self.handle.deleteTimer(due)
-            self.handle.registerTimer(next_due)
-        state = (n, first, last, next_due, *sums)
-        self.totals.update(state)
-        yield self._row(key, state, False)
+            if places is None:
+                names = row.__fields__
+                places = [names.index(k) for k in self.keys], names.index("__at_us"), [names.index(f"__sum_{k}") for k in range(len(self.sums))]
+            values = tuple([row[i] for i in places[0]])
+            name, at = values if self.plain else repr(values), row[places[1]]
+            entry = touched.get(name)
+            if entry is None:
+                entry = entries.get(name)
+                if entry is None:
+                    entry = entries[name] = [values, 0, at, at, None, *[0.0] * len(self.sums)]
+                touched[name] = entry
+            entry[1] += 1
+            entry[2] = min(entry[2], at)
+            entry[3] = max(entry[3], at)
+            for k, i in enumerate(places[2], 5):
+                entry[k] += row[i] or 0.0
+        now = self._now(timerValues)
+        for entry in touched.values():
+            entry[4] = max(entry[3] // 1000 + self.timeout_ms, now + 1) if self.event_time else now + self.timeout_ms
+        self._keep(entries, timer)
+        for entry in touched.values():
+            yield self._row(entry, False)
+
+    def _keep(self, entries: dict, timer: int | None) -> None:
+        """Store the bucket, with a timer at the earliest end or before: one that comes too early finds nothing due."""
+        earliest = min(entry[4] for entry in entries.values())
+        if timer is None or earliest < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(earliest)
+            timer = earliest
+        self.totals.update((timer, pickle.dumps(entries, pickle.HIGHEST_PROTOCOL)))
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.totals.exists():
-            state = tuple(self.totals.get())
+        state = self.totals.get()
+        if not state:
+            return
+        now, entries = self._now(timerValues), pickle.loads(state[1])
+        ended = [name for name, entry in entries.items() if entry[4] <= now]
+        gone = [entries.pop(name) for name in ended]
+        if entries:
+            self._keep(entries, None)  # the timer that came is removed after this
+        else:
             self.totals.clear()
-            yield self._row(key, state, True)
+        for entry in gone:
+            yield self._row(entry, True)
 
     def close(self) -> None:
         pass
@@ -84,9 +123,10 @@ def keyed_totals(
     """
     keys, sums = list(keys), list(sums)
     rows = df.where(F.col(ts).isNotNull()).select(
-        *keys, F.col(ts).cast("timestamp").alias("at"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
-        *[F.col(c).cast("double").alias(c) for c in sums])
-    rows = rows.withWatermark("at", watermark) if event_time else rows.drop("at")
+        F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("__bucket"),
+        *keys, F.col(ts).cast("timestamp").alias("__at"), F.unix_micros(F.col(ts).cast("timestamp")).alias("__at_us"),
+        *[F.col(c).cast("double").alias(f"__sum_{k}") for k, c in enumerate(sums)])
+    rows = rows.withWatermark("__at", watermark) if event_time else rows.drop("__at")
     output = T.StructType(
         [rows.schema[k] for k in keys]
         + [T.StructField("events", T.LongType()), T.StructField("duration_us", T.LongType())]
@@ -94,8 +134,8 @@ def keyed_totals(
         + [T.StructField(f"avg_{c}", T.DoubleType()) for c in sums]
         + [T.StructField("expired", T.BooleanType())]
     )
-    processor = RunningTotals(sums, timeout_ms, event_time, output)
-    return rows.groupBy(*keys).transformWithState(processor, output, "update", "EventTime" if event_time else "ProcessingTime")
+    processor = RunningTotals(keys, sums, timeout_ms, event_time, output)
+    return rows.groupBy("__bucket").transformWithState(processor, output, "update", "EventTime" if event_time else "ProcessingTime")
 
 
 def sessions_update(df: DataFrame, key: str, ts: str, timeout_ms: int = 10_000, event_time: bool = False, watermark: str = "10 seconds") -> DataFrame:

@@ -6,7 +6,9 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from broadloom.session import shared_path
 from broadloom.streaming import aggregates as A
@@ -323,3 +325,50 @@ def test_a_lookup_opens_one_bucket(spark, static_plans):
     assert all("bucket" in f for f in plan_facts(found).partition_filters())
     with pytest.raises(ValueError):
         table.lookup(spark, k="k7")
+
+
+def test_keys_share_calls_to_the_state_store():
+    """A batch reads and writes the state of a bucket once, whatever the number of its keys."""
+    calls, rows_of = [], Row("__bucket", "k", "f", "__at_us", "__sum_0")
+
+    class Value:
+        held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    class Handle:
+        getValueState = lambda self, name, schema: Value()
+        registerTimer = lambda self, at: calls.append(("register", at))
+        deleteTimer = lambda self, at: calls.append(("delete", at))
+
+    class Times:
+        def __init__(self, now):
+            self.getCurrentProcessingTimeInMs = lambda: now
+
+    kinds = "k bigint, f double, events bigint, duration_us bigint, total_v double, avg_v double, expired boolean"
+    state = S.RunningTotals(["k", "f"], ["v"], 1_000, False, _parse_datatype_string(kinds))
+    state.init(Handle())
+    nan = lambda: float("nan")
+    first = [rows_of(7, i % 100, None, i, 1.0) for i in range(300)] + [rows_of(7, None, nan(), 5, None), rows_of(7, None, nan(), 9, 2.0)]
+    out = [*state.handleInputRows((7,), iter(first), Times(10))]
+    assert calls == ["get", ("register", 1_010), "update"] and len(out) == 101
+    assert tuple(out[3]) == (3, None, 3, 200, 3.0, 1.0, False) and tuple(out[-1])[2:] == (2, 4, 2.0, 1.0, False)
+    calls.clear()
+    out = [*state.handleInputRows((7,), iter([rows_of(7, 3, None, 1_003, 1.0), rows_of(7, None, nan(), 1, 1.0)]), Times(500))]
+    assert calls == ["get", "update"] and [tuple(r)[2:5] for r in out] == [(4, 1_000, 4.0), (3, 8, 3.0)]
+    calls.clear()
+    gone = [*state.handleExpiredTimer((7,), Times(1_010), None)]
+    assert calls == ["get", ("register", 1_500), "update"] and len(gone) == 99 and all(r.expired for r in gone)
+    calls.clear()
+    assert len([*state.handleExpiredTimer((7,), Times(1_600), None)]) == 2 and calls == ["get", "clear"]
+    assert [*state.handleExpiredTimer((7,), Times(1_700), None)] == []
