@@ -184,3 +184,13 @@ def test_chunks_of_mixed_directions_nulls_and_odd_doubles(spark):
         got = O.with_position(rows, ["k"], order, "p", group_limit=200)
         got = O.with_tie_functions(got, ["k"], order[:2], {"r": O.rank()}, group_limit=200).select("c", "p", "r")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_blocks_of_frames_are_short_compiled_code(spark, static_plans):
+    """Moving averages over cut groups find their chunks by code that HotSpot compiles (8,000 bytes a method at most)."""
+    rows = spark.range(20_000).selectExpr("id % 3 AS k", "timestamp_seconds(id % 900) AS a", "id % 700 AS b", "cast(id % 7 AS int) AS c", "id % 11 AS d", "id AS e", "id % 101 AS v")
+    plan = W.moving_average(rows, ["k"], ["a", "b", "c", "d", "e"], "v", {"m": 5}, group_limit=0)
+    stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan._jdf.queryExecution().executedPlan())
+    assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8_000
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    same(plan, W.moving_average(rows, ["k"], ["a", "b", "c", "d", "e"], "v", {"m": 5}))
