@@ -60,6 +60,28 @@ def split_lookup(rows: DataFrame, side: DataFrame, keys: list[str], often: str,
     return both.select(*rows.columns, *[F.coalesce(f"hot_row.{c}", f"cold_row.{c}").alias(c) for c in more])
 
 
+#: Bits of a bitmap for each key, and buckets of ``BUCKET_BITS`` bits at most: 16 MB.
+KEY_BITS = 32
+BUCKET_BITS = 32_768
+MOST_BUCKETS = 4_096
+
+
+def among(rows: DataFrame, key: str, side: DataFrame, most: int = MOST_BUCKETS) -> DataFrame:
+    """``rows`` whose ``key`` is in ``side``, and a few others, without a shuffle of them.
+
+    The keys' hashes are bits of a broadcast bitmap of at most ``most`` buckets.  It has 32 bits
+    a key and lets one other row in 32 pass; beyond 4 million keys more of them do.  What must be
+    exact is for a join after it.  Null keys do not pass.  Runs one job for the number of keys.
+    """
+    buckets = max(1, min(most, -(-side.count() * KEY_BITS // BUCKET_BITS)))
+    at = F.pmod(F.xxhash64(key), F.lit(buckets * BUCKET_BITS))
+    bucket, place = F.floor(at / BUCKET_BITS).alias("__bucket"), (at % BUCKET_BITS).alias("__place")
+    maps = side.where(F.col(key).isNotNull()).select(bucket, place).groupBy("__bucket").agg(F.bitmap_construct_agg("__place").alias("__bits"))
+    byte = F.conv(F.hex(F.expr("substring(__bits, CAST(__place DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    tested = rows.where(F.col(key).isNotNull()).select("*", bucket, place).join(F.broadcast(maps), "__bucket")
+    return tested.where(F.getbit(byte, (F.col("__place") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def file_batches(table: DataFrame, most: int) -> list[DataFrame]:
     """A table read from files as at most ``most`` frames of whole files; without files, the table itself."""
     files = sorted(table.inputFiles())

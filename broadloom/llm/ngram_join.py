@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadloom.llm import ranges
-from broadloom.llm.common import forget, lean, stored
+from broadloom.llm.common import among, forget, lean, stored
 from broadloom.llm.prefixes import LEVEL_SHARE, PrefixJoin, choose_level, least_overlap, linked_components, top_level
 from broadloom.llm.words import SHINGLE, mix, shingle_sets
 
@@ -92,15 +92,12 @@ def _survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(size: int):
+    """The sets of a batch of texts, each once: node and packed shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node = batch.column(0)
-            keep, data = [], []
-            for k, shingles in enumerate(shingle_sets(batch.column(1), size)):
-                if len(shingles) and signature(shingles) == node[k].as_py():
-                    keep.append(k)
-                    data.append(shingles.tobytes())
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(keep, pa.int64())), pa.array(data, pa.binary())], ["node", "shingles"])
+            found = {signature(shingles): shingles.tobytes() for shingles in shingle_sets(batch.column(0), size) if len(shingles)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["node", "shingles"])
 
     return run
 
@@ -134,9 +131,11 @@ def prepare(docs: DataFrame, percent: int = 75, size: int = SHINGLE) -> Prepared
     left = nodes.join(lists, "node").select("node", "n", "found").mapInArrow(lean(_survivors), "node long")
     wanted = stored(left.join(nodes.select("node", "rep"), "node"), "survivors")
     forget(shared)
+    # Texts are not shuffled: those of other rows stay behind by a bitmap, and the sets of the rest travel once.
+    texts = among(rows, "doc_id", wanted.select(F.col("rep").alias("doc_id")))
     sets = stored(
-        rows.join(wanted.select(F.col("rep").alias("doc_id"), "node"), "doc_id").select("node", "text")
-        .mapInArrow(lean(_sets(size)), "node long, shingles binary").dropDuplicates(["node"]), "sets")
+        texts.select("text").mapInArrow(lean(_sets(size)), "node long, shingles binary")
+        .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
     forget(wanted)
     return Prepared(members, nodes, PrefixJoin.of(sets, percent))
 

@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from broadloom.llm import (
     decontaminate, graph, idstore, language, neighbours, ngram_join, packing, quality, sharding, substring, toxicity,
 )
+from broadloom.llm.common import among, stored
 from broadloom.llm.tokens import Encoder, vocabulary_path
 from broadloom.llm.words import shingle_sets
 from broadloom.session import shared_path
@@ -113,6 +114,37 @@ def test_all_similar_pairs(docs):
     assert {r.doc_id: r.representative for r in members.collect()} == {i: first.get(shingles(t)) for i, t in texts.items()}
 
 
+def test_similarity_join_shuffles_no_texts(spark, docs, monkeypatch, static_plans, tmp_path):
+    """Also where more texts may have a partner than Spark would broadcast."""
+    plans = []
+    docs[0].write.parquet(str(tmp_path / "docs"))
+
+    def watched(df, label):
+        if label == "sets":
+            plans.append(df._jdf.queryExecution().explainString(
+                spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        return stored(df, label)
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ngram_join.prepare(spark.read.parquet(str(tmp_path / "docs")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", plans[0])
+    assert shuffled and not [c for c in shuffled if "text#" in c]
+
+
+def test_rows_among_keys_pass_and_few_others(spark):
+    rows = spark.range(-3_000, 3_000).withColumnRenamed("id", "key").unionByName(spark.createDataFrame([(None,)], "key long"))
+    side = spark.createDataFrame([(k,) for k in range(-3_000, 3_000, 6)] + [(None,)], "key long")
+    for most in (1, 4_096):
+        left = {r.key for r in among(rows, "key", side, most).collect()}
+        assert left >= set(range(-3_000, 3_000, 6)) and None not in left
+        assert len(left) < 1_000 + 5_000 * 0.1
+    assert among(rows, "key", side.limit(0)).count() == 0
+
+
 def test_similarity_join_on_odd_input(spark):
     out = [tuple(r) for r in ngram_join.near_duplicates(awkward(spark)).collect()]
     assert Counter(out) == Counter([(1, 2, 1), (1, 2, 1), (None, 2, None), (2, 0, 2), (3, 0, 3), (None, 0, None)])
