@@ -34,9 +34,13 @@ BLOCK_ROWS = 500_000
 #: Rows a group is cut at, where no limit says so.
 _LEAST_CHUNK = 1_000
 _SAMPLES_PER_CHUNK = 32
+#: Chunks a task gets on average, where no limit says so: with a few only, hashing leaves some tasks with a multiple of others.
+_TASK_CHUNKS = 8
 _CASE_CUTS = 16
 #: Tasks a value that fills a chunk is dealt to, at most.
 _SPREAD = 64
+#: What tells a chunk or an uncut group, the number that differs most first: sorts compare it before all else.
+_LOCAL = ["__chunk", "__gid", "__cold"]
 
 
 @dataclass(frozen=True)
@@ -94,11 +98,13 @@ def group_stats(df: DataFrame, part: Sequence[str], group_limit: int = 0) -> Gro
 
 @dataclass(frozen=True)
 class Cuts:
-    """``table``: __key and __cuts (in order: the values r0, r1, … as ``_runs`` has them and whether one value fills
-    chunks) of every group that is cut; ``most``: a bound of the cuts of one group."""
+    """``table``: __key, __gid (a number of its own) and __cuts (in order: the values r0, r1, … as ``_runs`` has them and
+    whether one value fills chunks) of every group that is cut; ``most``: a bound of the cuts of one group; ``total``: all
+    rows, of cut groups and others."""
 
     table: DataFrame
     most: int
+    total: int
 
 
 def hot_cuts(df: DataFrame, part: Sequence[str], order: Sequence[str], group_limit: int = GROUP_LIMIT, chunks: int | None = None) -> Cuts | None:
@@ -117,7 +123,7 @@ def hot_cuts(df: DataFrame, part: Sequence[str], order: Sequence[str], group_lim
     elif group_limit > 0:
         rows = max(1, group_limit // 2)
     else:
-        rows = max(_LEAST_CHUNK, total // (2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+        rows = max(_LEAST_CHUNK, total // (_TASK_CHUNKS * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
     limit = max(group_limit, rows)
     if total <= limit:
         return None
@@ -134,9 +140,10 @@ def hot_cuts(df: DataFrame, part: Sequence[str], order: Sequence[str], group_lim
     each = picked.groupBy("__key", *values).agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("picks"))
     cut = F.struct("at", *_runs(order, values), (F.col("picks") > 1).alias("fills"))
     lists = each.groupBy("__key").agg(F.sum("picks").alias("picks"), F.array_sort(F.collect_list(cut)).alias("__cuts"))
-    table = materialised(lists.filter(F.col("picks") >= max(1, limit // rows)).select("__key", "__cuts"), "cuts")
+    table = materialised(lists.filter(F.col("picks") >= max(1, limit // rows)).select(
+        "__key", F.monotonically_increasing_id().alias("__gid"), "__cuts"), "cuts")
     # A sample of s rows has its size within s / 2 + 64, as good as always.
-    return None if table.isEmpty() else Cuts(table, int(1.5 * total / rows) + 64)
+    return None if table.isEmpty() else Cuts(table, int(1.5 * total / rows) + 64, total)
 
 
 def _directions(order: Sequence[str]) -> list[tuple[bool, list[int]]]:
@@ -163,9 +170,10 @@ def _reached(order: Sequence[str], cut: str) -> str:
 
 
 def _placed(df: DataFrame, part: Sequence[str], order: Sequence[str], cuts: Cuts, spread: bool) -> DataFrame:
-    """``df`` with __key, __hot (its group is cut), __chunk and __salt.
+    """``df`` with __hot (its group is cut), __gid (that group's number), __cold (the key of any other group), __chunk and __salt.
 
-    A chunk's number is even between cuts and odd for a value that fills chunks;
+    ``_LOCAL`` tells a chunk or an uncut group.  Keys are compared for each step of a sort: a cut group's is a number there,
+    as comparing its key took most of a sort's time.  A chunk's number is even between cuts and odd for a value that fills chunks;
     ``spread`` deals the rows of the latter to several tasks."""
     runs = _runs(order, [key.name for key in order_keys(order)])
     rows = with_key(df, part).join(F.broadcast(cuts.table), "__key", "left").withColumn("__at", F.lit(0))
@@ -183,7 +191,8 @@ def _placed(df: DataFrame, part: Sequence[str], order: Sequence[str], cuts: Cuts
     same = " AND ".join(f"__r{k} <=> get(__cuts, __at - 1).r{k}" for k in range(len(runs)))
     filled = F.expr(f"__at > 0 AND get(__cuts, __at - 1).fills AND {same}")
     rows = rows.select(
-        *[F.col(f"`{c}`") for c in df.columns], "__key", F.col("__cuts").isNotNull().alias("__hot"),
+        *[F.col(f"`{c}`") for c in df.columns], F.col("__cuts").isNotNull().alias("__hot"),
+        "__gid", F.when(F.col("__cuts").isNull(), F.col("__key")).alias("__cold"),
         (2 * F.col("__at") - F.when(filled, 1).otherwise(0)).alias("__chunk"))
     salt = F.when(F.col("__chunk") % 2 == 1, F.spark_partition_id() % _SPREAD) if spread else F.lit(0)
     return rows.withColumn("__salt", F.coalesce(salt, F.lit(0)))
@@ -350,13 +359,13 @@ def with_tie_functions(
     names = [key.name for key in order_keys(order)]
     rows = _placed(df, part, order, cuts, spread=True)
     carried = _carried(rows, names, outputs)
-    local = ordered_window(["__key", "__chunk", "__salt"], order)
+    local = ordered_window([*_LOCAL, "__salt"], order)
     asked = {fn.kind for fn in outputs.values()}
     more = [F.rank().over(local).alias("__rank")] if asked & {"rank", "percent_rank"} else [F.lit(None).cast("int").alias("__rank")]
     more.append((F.count(F.lit(1)).over(local) if "cume_dist" in asked else F.lit(None).cast("long")).alias("__upto"))
     inside = rows.select("*", *more, *[fn.plain(local).alias(f"__in_{name}") for name, fn in outputs.items()])
     # One row per chunk of a large group: bounded by the rows over the limit.
-    joined = inside.join(F.broadcast(carried), ["__key", "__chunk"], "left")
+    joined = inside.join(F.broadcast(carried), ["__gid", "__chunk"], "left")
     fills = F.col("__chunk") % 2 == 1
     first = F.col("__n_off") + F.col("__rank")
     formulas = {
@@ -390,17 +399,17 @@ def _carried(rows: DataFrame, names: Sequence[str], outputs: dict[str, TieFuncti
     distinct = any(fn.kind == "dense_rank" for fn in outputs.values())
     totals = [F.count(F.lit(1)).alias("__n"), *[agg[fn.kind](fn.measure).alias(f"__m_{n}") for n, fn in measures.items()]]
     if distinct:
-        hot = hot.groupBy("__key", "__chunk", *[F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)]).agg(*totals)
+        hot = hot.groupBy("__gid", "__chunk", *[F.col(f"`{n}`").alias(f"__v{i}") for i, n in enumerate(names)]).agg(*totals)
         totals = [F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"), *[agg[fn.kind](f"__m_{n}").alias(f"__m_{n}") for n, fn in measures.items()]]
-    per_chunk = hot.groupBy("__key", "__chunk").agg(*totals)
-    group = Window.partitionBy("__key")
+    per_chunk = hot.groupBy("__gid", "__chunk").agg(*totals)
+    group = Window.partitionBy("__gid")
     earlier = group.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     more = [F.coalesce(F.sum("__d").over(earlier), F.lit(0)).alias("__d_off")] if distinct else []
     for name, fn in measures.items():
         more.append(F.sum(f"__m_{name}").over(earlier).alias(f"__off_{name}") if fn.kind == "running_sum"
                     else F.max(f"__m_{name}").over(group).alias(f"__all_{name}"))
     return per_chunk.select(
-        "__key", "__chunk", "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n_off"),
+        "__gid", "__chunk", "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n_off"),
         F.sum("__n").over(group).alias("__n_all"), *[F.col(f"__m_{n}") for n in measures], *more)
 
 
@@ -430,14 +439,17 @@ def _with_position(df: DataFrame, part: Sequence[str], order: Sequence[str], nam
         extra = [F.count(F.lit(1)).over(Window.partitionBy(*part)).alias(total)] if total else []
         return df.select("*", F.row_number().over(window).cast("long").alias(name), *extra)
     rows = _placed(df, part, order, cuts, spread=False)
-    carried = _carried(rows, [], {})
-    local = ["__key", "__chunk"]
-    size = [F.count(F.lit(1)).over(Window.partitionBy(*local)).alias("__size")] if total else []
-    numbered = rows.select("*", F.row_number().over(ordered_window(local, order)).alias("__rn"), *size)
-    joined = numbered.join(F.broadcast(carried), local, "left")
+    size = [F.count(F.lit(1)).over(Window.partitionBy(*_LOCAL)).alias("__size")] if total else []
+    numbered = _numbered(rows.select("*", *size), _carried(rows, [], {}), order, name)
     extra = [F.coalesce("__n_all", "__size").alias(total)] if total else []
-    position = F.col("__rn") + F.coalesce("__n_off", F.lit(0))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], position.cast("long").alias(name), *extra)
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{name}`"), *extra)
+
+
+def _numbered(rows: DataFrame, carried: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Placed rows with their position in the group."""
+    inside = rows.select("*", F.row_number().over(ordered_window(_LOCAL, order)).alias("__rn"))
+    joined = inside.join(F.broadcast(carried), ["__gid", "__chunk"], "left")
+    return joined.withColumn(name, (F.col("__rn") + F.coalesce("__n_off", F.lit(0))).cast("long"))
 
 
 def with_ntile(
@@ -488,13 +500,15 @@ def with_row_frames(
     cuts = hot_cuts(df, part, order, group_limit, chunks)
     if cuts is None:
         return plainly(df)
-    small, large = None, df
-    if part:
+    rows = _placed(df, part, order, cuts, spread=False).where("__hot")
+    carried = materialised(_carried(rows, [], {}), "carried")
+    small = None
+    # The chunks' totals tell whether there is an uncut group at all; looking for one would read all rows once more.
+    if part and carried.agg(F.sum("__n")).first()[0] != cuts.total:
         hot = F.broadcast(cuts.table.select("__key"))
         small = plainly(with_key(df, part).join(hot, "__key", "left_anti").drop("__key"))
-        large = with_key(df, part).join(hot, "__key", "left_semi").drop("__key")
     block_rows = max(block_rows, before, after, 1)
-    placed = _with_position(large, part, order, "__pos", None, cuts)
+    placed = _numbered(rows, carried, order, "__pos").select(*[F.col(f"`{c}`") for c in df.columns], "__gid", "__pos")
     zero_based = F.col("__pos") - 1
     block = F.floor(zero_based / block_rows)
     offset = zero_based % block_rows
@@ -506,7 +520,7 @@ def with_row_frames(
         )
     )
     spread = placed.withColumn("__copy", F.explode(copies)).select("*", F.col("__copy.block").alias("__block"))
-    window = ordered_window([*part, "__block"], ["__pos"])
+    window = ordered_window(["__block", "__gid"], ["__pos"])
     framed = spread.select("*", *[make(window).alias(name) for name, make in outputs.items()])
     kept = framed.filter(F.col("__copy.own")).select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
     return kept if small is None else small.unionByName(kept)

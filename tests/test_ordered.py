@@ -194,3 +194,13 @@ def test_blocks_of_frames_are_short_compiled_code(spark, static_plans):
     assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8_000
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     same(plan, W.moving_average(rows, ["k"], ["a", "b", "c", "d", "e"], "v", {"m": 5}))
+
+
+def test_frames_over_cut_groups_read_the_rows_once(spark, static_plans):
+    """Where every group is cut; an uncut group beside them is a second branch and keeps its rows."""
+    for small in (0, 30):
+        rows = spark.range(6_000 + small).selectExpr("CASE WHEN id < 6000 THEN nullif(id % 3, 2) ELSE 7 END AS k", "id * 7919 % 6007 AS a", "id", "id % 101 AS v")
+        frames = W.moving_average(rows, ["k"], ["a", "id"], "v", {"m": 5}, group_limit=1_000)
+        plan = frames._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(" Range (") == (2 if small else 1)
+        same(frames, W.moving_average(rows, ["k"], ["a", "id"], "v", {"m": 5}))
