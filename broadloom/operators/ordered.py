@@ -512,17 +512,15 @@ def with_row_frames(
     zero_based = F.col("__pos") - 1
     block = F.floor(zero_based / block_rows)
     offset = zero_based % block_rows
-    copies = F.array_compact(
-        F.array(
-            F.struct(block.alias("block"), F.lit(True).alias("own")),
-            F.when(offset >= block_rows - before, F.struct((block + 1).alias("block"), F.lit(False).alias("own"))),
-            F.when((offset < after) & (block > 0), F.struct((block - 1).alias("block"), F.lit(False).alias("own"))),
-        )
-    )
-    spread = placed.withColumn("__copy", F.explode(copies)).select("*", F.col("__copy.block").alias("__block"))
+    # Constant lists: an array made for each row, and cleared of its nulls, is interpreted code.
+    to_next, to_previous = offset >= block_rows - before, (offset < after) & (block > 0)
+    shifts = (
+        F.when(to_next & to_previous, F.expr("array(0, 1, -1)")).when(to_next, F.expr("array(0, 1)"))
+        .when(to_previous, F.expr("array(0, -1)")).otherwise(F.expr("array(0)")))
+    spread = placed.withColumn("__shift", F.explode(shifts)).withColumn("__block", block + F.col("__shift"))
     window = ordered_window(["__block", "__gid"], ["__pos"])
     framed = spread.select("*", *[make(window).alias(name) for name, make in outputs.items()])
-    kept = framed.filter(F.col("__copy.own")).select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
+    kept = framed.filter(F.col("__shift") == 0).select(*[F.col(f"`{c}`") for c in df.columns], *outputs)
     return kept if small is None else small.unionByName(kept)
 
 
